@@ -1 +1,117 @@
-"""todo"""
+"""Stored tables and streams: results are read back from what the jobs wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stratiform import schemas as S
+from stratiform.catalog.base import GOLD_COLUMNS, SILVER_COLUMNS, gold_sql, latest_sql, query, with_events
+from stratiform.catalog.layers import END, START, bronze
+from stratiform.catalog.mutations import AS_OF, DELIVERIES_SQL, UPSERT_SQL
+from stratiform.plans.warehouse import Warehouse
+from stratiform.session import scratch_dir
+from stratiform.sources.events import first_delivery, landed_columns, landed_documents, read_events
+from stratiform.streaming.incremental import start_incremental
+
+
+def _warehouse(spark: SparkSession, name: str) -> Warehouse:
+    return Warehouse(spark, scratch_dir(spark, name))
+
+
+def _two_deliveries(spark: SparkSession, sf_dir: str) -> Warehouse:
+    house = _warehouse(spark, "deliveries")
+    landed = landed_documents(read_events(spark, sf_dir))
+    for part in (first_delivery(), ~first_delivery()):
+        house.run(landed_columns(landed.filter(part)), AS_OF)
+    return house
+
+
+_STORED = "location_name, latitude, longitude, timezone, observation_timestamp, " + ", ".join(
+    [*S.METRICS.values(), "api_retrieval_time", "observation_date"]
+)
+
+
+@query("stored_silver", with_events(*DELIVERIES_SQL, UPSERT_SQL, select=f"SELECT {_STORED} FROM upserted"))
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = _two_deliveries(spark, sf_dir).silver.read()
+    return silver.drop("id", "bronze_record_id", "transformed_at")
+
+
+@query(
+    "stored_gold",
+    with_events(
+        *DELIVERIES_SQL, UPSERT_SQL, gold_sql("gold", "upserted"), select=f"SELECT {GOLD_COLUMNS} FROM gold"
+    ),
+)
+def stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_deliveries(spark, sf_dir).gold.read().drop("created_at")
+
+
+@query(
+    "surrogate_keys",
+    with_events(
+        *DELIVERIES_SQL,
+        UPSERT_SQL,
+        select="""SELECT count(*) AS records, count(*) AS ids, count(*) FILTER (action <> 'insert') AS kept_ids,
+    count(*) FILTER (action = 'insert') AS later_ids FROM upserted""",
+    ),
+)
+def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids are unique, survive an update, and later rows get higher ones."""
+    house = _warehouse(spark, "keys")
+    landed = landed_documents(read_events(spark, sf_dir))
+    house.run(landed_columns(landed.filter(first_delivery())), AS_OF)
+    before = house.silver.read().select(*S.SILVER_KEY, F.col("id").alias("old_id"))
+    copy = scratch_dir(spark, "ids")
+    before.write.parquet(copy)
+    last_id = house.silver.high_water()
+    house.run(landed_columns(landed.filter(~first_delivery())), AS_OF)
+    after = house.silver.read().join(spark.read.parquet(copy), S.SILVER_KEY, "left")
+    return after.agg(
+        F.count("*").alias("records"),
+        F.countDistinct("id").alias("ids"),
+        F.count_if(F.col("id") == F.col("old_id")).alias("kept_ids"),
+        F.count_if(F.col("id") > last_id).alias("later_ids"),
+    )
+
+
+@query(
+    "backfill_report",
+    with_events(
+        latest_sql("latest", "flat", f"api_retrieval_time BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}'"),
+        select=f"""SELECT 'completed' AS status, count(*) AS rows_affected, count(*) AS total_records,
+    '{START}' AS start_date, '{END}' AS end_date, 'From {START} to {END}' AS mode FROM latest""",
+    ),
+)
+def backfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    house = _warehouse(spark, "backfill")
+    house.bronze.append(bronze(spark, sf_dir))
+    return house.backfill_silver(START, END, AS_OF)
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The two deliveries arrive as separate files and are processed one file at a time."""
+    house = _warehouse(spark, "stream")
+    rows = bronze(spark, sf_dir)
+    for part in (first_delivery(), ~first_delivery()):
+        delivered = rows.filter(part).coalesce(1).drop("retrieval_date")
+        delivered.write.mode("append").parquet(f"{house.root}/arriving")
+        query = start_incremental(house, f"{house.root}/checkpoint", AS_OF, 1, f"{house.root}/arriving")
+        query.awaitTermination()
+    return house
+
+
+@query("stream_silver", with_events(*DELIVERIES_SQL, UPSERT_SQL, select=f"SELECT {SILVER_COLUMNS} FROM upserted"))
+def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir).silver.read().drop("id", "transformed_at")
+
+
+@query(
+    "stream_gold",
+    with_events(
+        *DELIVERIES_SQL, UPSERT_SQL, gold_sql("gold", "upserted"), select=f"SELECT {GOLD_COLUMNS} FROM gold"
+    ),
+)
+def stream_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir).gold.read().drop("created_at")

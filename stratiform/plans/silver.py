@@ -77,13 +77,14 @@ def checked_observations(bronze: DataFrame) -> DataFrame:
 
 
 def _any_bad_number(columns: list[str]) -> Column:
-    bad = F.lit(False)
-    for name in columns:
-        text = F.col(name)
-        # the double parser also takes a Java type suffix such as '1.5d'
-        suffixed = F.lower(F.substring(F.rtrim(text), -1, 1)).isin("d", "f") & ~F.lower(text).like("%inf%")
-        bad = bad | (text.isNotNull() & (text.try_cast("double").isNull() | suffixed))
-    return bad
+    # one lambda over all texts: the same casts as in the projection would let the optimizer derive
+    # a constraint for every subset of them
+    return F.exists(F.array(*columns), lambda text: text.isNotNull() & (text.try_cast("double").isNull() | _suffixed(text)))
+
+
+def _suffixed(text: Column) -> Column:
+    """The double parser also takes a Java type suffix such as '1.5d'."""
+    return F.lower(F.substring(F.rtrim(text), -1, 1)).isin("d", "f") & ~F.lower(text).contains("inf")
 
 
 def to_silver(bronze: DataFrame, strict: bool = False) -> DataFrame:
