@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratiform import schemas as S
 from stratiform.catalog.base import query, table, with_events
 from stratiform.catalog.layers import bronze
 from stratiform.functions.documents import first_element, object_path
@@ -86,20 +87,26 @@ def schema_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.table_columns(table(spark, sf_dir, "events"))
 
 
+_WEEK_BEFORE_LAST = "api_retrieval_time > (SELECT max(ts) FROM events) - INTERVAL 168 HOURS"
+
+
 @query(
     "recent_documents",
     with_events(
-        select="""SELECT record_id AS bronze_record_id, latitude, longitude, 'UTC' AS timezone,
-    CAST(NULL AS TIMESTAMP) AS observation_timestamp, api_retrieval_time FROM doc WHERE FALSE"""
+        select=f"""SELECT bronze_record_id, latitude, longitude, timezone, observation_timestamp,
+    {", ".join(c if c != "is_day" else "is_day <> 0 AS is_day" for c in S.METRICS.values() if c != "cloud_cover_percent")},
+    api_retrieval_time
+    FROM (SELECT *, row_number() OVER (PARTITION BY latitude, longitude, observation_timestamp
+                                       ORDER BY api_retrieval_time, bronze_record_id) AS nth
+          FROM flat WHERE {_WEEK_BEFORE_LAST}) WHERE nth = 1"""
     ),
 )
 def recent_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # cloud_cover is in no document, so the join on ordinals is empty: the shortest array rules
     as_of = read_events(spark, sf_dir).agg(F.max("ts")).scalar()
-    rows = explore.recent_observations(bronze(spark, sf_dir), as_of, hours=24 * 7)
-    return explore.first_of_place_and_hour(rows).select(
-        "bronze_record_id", "latitude", "longitude", "timezone", "observation_timestamp", "api_retrieval_time"
-    )
+    # the documents hold no cloud cover: with it, the join on ordinals would leave no hour
+    variables = [v for v in S.METRICS if v != "cloud_cover"]
+    rows = explore.recent_observations(bronze(spark, sf_dir), as_of, 24 * 7, variables)
+    return explore.first_of_place_and_hour(rows).drop("rn")
 
 
 _PAIR_SQL = """FROM (SELECT vec_id, embedding AS whole, embedding[1:label * 4 + 1] AS head FROM embeddings)"""
@@ -267,7 +274,7 @@ def numeric_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     "elapsed_times",
     with_events(
         select="""SELECT event_type, user_id, week,
-    CAST(round(CAST(epoch_us(api_retrieval_time) - epoch_us(first_hour) AS DOUBLE) / 1000, 2) AS DOUBLE) AS elapsed_ms
+    CAST((epoch_us(api_retrieval_time) - epoch_us(first_hour) + 5) // 10 AS DOUBLE) / 100 AS elapsed_ms
     FROM doc"""
     ),
 )

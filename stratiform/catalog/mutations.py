@@ -25,6 +25,7 @@ from stratiform.sources.events import (
     first_delivery,
     landed_columns,
     read_events,
+    record_id,
 )
 from stratiform.sources.locations import with_variables
 
@@ -161,7 +162,7 @@ def _load(spark: SparkSession, sf_dir: str, stored: bool = True) -> bronze_plan.
     existing = bronze_from_events(read_events(spark, sf_dir)).filter(F.second("api_retrieval_time") < 6)
     return bronze_plan.load_bronze(
         _landed(spark, sf_dir),
-        existing if stored else existing.limit(0),
+        existing if stored else existing.filter(F.lit(False)),
         AS_OF,
         endpoint="api",
         retry_attempt=2,
@@ -218,7 +219,7 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every location that has events, and one that never reports per kind of location."""
+    """Every location that has events, and for each of them one that never reports."""
     names = read_events(spark, sf_dir).select(F.col("event_type").alias("name")).distinct()
     both = names.select(F.explode(F.array("name", F.concat("name", F.lit("-silent")))).alias("location_name"))
     return with_variables(both)
@@ -287,8 +288,6 @@ def rejected_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def faulty_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that pass the load although some of their hours will not reach silver."""
-    from stratiform.sources.events import record_id
-
     docs = faulty_documents(read_events(spark, sf_dir)).withColumn("record_id", record_id())
     loadable = bronze_plan.classify(docs).filter("_reject IS NULL")
     return loadable.select(

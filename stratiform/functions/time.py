@@ -28,7 +28,7 @@ def iso_text(ts: Column, zoned: bool = True) -> Column:
 
 
 def elapsed_ms(start: Column, end: Column) -> Column:
-    """Milliseconds from ``start`` to ``end`` with two decimals."""
+    """Milliseconds from ``start`` to ``end`` with two decimals, half up on whole microseconds."""
     return F.round((F.unix_micros(end) - F.unix_micros(start)) / 1000, 2)
 
 

@@ -59,13 +59,17 @@ def table_columns(df: DataFrame) -> DataFrame:
 
 
 def recent_observations(
-    bronze: DataFrame, as_of: Column | dt.datetime | str | None = None, hours: int = 1
+    bronze: DataFrame,
+    as_of: Column | dt.datetime | str | None = None,
+    hours: int = 1,
+    variables: list[str] | None = None,
 ) -> DataFrame:
     """Hours of recently created documents, joined on their ordinal: an hour counts only where
     every variable has an item. Documents are filtered before they are parsed."""
+    variables = list(S.METRICS) if variables is None else variables
     recent = bronze.filter(within_hours(F.col("created_at"), moment(as_of), hours))
     parsed = recent.select(
-        "record_id", "created_at", parse_payload(F.col("raw_api_response"), S.METRICS).alias("_p")
+        "record_id", "created_at", parse_payload(F.col("raw_api_response"), variables).alias("_p")
     )
     keep = [
         F.col("record_id").alias("bronze_record_id"),
@@ -74,10 +78,11 @@ def recent_observations(
         F.col("_p.timezone").alias("timezone"),
         F.col("created_at").alias("api_retrieval_time"),
     ]
-    arrays = {name: text_array(F.col(f"_p.hourly.{name}")) for name in ("time", *S.METRICS)}
+    arrays = {name: text_array(F.col(f"_p.hourly.{name}")) for name in ("time", *variables)}
     rows = zip_shortest(parsed, keep, arrays, "rn")
     columns = []
-    for key, column in S.METRICS.items():
+    for key in variables:
+        column = S.METRICS[key]
         if key in S.TEXT_METRICS:
             columns.append(F.col(key).alias(column))
         elif key == "is_day":

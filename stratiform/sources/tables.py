@@ -60,7 +60,7 @@ class Table:
         if days is None:
             return df
         if not days:
-            return df.limit(0)
+            return df.filter(F.lit(False))
         return df.filter(F.col(self.partition).isin([F.lit(d).cast("date") for d in days]))
 
     def append(self, df: DataFrame, metrics: dict[str, Column] | None = None, rebalance: bool = False) -> dict:
