@@ -19,22 +19,27 @@ def is_valid_json(raw: Column) -> Column:
     return F.try_parse_json(raw).isNotNull()
 
 
-def payload_schema(variables: Iterable[str]) -> T.StructType:
-    """Only the fields a job needs: the parser skips all others."""
-    arrays = [T.StructField(name, T.ArrayType(T.StringType())) for name in ("time", *variables)]
+def payload_schema(variables: Iterable[str], numbers: Iterable[str] = ()) -> T.StructType:
+    """Only the fields a job needs: the parser skips all others. ``numbers`` become doubles."""
+    numbers = set(numbers)
+
+    def typed(name: str) -> T.DataType:
+        return T.DoubleType() if name in numbers else T.StringType()
+
+    arrays = [T.StructField(name, T.ArrayType(typed(name))) for name in ("time", *variables)]
     return T.StructType([
-        T.StructField("latitude", T.StringType()),
-        T.StructField("longitude", T.StringType()),
+        T.StructField("latitude", typed("latitude")),
+        T.StructField("longitude", typed("longitude")),
         T.StructField("timezone", T.StringType()),
         T.StructField("hourly", T.StructType(arrays)),
         T.StructField(CORRUPT, T.StringType()),
     ])
 
 
-def parse_payload(raw: Column, variables: Iterable[str]) -> Column:
-    """Typed view of a document. Array items stay text, so codes such as '3.0' keep their form;
-    a field of the wrong shape shows in the corrupt column instead of being dropped silently."""
-    return F.from_json(raw, payload_schema(variables), {"columnNameOfCorruptRecord": CORRUPT})
+def parse_payload(raw: Column, variables: Iterable[str], numbers: Iterable[str] = ()) -> Column:
+    """View of a document. Text items keep their form ('3.0'); a field of the wrong shape shows in
+    the corrupt column instead of being dropped silently."""
+    return F.from_json(raw, payload_schema(variables, numbers), {"columnNameOfCorruptRecord": CORRUPT})
 
 
 def text_array(value: Column) -> Column:
