@@ -17,6 +17,8 @@ from stratiform.sources.tables import Table
 
 AsOf = Column | dt.datetime | str | None
 
+FEW_DAYS = 2
+
 
 class Warehouse:
     """Bronze, error log, silver and gold under one root folder that all executors share."""
@@ -25,7 +27,7 @@ class Warehouse:
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
         self.endpoint = endpoint
-        self.bronze = self._table("bronze/weather_raw", S.BRONZE, "retrieval_date", ["location_name"], "record_id")
+        self.bronze = self._table("bronze/weather_raw", S.BRONZE, "retrieval_date", S.BRONZE_KEY, "record_id")
         self.errors = self._table("bronze/api_error_log", S.ERRORS, "error_date", ["error_timestamp"], "error_id")
         self.silver = self._table("silver/weather_observations", S.SILVER, "observation_date", S.SILVER_KEY, "id")
         self.gold = self._table("gold/daily_weather_summary", S.GOLD, "observation_date", ["location_name"], None)
@@ -50,7 +52,8 @@ class Warehouse:
         seen = Observation()
         counted = landed.observe(seen, F.count("*").alias("documents"))
         load = bronze.load_bronze(counted, existing, now, self.endpoint, retry_attempt)
-        stored = self.bronze.append(load.accepted)["rows"]
+        # a daily batch goes out as it comes; many days are first gathered into whole files per day
+        stored = self.bronze.append(load.accepted, rebalance=len(days) > FEW_DAYS)["rows"]
         refused = seen.get["documents"] - stored
         if refused:
             existing = self.bronze.read(days).filter(F.col("record_id") <= last_id)
