@@ -12,7 +12,7 @@ from stratiform.functions.time import Bound
 from stratiform.operators import guards
 from stratiform.operators.upsert import ACTION, INSERT, KEEP, UPDATE, conditional_upsert, insert_or_ignore
 from stratiform.plans import backfill, bronze, gold, quality, silver
-from stratiform.session import moment, prepare, scratch_dir
+from stratiform.session import moment, observed, prepare, scratch_dir
 from stratiform.sources.tables import Table
 
 AsOf = Column | dt.datetime | str | None
@@ -54,7 +54,8 @@ class Warehouse:
         load = bronze.load_bronze(counted, existing, now, self.endpoint, retry_attempt)
         # a daily batch goes out as it comes; many days are first gathered into whole files per day
         stored = self.bronze.append(load.accepted, rebalance=len(days) > FEW_DAYS)["rows"]
-        refused = seen.get["documents"] - stored
+        found = observed(seen)
+        refused = (found["documents"] if found else landed.count()) - stored
         if refused:
             existing = self.bronze.read(days).filter(F.col("record_id") <= last_id)
             again = bronze.load_bronze(landed, existing, now, self.endpoint, retry_attempt)
@@ -72,9 +73,10 @@ class Warehouse:
         counted = checked.observe(bad, F.count_if(F.col(guards.REJECT).isNotNull()).alias("rejected"))
         rows = guards.strict(counted) if strict else guards.valid(counted)
         candidates, days = self._materialize(silver.latest_per_key(rows))
-        rejected = bad.get["rejected"]
+        found = observed(bad)
+        refused = silver.silver_rejects(bronze_rows)
+        rejected = found["rejected"] if found else refused.count()
         if rejected:
-            refused = silver.silver_rejects(bronze_rows)
             self.errors.append(bronze.error_rows(refused, now, self.endpoint))
         if not days:
             return {"inserted": 0, "updated": 0, "rejected": rejected, "days": []}

@@ -6,7 +6,8 @@ import datetime as dt
 import tempfile
 import uuid
 
-from pyspark.sql import Column, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_scratch: dict[str, str] = {}
@@ -34,6 +35,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def observed(observation: Observation) -> dict | None:
+    """Metrics of a finished job. None if there are none: adaptive execution drops the observed
+    part of a plan once it finds that its result is empty."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return None
+
+
 def moment(value: Column | dt.datetime | str | None) -> Column:
     """``as_of`` arguments as a timestamp column; None is the current time."""
     if value is None:

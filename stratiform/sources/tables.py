@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratiform.session import observed
+
 STAGING, META = "_staging", "_meta"
 READY = "_ready.json"
 HIGH_WATER = "high_water.json"
@@ -100,7 +102,7 @@ class Table:
         df.observe(observation, *aggregates).drop(*(drop or [])).select(*self.schema.names).write.partitionBy(
             self.partition
         ).parquet(staged.path)
-        staged.metrics = dict(observation.get)
+        staged.metrics = dict(observed(observation) or dict.fromkeys(["rows", *(metrics or {})], 0))
         mark = {"replace": replace, "max_id": staged.metrics.pop("max_id", None)}
         self._fs.write(f"{staged.path}/{READY}", json.dumps(mark))
         return staged
