@@ -52,11 +52,14 @@ def conditional_upsert(
 
 def replacing_upsert(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
     """Gold upsert: incoming rows replace rows of the same key; all other rows stay."""
-    kept = existing.join(incoming.select(*key), key, "left_anti").withColumn(ACTION, F.lit(KEEP))
-    known = existing.select(*key, F.lit(True).alias("_known"))
-    action = F.when(F.col("_known"), UPDATE).otherwise(INSERT).alias(ACTION)
-    new = incoming.join(known, key, "left").select(*existing.columns, action)
-    return kept.unionByName(new)
+    names = existing.columns
+    old = existing.select(F.struct(*names).alias("o"), *[F.col(k).alias(f"o_{k}") for k in key])
+    new = incoming.select(F.struct(*names).alias("n"), *[F.col(k).alias(f"n_{k}") for k in key])
+    joined = old.join(new, [F.col(f"o_{k}") == F.col(f"n_{k}") for k in key], "full_outer")
+    is_old, is_new = F.col(f"o_{key[0]}").isNotNull(), F.col(f"n_{key[0]}").isNotNull()
+    columns = [F.when(is_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in names]
+    action = F.when(~is_new, KEEP).when(is_old, UPDATE).otherwise(INSERT)
+    return joined.select(*columns, action.alias(ACTION))
 
 
 def insert_or_ignore(existing: DataFrame, incoming: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

@@ -10,15 +10,21 @@ from pyspark.sql import functions as F
 from stratiform import schemas as S
 from stratiform.functions.time import Bound
 from stratiform.operators import guards
-from stratiform.operators.upsert import ACTION, INSERT, KEEP, UPDATE, conditional_upsert, insert_or_ignore
+from stratiform.operators.upsert import (
+    ACTION,
+    INSERT,
+    KEEP,
+    UPDATE,
+    conditional_upsert,
+    insert_or_ignore,
+    insert_or_reject,
+)
 from stratiform.plans import backfill, bronze, gold, quality, silver
 from stratiform.session import moment, observed, prepare, scratch_dir
-from stratiform.sources.tables import Table
+from stratiform.sources.tables import Staged, Table, delete_folder
 
 AsOf = Column | dt.datetime | str | None
 
-FEW_DAYS = 2
-
 
 class Warehouse:
     """Bronze, error log, silver and gold under one root folder that all executors share."""
@@ -37,30 +43,67 @@ class Warehouse:
 
     # -- landed -> bronze ---------------------------------------------------------------
 
-    def load_landed(self, landed: DataFrame, as_of: AsOf = None, retry_attempt: int = 0) -> dict:
+    def load_landed(
+        self, landed: DataFrame, as_of: AsOf = None, retry_attempt: int = 0, gather_days: bool = False
+    ) -> dict:
         """Store valid documents, log refused ones.
 
-        Stored keys are read from the retrieval days of the batch only. Refused documents are
-        looked for, in a second pass, only if the first one stored fewer documents than it saw.
+        Documents are parsed and written once, without a shuffle of their text. The unique key is
+        then checked on the narrow columns of the written batch, against the stored keys of its
+        own retrieval days; only a batch with duplicates is written again without them. Invalid
+        documents are looked for in a second pass only if the first one met any. ``gather_days``
+        shuffles a batch of many days into whole files per day.
         """
         self.bronze.recover()
         now = moment(as_of)
-        days = _days(landed.select(F.to_date("api_retrieval_time").alias("day")))
-        # against the table as it is now: rows stored below must not refuse themselves
         last_id = self.bronze.high_water()
-        existing = self.bronze.read(days).filter(F.col("record_id") <= last_id)
         seen = Observation()
-        counted = landed.observe(seen, F.count("*").alias("documents"))
-        load = bronze.load_bronze(counted, existing, now, self.endpoint, retry_attempt)
-        # a daily batch goes out as it comes; many days are first gathered into whole files per day
-        stored = self.bronze.append(load.accepted, rebalance=len(days) > FEW_DAYS)["rows"]
-        found = observed(seen)
-        refused = (found["documents"] if found else landed.count()) - stored
-        if refused:
-            existing = self.bronze.read(days).filter(F.col("record_id") <= last_id)
-            again = bronze.load_bronze(landed, existing, now, self.endpoint, retry_attempt)
-            self.errors.append(again.errors)
-        return {"documents": stored + refused, "stored": stored, "refused": refused, "last_id": last_id}
+        checked = bronze.classify(landed).observe(
+            seen, F.count("*").alias("documents"), F.count_if(F.col(guards.REJECT).isNotNull()).alias("invalid")
+        )
+        staged = self.bronze.stage(
+            bronze.bronze_rows(guards.valid(checked), now), replace=False, new_rows=F.lit(True), rebalance=gather_days
+        )
+        found = observed(seen) or {"documents": landed.count(), "invalid": None}
+        staged, duplicates = self._without_duplicates(staged, now, retry_attempt)
+        stored = staged.metrics["rows"]
+        invalid = found["documents"] - stored - duplicates if found["invalid"] is None else found["invalid"]
+        if invalid:
+            refused = guards.rejected(bronze.classify(landed)).select(*bronze.ERROR_FIELDS, f"{guards.REJECT}.*")
+            self.errors.append(bronze.error_rows(refused, now, self.endpoint, retry_attempt))
+        days = self.bronze.staged_days(staged)
+        self.bronze.publish(staged)
+        return {
+            "documents": found["documents"],
+            "stored": stored,
+            "refused": invalid + duplicates,
+            "days": days,
+            "last_id": last_id,
+        }
+
+    def _without_duplicates(self, staged: Staged, now: Column, retry_attempt: int) -> tuple[Staged, int]:
+        """Refuse documents whose key occurs before them, in the batch or in the table."""
+        batch, known = self.bronze.staged_rows(staged), self.bronze.read(self.bronze.staged_days(staged))
+        slim = ["record_id", "location_name", "latitude", "longitude", "timezone", "retrieval_date"]
+        _, refused = insert_or_reject(known, batch, S.BRONZE_KEY, ["response_time_ms", "record_id"], slim)
+        # written down, so that the join below knows its size: few duplicates are broadcast
+        path = scratch_dir(self.spark, "duplicates")
+        count = Observation()
+        refused.observe(count, F.count("*").alias("n")).write.parquet(path)
+        duplicates = (observed(count) or {"n": 0})["n"]
+        if duplicates:
+            losers = self.spark.read.schema(refused.schema).parquet(path)
+            errors = losers.withColumn("error_type", F.lit("UniqueViolation"))
+            errors = errors.withColumn("error_message", F.lit(bronze.DUPLICATE))
+            errors = errors.withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")})
+            self.errors.append(bronze.error_rows(errors, now, self.endpoint, retry_attempt))
+            kept = batch.join(losers.select("record_id"), "record_id", "left_anti")
+            smaller = self.bronze.stage(kept, replace=False, new_rows=F.lit(False), rebalance=False)
+            smaller.max_id = staged.max_id
+            self.bronze.discard(staged)
+            staged = smaller
+        delete_folder(self.spark, path)
+        return staged, duplicates
 
     # -- bronze -> silver ---------------------------------------------------------------
 
@@ -72,55 +115,54 @@ class Warehouse:
         bad = Observation()
         counted = checked.observe(bad, F.count_if(F.col(guards.REJECT).isNotNull()).alias("rejected"))
         rows = guards.strict(counted) if strict else guards.valid(counted)
-        candidates, days = self._materialize(silver.latest_per_key(rows))
+        candidates, days, path = self._materialize(silver.latest_per_key(rows))
         found = observed(bad)
         refused = silver.silver_rejects(bronze_rows)
         rejected = found["rejected"] if found else refused.count()
         if rejected:
             self.errors.append(bronze.error_rows(refused, now, self.endpoint))
-        if not days:
-            return {"inserted": 0, "updated": 0, "rejected": rejected, "days": []}
-        merged = conditional_upsert(self.silver.read(days), candidates, now)
-        metrics = self.silver.replace_partitions(
-            merged, F.col(ACTION) == INSERT, [ACTION], _action_counts()
-        )
-        return {
-            "inserted": metrics["inserted"],
-            "updated": metrics["updated"],
-            "rejected": rejected,
-            "days": days,
-        }
+        result = {"inserted": 0, "updated": 0, "rejected": rejected, "days": days}
+        if days:
+            merged = conditional_upsert(self.silver.read(days), candidates, now)
+            is_new = F.col(ACTION) == INSERT
+            metrics = self.silver.replace_partitions(merged, is_new, [ACTION], _action_counts())
+            result |= {k: metrics[k] for k in ("inserted", "updated")}
+        delete_folder(self.spark, path)
+        return result
 
-    def _materialize(self, candidates: DataFrame) -> tuple[DataFrame, list[str]]:
+    def _materialize(self, candidates: DataFrame) -> tuple[DataFrame, list[str], str]:
         """Write the batch once: parsing is the expensive part, and both the touched days and
         the upsert need its result."""
         path = scratch_dir(self.spark, "candidates")
         candidates.write.parquet(path)
         written = self.spark.read.schema(candidates.schema).parquet(path)
-        return written, _days(written.select(F.col("observation_date").alias("day")))
+        return written, _days(written.select(F.col("observation_date").alias("day"))), path
 
     def insert_silver(self, bronze_rows: DataFrame, as_of: AsOf = None) -> dict:
         """The mode that never touches a stored hour: conflicts are ignored."""
-        candidates, days = self._materialize(silver.silver_candidates(bronze_rows))
-        if not days:
-            return {"inserted": 0, "days": []}
-        order = [F.desc("api_retrieval_time")]
-        new = insert_or_ignore(self.silver.read(days), candidates, S.SILVER_KEY, order)
-        rows = new.withColumn("id", F.lit(None).cast("long")).withColumn("transformed_at", moment(as_of))
-        return {"inserted": self.silver.append(rows, rebalance=True)["rows"], "days": days}
+        self.silver.recover()
+        candidates, days, path = self._materialize(silver.silver_candidates(bronze_rows))
+        inserted = 0
+        if days:
+            order = [F.desc("api_retrieval_time")]
+            new = insert_or_ignore(self.silver.read(days), candidates, S.SILVER_KEY, order)
+            rows = new.withColumn("id", F.lit(None).cast("long")).withColumn("transformed_at", moment(as_of))
+            inserted = self.silver.append(rows, rebalance=True)["rows"]
+        delete_folder(self.spark, path)
+        return {"inserted": inserted, "days": days}
 
     # -- silver -> gold -----------------------------------------------------------------
 
     def update_gold(self, days: list[str] | None = None, as_of: AsOf = None) -> dict:
         """Aggregate whole days, all or only ``days``, and replace their summaries."""
         self.gold.recover()
-        days = self.silver.days() if days is None else days
-        if not days:
+        touched = self.silver.days() if days is None else days
+        if not touched:
             return {"inserted": 0, "updated": 0, "days": []}
         new = gold.to_gold(self.silver.read(days), as_of)
         merged = gold.upsert_gold(self.gold.read(days), new)
         metrics = self.gold.replace_partitions(merged, F.lit(False), [ACTION], _action_counts())
-        return {"inserted": metrics["inserted"], "updated": metrics["updated"], "days": days}
+        return {"inserted": metrics["inserted"], "updated": metrics["updated"], "days": touched}
 
     # -- backfill -----------------------------------------------------------------------
 
@@ -157,7 +199,7 @@ class Warehouse:
     def run(self, landed: DataFrame, as_of: AsOf = None) -> dict:
         """One batch through all layers."""
         loaded = self.load_landed(landed, as_of)
-        fresh = self.bronze.read().filter(F.col("record_id") > loaded["last_id"])
+        fresh = self.bronze.read(loaded["days"]).filter(F.col("record_id") > loaded["last_id"])
         silver_result = self.update_silver(fresh, as_of)
         gold_result = self.update_gold(silver_result["days"], as_of)
         return {"bronze": loaded, "silver": silver_result, "gold": gold_result}

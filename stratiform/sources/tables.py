@@ -29,6 +29,7 @@ class Staged:
 
     path: str
     replace: bool
+    max_id: int | None = None
     metrics: dict = field(default_factory=dict)
 
 
@@ -103,17 +104,37 @@ class Table:
             self.partition
         ).parquet(staged.path)
         staged.metrics = dict(observed(observation) or dict.fromkeys(["rows", *(metrics or {})], 0))
-        mark = {"replace": replace, "max_id": staged.metrics.pop("max_id", None)}
-        self._fs.write(f"{staged.path}/{READY}", json.dumps(mark))
+        staged.max_id = staged.metrics.pop("max_id", None)
         return staged
 
+    def staged_rows(self, staged: Staged) -> DataFrame:
+        """A staged change as rows, for a last check before it is published."""
+        return self.spark.read.schema(self.schema).parquet(staged.path)
+
+    def staged_days(self, staged: Staged) -> list[str]:
+        return self._partitions(staged.path)
+
+    def discard(self, staged: Staged) -> None:
+        self._fs.delete(staged.path)
+
+    def mark_ready(self, staged: Staged) -> None:
+        """From here on the change will be in the table, whatever happens to this job."""
+        mark = {"replace": staged.replace, "max_id": staged.max_id}
+        self._fs.write(f"{staged.path}/{READY}", json.dumps(mark))
+
     def publish(self, staged: Staged) -> dict:
-        """Move a ready change into place; safe to repeat."""
-        mark = json.loads(self._fs.read(f"{staged.path}/{READY}"))
-        for name in self._fs.children(staged.path):
+        """Make a staged change part of the table."""
+        self.mark_ready(staged)
+        self._move_into_place(staged.path)
+        return staged.metrics
+
+    def _move_into_place(self, staged_path: str) -> None:
+        """Safe to repeat: what has been moved is no longer in the staging folder."""
+        mark = json.loads(self._fs.read(f"{staged_path}/{READY}"))
+        for name in self._fs.children(staged_path):
             if "=" not in name:
                 continue
-            source, target = f"{staged.path}/{name}", f"{self.path}/{name}"
+            source, target = f"{staged_path}/{name}", f"{self.path}/{name}"
             if mark["replace"]:
                 self._fs.delete(target)
                 self._fs.rename(source, target)
@@ -123,9 +144,8 @@ class Table:
                     self._fs.rename(f"{source}/{part}", f"{target}/{part}")
         if mark["max_id"] is not None and mark["max_id"] > self.high_water():
             self._fs.write(f"{self.path}/{META}/{HIGH_WATER}", json.dumps({"max_id": mark["max_id"]}))
-        self._fs.delete(staged.path)
+        self._fs.delete(staged_path)
         self.spark.catalog.refreshByPath(self.path)
-        return staged.metrics
 
     def recover(self) -> None:
         """Finish ready changes, drop unfinished ones."""
@@ -133,14 +153,17 @@ class Table:
         for name in self._fs.children(f"{self.path}/{STAGING}"):
             path = f"{self.path}/{STAGING}/{name}"
             if self._fs.exists(f"{path}/{READY}"):
-                self.publish(Staged(path, replace=False))
+                self._move_into_place(path)
             else:
                 self._fs.delete(path)
 
     def days(self) -> list[str]:
         """Partition values, read from the folder names."""
+        return self._partitions(self.path)
+
+    def _partitions(self, path: str) -> list[str]:
         prefix = f"{self.partition}="
-        return sorted(n.removeprefix(prefix) for n in self._fs.children(self.path) if n.startswith(prefix))
+        return sorted(n.removeprefix(prefix) for n in self._fs.children(path) if n.startswith(prefix))
 
     def high_water(self) -> int:
         """The highest id given out so far."""
@@ -148,6 +171,11 @@ class Table:
         return json.loads(text)["max_id"] if text else 0
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder this package has written."""
+    _FileSystem(spark, path).delete(path)
+
+
 class _FileSystem:
     """The few calls needed on whatever file system the path belongs to."""
 

@@ -31,7 +31,9 @@ def metrics(house):
 
 def test_layers_end_to_end(spark, house):
     first = house.run(landed(spark, ("A", D1, doc(1.0)), ("B", D1, doc(5.0)), ("C", D1, None)), D1)
-    assert first["bronze"] == {"documents": 3, "stored": 2, "refused": 1, "last_id": 0}
+    assert first["bronze"] == {
+        "documents": 3, "stored": 2, "refused": 1, "days": ["2026-01-01"], "last_id": 0,
+    }
     assert (first["silver"]["inserted"], first["silver"]["updated"], first["gold"]["inserted"]) == (6, 0, 2)
     ids = {(r.location_name, r.observation_timestamp): r.id for r in house.silver.read().collect()}
 
@@ -88,14 +90,14 @@ def _staged_change(spark, house, place, at):
 
     candidates = silver_candidates(bronze(spark, (50, place, at, doc(50.0))))
     merged = conditional_upsert(house.silver.read(["2026-01-02"]), candidates, at)
+    house.silver.recover()
     return house.silver.stage(merged, replace=True, new_rows=F.col(ACTION) == INSERT, drop=[ACTION])
 
 
 def test_change_lost_before_it_is_ready(spark, house):
     house.run(landed(spark, ("A", D1, doc(1.0))), D1)
     before = metrics(house)
-    staged = _staged_change(spark, house, "A", D2)
-    house.silver._fs.delete(f"{staged.path}/_ready.json")
+    _staged_change(spark, house, "A", D2)
     house.silver.recover()
     assert metrics(house) == before
     assert house.silver._fs.children(f"{house.silver.path}/{STAGING}") == []
@@ -105,6 +107,7 @@ def test_change_interrupted_while_it_moves(spark, house):
     house.run(landed(spark, ("A", D1, doc(1.0))), D1)
     high = house.silver.high_water()
     staged = _staged_change(spark, house, "B", D2)
+    house.silver.mark_ready(staged)
     # the old partition is gone and the new one not there yet
     house.silver._fs.delete(f"{house.silver.path}/observation_date=2026-01-02")
     house.silver.recover()
