@@ -10,7 +10,6 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratiform import schemas as S
@@ -125,17 +124,17 @@ def plain(df: DataFrame) -> DataFrame:
     """Output types both engines share: no zones, decimals as doubles, wide integers, ISO days."""
     columns = []
     for f in df.schema.fields:
-        column = F.col(f"`{f.name}`")
+        name, target = f"`{f.name}`", None
         if isinstance(f.dataType, T.TimestampType):
-            column = column.cast("timestamp_ntz")
+            target = "timestamp_ntz"
         elif isinstance(f.dataType, (T.DecimalType, T.FloatType)):
-            column = column.cast("double")
+            target = "double"
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            column = column.cast("bigint")
+            target = "bigint"
         elif isinstance(f.dataType, T.DateType):
-            column = column.cast("string")
-        columns.append(column.alias(f.name))
-    return df.select(*columns)
+            target = "string"
+        columns.append(f"cast({name} AS {target}) AS {name}" if target else name)
+    return df.selectExpr(*columns)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -20,6 +20,12 @@ def round_numeric(value: Column, precision: int, scale: int) -> Column:
     return F.round(to_numeric(value), scale).cast(f"decimal({precision},{scale})")
 
 
+def round_numeric_sql(name: str, precision: int, scale: int) -> str:
+    """``round_numeric`` of a double column as SQL text, for projections with many of them."""
+    exact = f"CASE WHEN {name} IS NOT NULL THEN cast(format_string('%.14e', {name}) AS decimal(38,18)) END"
+    return f"cast(round({exact}, {scale}) AS decimal({precision},{scale}))"
+
+
 def try_round_numeric(value: Column, precision: int, scale: int) -> Column:
     """As ``round_numeric`` with NULL instead of the error, for guards."""
     exact = F.format_string("%.14e", value.cast("double")).try_cast("decimal(38,18)")

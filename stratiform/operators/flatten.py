@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 def _zip(arrays: Mapping[str, Column]) -> Column:
     # arrays_zip names its fields after the inputs, so the inputs become plain columns first
-    return F.arrays_zip(*[F.col(f"_a_{name}") for name in arrays])
+    return F.expr(f"arrays_zip({', '.join(f'_a_{name}' for name in arrays)})")
 
 
 def zip_longest(df: DataFrame, keep: list[Column], arrays: Mapping[str, Column]) -> DataFrame:
@@ -20,7 +20,7 @@ def zip_longest(df: DataFrame, keep: list[Column], arrays: Mapping[str, Column])
     staged = df.select(*keep, *[a.alias(f"_a_{n}") for n, a in arrays.items()])
     rows = staged.select("*", F.explode(_zip(arrays)).alias("_item"))
     kept = [c for c in staged.columns if not c.startswith("_a_")]
-    return rows.select(*kept, *[F.col(f"_item._a_{n}").alias(n) for n in arrays])
+    return rows.selectExpr(*kept, *[f"_item._a_{n} AS {n}" for n in arrays])
 
 
 def zip_shortest(df: DataFrame, keep: list[Column], arrays: Mapping[str, Column], ordinal: str) -> DataFrame:
@@ -30,9 +30,7 @@ def zip_shortest(df: DataFrame, keep: list[Column], arrays: Mapping[str, Column]
     shortest = F.least(*sizes) if len(sizes) > 1 else sizes[0]
     rows = staged.select("*", F.explode(F.slice(_with_position(arrays), F.lit(1), shortest)).alias("_item"))
     kept = [c for c in staged.columns if not c.startswith("_a_")]
-    return rows.select(
-        *kept, F.col("_item.pos").alias(ordinal), *[F.col(f"_item.item._a_{n}").alias(n) for n in arrays]
-    )
+    return rows.selectExpr(*kept, f"_item.pos AS {ordinal}", *[f"_item.item._a_{n} AS {n}" for n in arrays])
 
 
 def _with_position(arrays: Mapping[str, Column]) -> Column:

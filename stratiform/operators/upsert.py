@@ -30,24 +30,25 @@ def conditional_upsert(
     same_key = [F.col(f"o_{k}") == F.col(f"n_{k}") for k in S.SILVER_KEY]
     joined = old.join(new, same_key, "full_outer")
 
-    is_insert = F.col("o_location_name").isNull()
-    is_newer = F.coalesce(F.col("n.api_retrieval_time") > F.col("o.api_retrieval_time"), F.lit(False))
-    takes_new = is_insert | is_newer
-
+    flagged = joined.select(
+        "o",
+        "n",
+        now.alias("_now"),
+        F.expr("o_location_name IS NULL AS _insert"),
+        F.expr("coalesce(n.api_retrieval_time > o.api_retrieval_time, false) AS _newer"),
+    )
     columns = []
     for name in S.SILVER.names:
-        stored = F.col(f"o.{name}")
         if name == "id":
-            value = stored
+            columns.append("o.id AS id")
         elif name == "transformed_at":
-            value = F.when(takes_new, now).otherwise(stored)
+            columns.append("IF(_insert OR _newer, _now, o.transformed_at) AS transformed_at")
         elif name in S.SILVER_REPLACED:
-            value = F.when(takes_new, F.col(f"n.{name}")).otherwise(stored)
+            columns.append(f"IF(_insert OR _newer, n.{name}, o.{name}) AS {name}")
         else:
-            value = F.when(is_insert, F.col(f"n.{name}")).otherwise(stored)
-        columns.append(value.alias(name))
-    action = F.when(is_insert, INSERT).when(is_newer, UPDATE).otherwise(KEEP)
-    return joined.select(*columns, action.alias(ACTION))
+            columns.append(f"IF(_insert, n.{name}, o.{name}) AS {name}")
+    action = f"CASE WHEN _insert THEN '{INSERT}' WHEN _newer THEN '{UPDATE}' ELSE '{KEEP}' END AS {ACTION}"
+    return flagged.selectExpr(*columns, action)
 
 
 def replacing_upsert(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
@@ -56,10 +57,9 @@ def replacing_upsert(existing: DataFrame, incoming: DataFrame, key: list[str]) -
     old = existing.select(F.struct(*names).alias("o"), *[F.col(k).alias(f"o_{k}") for k in key])
     new = incoming.select(F.struct(*names).alias("n"), *[F.col(k).alias(f"n_{k}") for k in key])
     joined = old.join(new, [F.col(f"o_{k}") == F.col(f"n_{k}") for k in key], "full_outer")
-    is_old, is_new = F.col(f"o_{key[0]}").isNotNull(), F.col(f"n_{key[0]}").isNotNull()
-    columns = [F.when(is_new, F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in names]
-    action = F.when(~is_new, KEEP).when(is_old, UPDATE).otherwise(INSERT)
-    return joined.select(*columns, action.alias(ACTION))
+    columns = [f"IF(n_{key[0]} IS NOT NULL, n.{c}, o.{c}) AS {c}" for c in names]
+    action = f"CASE WHEN n_{key[0]} IS NULL THEN '{KEEP}' WHEN o_{key[0]} IS NULL THEN '{INSERT}' ELSE '{UPDATE}' END"
+    return joined.selectExpr(*columns, f"{action} AS {ACTION}")
 
 
 def insert_or_ignore(existing: DataFrame, incoming: DataFrame, key: list[str], order: list[Column]) -> DataFrame:

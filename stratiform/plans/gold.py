@@ -8,24 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform import schemas as S
-from stratiform.functions.numeric import float_to_int, round_numeric
+from stratiform.functions.numeric import float_to_int, round_numeric_sql
 from stratiform.operators.upsert import replacing_upsert
 from stratiform.session import moment
 
-AGGREGATES = {"avg": F.avg, "min": F.min, "max": F.max, "sum": F.sum}
-
 
 def to_gold(silver: DataFrame, as_of: Column | dt.datetime | str | None = None) -> DataFrame:
     """One row per UTC day and location, rounded half away from zero on exact decimals."""
     rows = silver.filter(F.col("observation_timestamp").isNotNull())
-    raw = [AGGREGATES[m.aggregate](m.source).alias(m.column) for m in S.MEASURES]
+    raw = [F.expr(f"{m.aggregate}({m.source}) AS {m.column}") for m in S.MEASURES]
     grouped = rows.groupBy(F.to_date("observation_timestamp").alias("observation_date"), "location_name").agg(
         *raw,
         F.sum("is_day").alias("_daylight"),
         F.mode("weather_code", True).alias("dominant_weather_code"),
         F.count("*").alias("_n"),
     )
-    rounded = [round_numeric(F.col(m.column), m.precision, m.scale).alias(m.column) for m in S.MEASURES]
+    rounded = [F.expr(f"{round_numeric_sql(m.column, m.precision, m.scale)} AS {m.column}") for m in S.MEASURES]
     return grouped.select(
         "location_name",
         *rounded,

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratiform import schemas as S
-from stratiform.functions.documents import CORRUPT, parse_payload, text_array
+from stratiform.functions.documents import CORRUPT, parse_payload
 from stratiform.operators import guards
 from stratiform.operators.dedup import latest_per_key
 from stratiform.operators.flatten import zip_longest
@@ -19,7 +19,13 @@ CANDIDATE = [c for c in S.SILVER.names if c not in ("id", "transformed_at")]
 
 
 NUMBERS = [name for name in S.METRICS if name not in S.TEXT_METRICS]
-TEXTS = [name for name in S.METRICS if name in S.TEXT_METRICS]
+
+# _p is the document read as numbers, _t the same one read as text where it does not fit
+UNFIT = f"_p.{CORRUPT} IS NOT NULL"
+BROKEN = f"coalesce(_t.{CORRUPT} IS NOT NULL, false)"
+# the double parser also takes a Java type suffix such as '1.5d'
+BAD_TEXT = """(text IS NOT NULL AND (try_cast(text AS double) IS NULL
+    OR (lower(substring(rtrim(text), -1, 1)) IN ('d', 'f') AND NOT contains(lower(text), 'inf'))))"""
 
 
 def flatten(bronze: DataFrame) -> DataFrame:
@@ -35,41 +41,40 @@ def flatten(bronze: DataFrame) -> DataFrame:
     read = bronze.select(
         F.col("record_id").alias("bronze_record_id"), "location_name", "api_retrieval_time", raw, typed.alias("_p")
     )
-    unfit = F.col(f"_p.{CORRUPT}").isNotNull()
-    parsed = read.withColumn("_t", F.when(unfit, parse_payload(raw, S.METRICS))).drop("raw_api_response")
-    broken = F.coalesce(F.col(f"_t.{CORRUPT}").isNotNull(), F.lit(False))
-
-    def reread(name: str) -> Column:
-        return F.when(~broken, F.col(f"_t.hourly.{name}"))
-
-    def numbers(name: str) -> Column:
-        fallback = text_array(reread(name)).try_cast("array<double>")
-        return F.when(unfit, fallback).otherwise(F.coalesce(F.col(f"_p.hourly.{name}"), F.array()))
-
-    def texts(name: str) -> Column:
-        return text_array(F.when(unfit, reread(name)).otherwise(F.col(f"_p.hourly.{name}")))
-
-    time = F.when(broken, F.array(F.lit(None).cast("string"))).otherwise(texts("time"))
-    arrays = {name: numbers(name) if name in NUMBERS else texts(name) for name in S.METRICS}
-    quoted = F.arrays_zip(*[text_array(reread(name)).alias(name) for name in NUMBERS])
-    bad = F.transform(quoted, lambda item: _any_bad_number([item[name] for name in NUMBERS]))
-    bad_place = _any_bad_number([F.col(f"_t.{c}") for c in coordinates])
+    parsed = read.withColumn("_t", F.when(F.expr(UNFIT), parse_payload(raw, S.METRICS))).drop("raw_api_response")
     keep = [
         F.col("bronze_record_id"),
         F.col("location_name"),
-        *[F.when(unfit, F.col(f"_t.{c}").try_cast("double")).otherwise(F.col(f"_p.{c}")).alias(c) for c in coordinates],
-        F.when(unfit, F.col("_t.timezone")).otherwise(F.col("_p.timezone")).alias("timezone"),
+        *[F.expr(f"IF({UNFIT}, try_cast(_t.{c} AS double), _p.{c}) AS {c}") for c in coordinates],
+        F.expr(f"IF({UNFIT}, _t.timezone, _p.timezone) AS timezone"),
         F.col("api_retrieval_time"),
-        broken.alias("_broken"),
-        (unfit & bad_place).alias("_bad_place"),
+        F.expr(f"{BROKEN} AS _broken"),
+        F.expr(f"{UNFIT} AND exists(array(_t.latitude, _t.longitude), text -> {BAD_TEXT}) AS _bad_place"),
     ]
+    time = f"IF({BROKEN}, array(cast(NULL AS string)), {_texts('time')})"
+    quoted = ", ".join(f"coalesce({_reread(name)}, array())" for name in NUMBERS)
+    texts = ", ".join(f"item.`{i}`" for i in range(len(NUMBERS)))
+    bad = f"transform(arrays_zip({quoted}), item -> exists(array({texts}), text -> {BAD_TEXT}))"
     items = {
         "time": time,
-        "timestamp": time.try_cast("array<timestamp>"),
-        **arrays,
-        "bad": F.when(unfit, bad).otherwise(F.array().cast("array<boolean>")),
+        "timestamp": f"try_cast({time} AS array<timestamp>)",
+        **{name: _numbers(name) if name in NUMBERS else _texts(name) for name in S.METRICS},
+        "bad": f"IF({UNFIT}, {bad}, cast(array() AS array<boolean>))",
     }
-    return zip_longest(parsed, keep, items)
+    return zip_longest(parsed, keep, {name: F.expr(sql) for name, sql in items.items()})
+
+
+def _reread(name: str) -> str:
+    return f"IF({BROKEN}, NULL, _t.hourly.{name})"
+
+
+def _numbers(name: str) -> str:
+    quoted = f"try_cast(coalesce({_reread(name)}, array()) AS array<double>)"
+    return f"IF({UNFIT}, {quoted}, coalesce(_p.hourly.{name}, array()))"
+
+
+def _texts(name: str) -> str:
+    return f"coalesce(IF({UNFIT}, {_reread(name)}, _p.hourly.{name}), array())"
 
 
 def checked_observations(bronze: DataFrame) -> DataFrame:
@@ -92,19 +97,10 @@ def checked_observations(bronze: DataFrame) -> DataFrame:
         guards.max_width("timezone", S.TIMEZONE_WIDTH),
         guards.max_width("weather_code", S.CODE_WIDTH),
     ]
-    renamed = {column: F.col(key) for key, column in S.METRICS.items()}
-    renamed |= {"observation_timestamp": timestamp, "observation_date": F.to_date(timestamp)}
-    columns = [renamed.get(c, F.col(c)).alias(c) for c in CANDIDATE]
-    return rows.select(*columns, guards.first_reason(rules).alias(guards.REJECT))
-
-
-def _any_bad_number(texts: list[Column]) -> Column:
-    return F.exists(F.array(*texts), lambda text: text.isNotNull() & (text.try_cast("double").isNull() | _suffixed(text)))
-
-
-def _suffixed(text: Column) -> Column:
-    """The double parser also takes a Java type suffix such as '1.5d'."""
-    return F.lower(F.substring(F.rtrim(text), -1, 1)).isin("d", "f") & ~F.lower(text).contains("inf")
+    renamed = {column: key for key, column in S.METRICS.items()}
+    renamed |= {"observation_timestamp": "timestamp", "observation_date": "to_date(timestamp)"}
+    flagged = rows.withColumn(guards.REJECT, guards.first_reason(rules))
+    return flagged.selectExpr(*[f"{renamed.get(c, c)} AS {c}" for c in CANDIDATE], guards.REJECT)
 
 
 def to_silver(bronze: DataFrame, strict: bool = False) -> DataFrame:
