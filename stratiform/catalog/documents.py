@@ -178,21 +178,26 @@ def time_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select(*DOCUMENT_KEY, F.explode(axis).alias("axis_time"))
 
 
+# every vector gives one series per frame variable: 50 items, each series one item further on
+_STEPS = 50
+
+
 @query(
     "hourly_frame",
-    """SELECT vec_id, make_timestamp((vec_id * 3600 + (i - 1) * 1800) * 1000000) AS date_utc,
-    CAST(whole[i] AS DOUBLE) AS temperature_2m, CAST(head[i] AS DOUBLE) AS apparent_temperature
-    FROM (SELECT *, unnest(range(1, 65)) AS i """ + _PAIR_SQL + ")",
+    f"""SELECT vec_id, make_timestamp((vec_id * 3600 + (i - 1) * 1800) * 1000000) AS date_utc,
+    {", ".join(f"CAST(embedding[i + {p}] AS DOUBLE) AS {name}" for p, name in enumerate(S.FRAME_VARIABLES))}
+    FROM (SELECT *, unnest(range(1, {_STEPS + 1})) AS i FROM embeddings)""",
 )
 def hourly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.col("vec_id") * 3600
+    series = [F.slice("embedding", F.lit(p + 1), F.lit(_STEPS)) for p in range(len(S.FRAME_VARIABLES))]
     return hourly_frame(
-        _pairs(spark, sf_dir),
+        table(spark, sf_dir, "embeddings"),
         start,
-        start + 64 * 1800,
+        start + _STEPS * 1800,
         F.lit(1800),
-        ["temperature_2m", "apparent_temperature"],
-        F.array("whole", "head"),
+        S.FRAME_VARIABLES,
+        F.array(*series),
         ["vec_id"],
     )
 

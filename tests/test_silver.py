@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratiform import schemas as S
 from stratiform.operators.flatten import ordinality_join, with_ordinality, zip_longest, zip_shortest
-from stratiform.plans.explore import recent_observations
+from stratiform.plans.explore import hourly_level_keys, payload_types, recent_observations, top_level_keys
 from stratiform.plans.silver import silver_candidates, silver_rejects, to_silver
 
 T1, T2, T3 = "2026-01-01T06:00:00", "2026-01-02T06:00:00", "2026-01-03T06:00:00"
@@ -130,3 +130,16 @@ def test_recent_observations_need_every_variable(spark):
     rows = recent_observations(docs, "2026-01-01T06:00:00").collect()
     assert sorted((r.bronze_record_id, r.rn) for r in rows) == [(1, 1), (1, 2), (1, 3), (2, 1)]
     assert {r.is_day for r in rows} == {True}
+
+
+def test_payload_shape(spark):
+    docs = bronze(
+        spark,
+        (1, "A", T1, '{"latitude":1.5,"hourly":{"time":["x"],"rain":[1.5]}}'),
+        (2, "A", T2, '{"timezone":"UTC","hourly":{"time":[],"uv_index":[null]}}'),
+    )
+    assert {r[0] for r in top_level_keys(docs).collect()} == {"latitude", "timezone", "hourly"}
+    assert {r[0] for r in hourly_level_keys(docs).collect()} == {"time", "rain", "uv_index"}
+    shape = payload_types(docs).head().payload_type
+    assert "time: ARRAY<STRING>" in shape
+    assert "timezone: STRING" in shape
