@@ -15,9 +15,11 @@ def reason(error_type: str, message: str | Column) -> Column:
     return F.struct(F.lit(error_type).alias("error_type"), text.alias("error_message"))
 
 
-def first_reason(rules: list[tuple[Column, Column]]) -> Column:
-    """The reason of the first rule whose condition holds, in order; NULL if none does."""
-    return F.coalesce(*[F.when(condition, why) for condition, why in rules], F.lit(None).cast(NO_REJECT))
+def first_reason(rules: list[tuple[Column, Column] | Column]) -> Column:
+    """The reason of the first rule whose condition holds, in order; NULL if none does. A rule is
+    a condition with its reason, or a column that is a reason or NULL."""
+    reasons = [rule if isinstance(rule, Column) else F.when(*rule) for rule in rules]
+    return F.coalesce(*reasons, F.lit(None).cast(NO_REJECT))
 
 
 def not_null(column: str) -> tuple[Column, Column]:

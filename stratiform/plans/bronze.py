@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform import schemas as S
-from stratiform.functions.documents import CORRUPT, is_valid_json, object_keys, object_path
+from stratiform.functions.documents import CORRUPT
 from stratiform.functions.numeric import numeric_to_int, round_numeric, try_round_numeric
 from stratiform.functions.text import truncate_message
 from stratiform.operators import guards
@@ -24,7 +24,7 @@ EMPTY_HOURLY = "'hourly' data is empty in API response"
 INVALID_JSON = "invalid input syntax for type json"
 DUPLICATE = 'duplicate key value violates unique constraint "unique_location_request"'
 EMPTY_RESPONSES = ["", "[]", "null"]
-EMPTY_OBJECTS = ["", "{}", "[]", "0", "0.0", "false"]
+EMPTY_VALUES = ['""', "[]", "0", "0.0", "false"]
 
 TIE_BREAK = ["response_time_ms", "_raw_hash"]
 ERROR_FIELDS = [
@@ -51,15 +51,10 @@ def classify(landed: DataFrame) -> DataFrame:
     if CORRUPT not in landed.columns:
         landed = landed.withColumn(CORRUPT, F.lit(None).cast("string"))
     raw = F.col("api_response")
-    has_hourly = F.coalesce(F.array_contains(object_keys(raw), "hourly"), F.lit(False))
-    hourly = F.trim(object_path(raw, "hourly"))
-    value_error = "ValueError"
     rules = [
         (F.col(CORRUPT).isNotNull(), guards.reason("JSONDecodeError", INVALID_JSON)),
-        (raw.isNull() | F.trim(raw).isin(EMPTY_RESPONSES), guards.reason(value_error, EMPTY_RESPONSE)),
-        (~is_valid_json(raw), guards.reason("JSONDecodeError", INVALID_JSON)),
-        (~has_hourly, guards.reason(value_error, MISSING_HOURLY)),
-        (hourly.isNull() | hourly.isin(EMPTY_OBJECTS), guards.reason(value_error, EMPTY_HOURLY)),
+        (raw.isNull() | F.trim(raw).isin(EMPTY_RESPONSES), guards.reason("ValueError", EMPTY_RESPONSE)),
+        _document_reason(raw),
         guards.not_null("location_name"),
         guards.not_null("latitude"),
         guards.not_null("longitude"),
@@ -73,6 +68,23 @@ def classify(landed: DataFrame) -> DataFrame:
     return landed.withColumn(guards.REJECT, guards.first_reason(rules)).drop(CORRUPT)
 
 
+def _document_reason(raw: Column) -> Column:
+    """Invalid JSON, no hourly part, or an empty one. The lambda binds the parsed document, so that
+    it is parsed once however often the optimizer copies this expression."""
+
+    def check(document: Column) -> Column:
+        hourly = F.variant_get(document, "$.hourly", "variant")
+        size = F.size(F.try_variant_get(document, "$.hourly", "map<string,variant>"))
+        empty = F.is_variant_null(hourly) | (size == 0) | (size.isNull() & F.to_json(hourly).isin(EMPTY_VALUES))
+        return (
+            F.when(document.isNull(), guards.reason("JSONDecodeError", INVALID_JSON))
+            .when(hourly.isNull(), guards.reason("ValueError", MISSING_HOURLY))
+            .when(empty, guards.reason("ValueError", EMPTY_HOURLY))
+        )
+
+    return F.transform(F.array(F.try_parse_json(raw)), check)[0]
+
+
 def _numeric_range(column: str) -> tuple[Column, Column]:
     too_large = F.col(column).isNotNull() & try_round_numeric(F.col(column), 8, 4).isNull()
     return too_large, guards.reason("NumericValueOutOfRange", "numeric field overflow")

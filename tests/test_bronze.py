@@ -23,6 +23,9 @@ GOOD = payload(hours(0), temperature_2m=[1.0])
         ('["hourly"]', "Missing 'hourly' data in API response"),
         ('{"hourly": { }}', "'hourly' data is empty in API response"),
         ('{"hourly":null}', "'hourly' data is empty in API response"),
+        ('{"hourly":[]}', "'hourly' data is empty in API response"),
+        ('{"hourly":0}', "'hourly' data is empty in API response"),
+        ('{"hourly":""}', "'hourly' data is empty in API response"),
         ('{"hourly":{"rain":[NaN]}}', "invalid input syntax for type json"),
         ('{"hourly":', "invalid input syntax for type json"),
     ],
