@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stratiform import schemas as S
 from stratiform.catalog.base import query, table, with_events
 from stratiform.catalog.layers import bronze
-from stratiform.functions.documents import first_element, object_path
+from stratiform.functions.documents import element_array, first_element, object_path
 from stratiform.functions.numeric import float_to_int, numeric_to_int, round_numeric, text_to_boolean
 from stratiform.functions.text import clean_frame, truncate_message
 from stratiform.functions.time import elapsed_ms, time_axis
@@ -131,6 +131,19 @@ def array_ordinality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_ordinality(vectors, [F.col("vec_id")], F.col("embedding"), "value", "ordinal")
 
 
+@query(
+    "json_array_ordinality",
+    with_events(
+        select="""SELECT bronze_record_id AS record_id, row_number() OVER (PARTITION BY bronze_record_id
+        ORDER BY observation_timestamp) AS time_idx,
+    strftime(observation_timestamp, '%Y-%m-%dT%H:%M:%S+00:00') AS time_elem FROM flat"""
+    ),
+)
+def json_array_ordinality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    times = element_array(F.col("raw_api_response"), "hourly", "time")
+    return with_ordinality(bronze(spark, sf_dir), [F.col("record_id")], times, "time_elem", "time_idx")
+
+
 @query(
     "lateral_elements",
     """SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS rn,

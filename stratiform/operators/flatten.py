@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import operator
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,8 +56,3 @@ def lateral_elements(spark: SparkSession, df: DataFrame, keep: list[str], array:
     """CROSS JOIN LATERAL over the items of ``array`` with their 1-based position."""
     items = spark.tvf.posexplode(F.col(array).outer()).toDF("_pos", value)
     return df.lateralJoin(items).select(*keep, (F.col("_pos") + 1).alias(ordinal), value)
-
-
-def all_of(conditions: list[Column]) -> Column:
-    """Conjunction of ``conditions``."""
-    return functools.reduce(operator.and_, conditions)

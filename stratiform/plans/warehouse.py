@@ -193,8 +193,14 @@ class Warehouse:
             raise ValueError(f"Found {failed[0].null_times} null observation times!")
         return result
 
-    def health(self, as_of: AsOf = None) -> DataFrame:
-        return quality.health(self.bronze.read(), S.BRONZE_TABLE, "created_at", as_of)
+    def health(self, as_of: AsOf = None, layer: str = "bronze") -> DataFrame:
+        """Freshness of one layer by the time its rows were written."""
+        table, name, ts_column = {
+            "bronze": (self.bronze, S.BRONZE_TABLE, "created_at"),
+            "silver": (self.silver, S.SILVER_TABLE, "transformed_at"),
+            "gold": (self.gold, S.GOLD_TABLE, "created_at"),
+        }[layer]
+        return quality.health(table.read(), name, ts_column, as_of)
 
     def run(self, landed: DataFrame, as_of: AsOf = None) -> dict:
         """One batch through all layers."""

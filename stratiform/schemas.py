@@ -54,8 +54,6 @@ GOLD_TABLE = "gold.daily_weather_summary"
 LOCATION_WIDTH = 100
 TIMEZONE_WIDTH = 50
 CODE_WIDTH = 50
-ENDPOINT_WIDTH = 500
-ERROR_TYPE_WIDTH = 100
 
 LANDED = T.StructType([
     T.StructField("location_name", T.StringType()),

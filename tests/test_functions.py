@@ -77,7 +77,9 @@ def test_clean_nested(spark):
     assert row.nothing is None
 
 
-@pytest.mark.parametrize(("start", "end", "step", "n"), [(0, 0, 3600, 0), (10, 5, 60, 0), (0, 10800, 3600, 3), (0, 9000, 3600, 3)])
+@pytest.mark.parametrize(
+    ("start", "end", "step", "n"), [(0, 0, 3600, 0), (10, 5, 60, 0), (0, 10800, 3600, 3), (0, 9000, 3600, 3)]
+)
 def test_time_axis_is_half_open(spark, start, end, step, n):
     axis = spark.range(1).select(
         F.transform(time.time_axis(F.lit(start), F.lit(end), F.lit(step)), F.unix_seconds).alias("x")

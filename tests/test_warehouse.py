@@ -138,6 +138,7 @@ def test_backfill(spark, house):
     assert house.backfill_gold("2026-01-03T05:00:00").head().rows_affected == 1
     assert house.backfill_gold().head().total_records == 2
     assert house.health(D3).head().row_count == 2
+    assert [house.health(D3, layer).head().row_count for layer in ("silver", "gold")] == [6, 2]
 
 
 def test_day_with_rejected_hours_only(spark, house):
