@@ -3,13 +3,13 @@
 Documents are sets of 5-word shingles, and two of them link when 100 * intersection >= 75 * union.
 
 1. Equal sets are one set. Each set gives its prefix: the shingles that are first in a global order
-   (rare ones first), so many that two linked sets share at least one. The order only steers the
-   amount of work; the result is the same under any order.
-2. Sets that share a prefix shingle are checked against the smallest of them. The links found join
-   most similar sets, whose components are the groups, cut into blocks of a few sets.
+   (rare ones first), so many that two linked sets of n shingles or more share at least
+   1 + n / SPARE of them. The order only steers the amount of work; the result is the same under any.
+2. Sets that share enough of their prefix with the smallest set at its shingles are compared with it.
+   The links found join most similar sets, whose components are the groups, cut into blocks.
 3. The matrix holds for each block the union of its shingles. A set asks the blocks of other groups
-   with which it shares a prefix shingle. The overlap with the union bounds the overlap with every
-   member, so only blocks that reach the bound are opened and their members compared.
+   with which it shares enough of its prefix. The overlap with the union bounds the overlap with
+   every member, so only blocks that reach the bound are opened and their members compared.
    Members of one group need no further comparison: they are connected already.
 
 Defined cases. Null text, or text without words: no shingles, linked with nothing, its own
@@ -24,7 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.llm.components import components
@@ -34,6 +34,8 @@ from stratiform.llm.texts import LOWER, Lookup, flat, hash_spans, mix, slices, w
 SIZE = 5
 SHARE = 75
 BLOCK = 16
+#: A prefix is longer by one shingle for every SPARE in the set, and linked sets share as many more.
+SPARE = 20
 #: Shingles listed as common; the list orders prefixes and decides nothing else.
 COMMON = 1_000_000
 GATHERED = 4_000_000
@@ -137,7 +139,7 @@ def _prefixes(size: int, share: int, listed):
                     known.add(key[i])
                     new[i] = True
             place = np.arange(len(grams)) - np.repeat(at[:-1], n)
-            take = (place <= (n - _needed(n, share))[row]) & new[row]
+            take = (place <= (n - _needed(n, share) + n // SPARE)[row]) & new[row]
             yield pa.record_batch(
                 [grams[order][take].view(np.int64), key[row][take], n[row][take]], names=["token", "key", "n"]
             )
@@ -210,57 +212,60 @@ def _compared(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
     return in_arrow(pairs.join(a, "a").join(b, "b"), _overlaps, "a long, b long, n_a long, n_b long, both long")
 
 
-def _links(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """The pairs of sets that link. Pairs of too different sizes are left out before their tokens are read."""
-    sizes = sets.select("key", "n")
-    near = (
+def _alike(pairs: DataFrame, sizes: DataFrame, share: int) -> DataFrame:
+    """Pairs whose sizes allow a link, with the size of the smaller set."""
+    return (
         pairs.join(sizes.toDF("a", "n_a"), "a")
         .join(sizes.toDF("b", "n_b"), "b")
-        .filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * share)
-        .select("a", "b")
+        .withColumn("smaller", F.least("n_a", "n_b"))
+        .filter(F.col("smaller") * 100 >= F.greatest("n_a", "n_b") * share)
     )
+
+
+def _links(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """The pairs of sets that link. Pairs of too different sizes are left out before their tokens are read."""
+    near = _alike(pairs, sets.select("key", "n"), share).select("a", "b")
     return _compared(near, sets, sets).filter(F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * share).select("a", "b")
 
 
-def _opened(shared: DataFrame, roots: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """Pairs (set, member) of the blocks that qualify for a set of another group."""
-    group = F.coalesce("root", "key")
-    grouped = sets.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("group", group)
-    members = grouped.groupBy("group").agg(F.count("*").alias("members"))
-    blocks = F.ceil(F.col("members") / BLOCK).cast("long")
-    placed = stored(
-        grouped.join(members, "group").select(
-            "key", "n", "group", F.xxhash64("group", F.pmod(F.xxhash64("key"), blocks)).alias("block"), "tokens"
-        ),
-        "placed",
-    )
-    where = placed.select("key", "group", "block")
-    rows = shared.select("token", "key", "n").join(where, "key")
+def _least_shared(n: str) -> Column:
+    """How many prefix shingles two linked sets share if the smaller has n shingles."""
+    return F.expr(f"1 + floor({n} / {SPARE})")
+
+
+def _asked(rows: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
+    """(a, b): sets and the blocks of later groups that can hold a set linked with them, by the number
+    of shared prefix shingles and by size. ``rows``: (token, key, group, block)."""
     mixed = rows.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
     rows = stored(rows.join(mixed, "token"), "mixed")
-    asked = (
+    met = (
         rows.select("token", F.col("key").alias("a"), F.col("group").alias("of"))
         .join(rows.select("token", "group", F.col("block").alias("b")).distinct(), "token")
         .filter(F.col("of") < F.col("group"))
-        .select("a", "b")
-        .distinct()
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("met"))
     )
-    # the bounds by size first, then by the union
-    parts = (
-        placed.join(asked.select(F.col("b").alias("block")).distinct(), "block", "left_semi")
-        .groupBy("block")
-        .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.collect_list("tokens").alias("parts"))
-    )
-    matrix = stored(in_arrow(parts, _unions, "key long, least long, most long, n long, tokens binary"), "matrix")
-    near = (
-        asked.join(placed.select(F.col("key").alias("a"), "n"), "a")
-        .join(matrix.select(F.col("key").alias("b"), "least", "most"), "b")
+    spans = nodes.groupBy(F.col("block").alias("b")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    smaller = F.least("n", F.greatest("least", F.ceil(F.col("n") * share / 100))).alias("smaller")
+    return (
+        met.join(nodes.select(F.col("key").alias("a"), "n"), "a")
+        .join(spans, "b")
         .filter((F.col("most") * 100 >= F.col("n") * share) & (F.col("least") * share <= F.col("n") * 100))
+        .select("a", "b", "met", smaller)
+        .filter(F.col("met") >= _least_shared("smaller"))
         .select("a", "b")
     )
+
+
+def _opened(asked: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """Pairs (set, member) of the asked blocks whose union reaches the bound of the set that asks."""
+    blocks = asked.select(F.col("b").alias("block")).distinct()
+    members = nodes.select("key", "block").join(blocks, "block", "left_semi")
+    parts = members.join(sets, "key").groupBy("block").agg(F.collect_list("tokens").alias("parts"))
+    matrix = stored(in_arrow(parts, _unions, "key long, n long, tokens binary"), "matrix")
     bound = F.floor((F.col("n_a") * share + 99) / 100)
-    open_ = _compared(near, placed, matrix).filter(F.col("both") >= bound).select("a", F.col("b").alias("block"))
-    return open_.join(where.select("block", F.col("key").alias("b")), "block").select("a", "b")
+    qualified = _compared(asked, sets, matrix).filter(F.col("both") >= bound).select("a", F.col("b").alias("block"))
+    return qualified.join(members.withColumnRenamed("key", "b"), "block").select("a", "b")
 
 
 def _unions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,10 +273,7 @@ def _unions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
             union = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in row["parts"]]))
-            yield pa.record_batch(
-                [[row["block"]], [row["least"]], [row["most"]], [len(union)], pa.array([union.tobytes()], pa.binary())],
-                names=["key", "least", "most", "n", "tokens"],
-            )
+            yield pa.record_batch([[row["block"]], [len(union)], pa.array([union.tobytes()], pa.binary())], names=["key", "n", "tokens"])
 
 
 def link_documents(docs: DataFrame, size: int = SIZE, share: int = SHARE) -> DataFrame:
@@ -284,24 +286,35 @@ def link_documents(docs: DataFrame, size: int = SIZE, share: int = SHARE) -> Dat
     prefixes = in_arrow(docs.filter("doc_id is not null"), _prefixes(size, share, listed), "token long, key long, n long")
     by_token = prefixes.repartition("token").sortWithinPartitions("token", "key")
     shared = stored(in_arrow(by_token, _shared, "token long, key long, n long, hub long"), "shared")
-    wanted = (
-        keys.join(shared.select("key").distinct(), "key", "left_semi")
-        .groupBy("key")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .select("doc_id", F.col("key").alias("wanted"))
-    )
-    sets = in_arrow(docs.join(wanted, "doc_id"), _sets(size), "key long, n long, tokens binary")
-    sets = stored(sets.dropDuplicates(["key"]), "sets")
-
-    first = stored(
-        _links(shared.filter("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct(), sets, share), "links"
-    )
-    roots = components(first)
-    more = _links(_opened(shared, roots, sets, share).distinct(), sets, share)
-    edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)
+    sizes = shared.select("key", "n").distinct()
+
+    hubs = shared.filter("key <> hub").groupBy(F.col("key").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("met"))
+    near = _alike(hubs, sizes, share).filter(F.col("met") >= _least_shared("smaller")).select("a", "b")
+    near = stored(near, "near")
+    sets = _sets_of(docs, keys, near, size)
+    roots = components(_links(near, sets, share))
+
+    nodes = sizes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("group", F.coalesce("root", "key"))
+    members = nodes.groupBy("group").agg(F.count("*").alias("members"))
+    place = F.pmod(F.xxhash64("key"), F.ceil(F.col("members") / BLOCK).cast("long"))
+    nodes = nodes.join(members, "group").select("key", "n", "group", F.xxhash64("group", place).alias("block"))
+    nodes = stored(nodes, "nodes")
+    asked = stored(_asked(shared.select("token", "key").join(nodes.drop("n"), "key"), nodes, share), "asked")
+    in_blocks = nodes.join(asked.select(F.col("b").alias("block")).distinct(), "block", "left_semi").select(F.col("key").alias("b"))
+    sets = _sets_of(docs, keys, asked.select("a", F.col("a").alias("b")).unionByName(in_blocks.select(F.col("b").alias("a"), "b")), size)
+    pairs = stored(_opened(asked, nodes, sets, share).distinct(), "pairs")
+    edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_links(pairs, sets, share))
     return _result(keys, components(edges))
 
 
+def _sets_of(docs: DataFrame, keys: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """(key, n, tokens) of all sets named in ``pairs``, from one text of each."""
+    named = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    wanted = keys.filter("doc_id is not null").join(named, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
+    texts = docs.join(wanted.select("doc_id", F.col("key").alias("wanted")), "doc_id")
+    return stored(in_arrow(texts, _sets(size), "key long, n long, tokens binary").dropDuplicates(["key"]), "sets")
+
+
 def _result(keys: DataFrame, roots: DataFrame) -> DataFrame:
     alone = keys.filter("key is null or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     rest = keys.filter("key is not null and doc_id is not null").join(roots.withColumnRenamed("node", "key"), "key", "left")

@@ -17,7 +17,7 @@ _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvw
 SQL: dict[str, str] = {
     "op4_ngram_join": f"""
         WITH RECURSIVE words AS (
-            SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents
+            SELECT doc_id, list_filter(string_split_regex({_LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
         ),
         sets AS (
             SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
@@ -25,12 +25,12 @@ SQL: dict[str, str] = {
             FROM words
         ),
         tokens AS (SELECT doc_id, unnest(s) AS token FROM sets),
-        both AS (
+        shared_tokens AS (
             SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
             FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id GROUP BY ALL
         ),
         links AS (
-            SELECT a, b FROM both JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+            SELECT a, b FROM shared_tokens JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
             WHERE 100 * n >= 75 * (len(x.s) + len(y.s) - n)
         ),
         reached(doc_id, other) AS (
