@@ -4,11 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratiform.llm.bpe_tree import encode
+from stratiform.llm.decontamination import drop_contaminated
+from stratiform.llm.language_id import keep_known
 from stratiform.llm.ngram_join import drop_linked
+from stratiform.llm.quality_rules import keep_good
 from stratiform.llm.tables import stored, table
 
 STAGES = [
+    ("quality_rules", keep_good),
+    ("language_id", keep_known),
     ("ngram_join", drop_linked),
+    ("decontamination", drop_contaminated),
+    ("bpe_encoding", encode),
 ]
 
 #: The learned stages have no SQL; tests hold the stages against brute force.

@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import islice
 
@@ -27,8 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from stratiform.llm.tables import in_arrow, table
-from stratiform.llm.texts import slices
+from stratiform.llm.tables import beside, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Byte strings up to this length are merged directly.
@@ -152,61 +150,47 @@ def coder(path: str, pattern: str) -> TextCoder:
 
 
 def _digests(path: str, pattern: str):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def make():
         code = coder(path, pattern)
-        for part in slices(batches, "text"):
+
+        def compute(part: pa.RecordBatch) -> list:
             n, of_ids, of_bytes = [], [], []
             for text in part.column("text").to_pylist():
                 ids = code.encode(text or "")
                 n.append(len(ids) // 4)
                 of_ids.append(hashlib.sha256(ids).hexdigest())
                 of_bytes.append(hashlib.sha256(code.decode(ids)).hexdigest())
-            yield pa.record_batch(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return run
+            return [pa.array(n, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_bytes, pa.string())]
 
+        return compute
 
-def _encoded(path: str, pattern: str):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder(path, pattern)
-        for part in slices(batches, "text"):
-            ids = [np.frombuffer(code.encode(text or ""), "<u4") for text in part.column("text").to_pylist()]
-            values = np.concatenate([np.zeros(0, "<u4"), *ids]).astype(np.int32)
-            bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            kept = [part.column(c) for c in part.schema.names]
-            yield pa.record_batch([*kept, pa.ListArray.from_arrays(bounds, values)], names=[*part.schema.names, "__ids"])
-
-    return run
+    return make
 
 
-def _decoded(path: str, pattern: str):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _lists(path: str, pattern: str):
+    def make():
         code = coder(path, pattern)
-        for batch in batches:
-            texts = [code.bpe.decode(ids or []).decode("utf-8", "replace") for ids in batch.column("__ids").to_pylist()]
-            yield pa.record_batch([batch.column("__row"), pa.array(texts, pa.string())], names=["__row", "text"])
 
-    return run
+        def compute(part: pa.RecordBatch) -> list:
+            ids = [np.frombuffer(code.encode(text or ""), "<i4") for text in part.column("text").to_pylist()]
+            bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            return [pa.ListArray.from_arrays(bounds, np.concatenate([np.zeros(0, "<i4"), *ids]))]
 
+        return compute
 
-def encoded(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, name: str = "ids") -> DataFrame:
-    """Every row of ``docs`` with the ids of its text in a column ``name`` (list of int)."""
-    path = path or public_tokenizers.path(RANKS)
-    plain = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = in_arrow(docs, _encoded(path, pattern), f"{plain}, __ids array<int>")
-    return out.drop(name).withColumnRenamed("__ids", name) if name in docs.columns else out.withColumnRenamed("__ids", name)
+    return make
 
 
 def round_trip(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) for every row of ``docs`` (doc_id, text)."""
-    path = path or public_tokenizers.path(RANKS)
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return in_arrow(docs.select("doc_id", "text"), _digests(path, pattern), schema)
+    added = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
+    return beside(docs, _digests(path or public_tokenizers.path(RANKS), pattern), added, ["doc_id"])
 
 
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage, the last: doc_id and the ids of each text (``ids``, a list of int; empty for null)."""
+    return beside(docs, _lists(public_tokenizers.path(RANKS), public_tokenizers.PATTERN), {"ids": "array<int>"}, ["doc_id"])

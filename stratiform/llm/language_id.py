@@ -11,8 +11,9 @@ Training takes texts with a language whose crc32(doc_id) is not divisible by 5,
 until TRAINED bytes, shared evenly by the languages. The model is broadcast: that bound is its bound.
 
 Defined cases. Null text, or text without a letter: `und`, score 0. No training text: `und` for all.
-Equal code lengths: the language first in alphabetical order. Repeated rows: equal results. The
-whole text is scored, however long. lang, source, doc_id and extra columns play no part.
+Equal code lengths: the language first in alphabetical order. Repeated rows: equal results. A row
+without doc_id is held out. The whole text is scored, however long. lang, source, doc_id and extra
+columns play no part in a prediction.
 """
 
 from __future__ import annotations
@@ -21,16 +22,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.tables import in_arrow, table
+from stratiform.llm.tables import beside, in_arrow, table
 from stratiform.llm.texts import Lookup, flat, slices, sums
 
 DEPTH = 3
 FOLDS = 5
 TRAINED = 16 << 20
 UNKNOWN = "und"
+#: Belief below which the pipeline takes a language for unknown.
+SURE = 0.5
 
 _PLAIN = np.full(256, 0x20, np.uint8)
 _PLAIN[0x80:] = np.arange(0x80, 0x100)
@@ -63,6 +66,10 @@ def codes(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def _fold() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
+
+
 def _has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
@@ -144,7 +151,7 @@ def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, trained: int = TRAINED) -> Trees | None:
     """Trees of all languages in ``docs`` (doc_id, text, lang) outside the held-out fold."""
     known = docs.select("doc_id", "text", "lang").filter(
-        (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS != 0) & F.col("lang").isNotNull() & (F.length("text") > 0)
+        (_fold() != 0) & F.col("lang").isNotNull() & (F.length("text") > 0)
     )
     sizes = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).collect()
     if not sizes:
@@ -165,44 +172,50 @@ def train(docs: DataFrame, trained: int = TRAINED) -> Trees | None:
     return Trees(languages, grams, counts)
 
 
-def _predict(model):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _predictor(model):
+    def make():
         trees = model.value
-        for part in slices(batches, "text"):
+
+        def compute(part: pa.RecordBatch) -> list:
             data, bounds = flat(part.column("text"))
-            ascii_letters = sums(((_PLAIN[data] != 0x20) & (data < 0x80)).view(np.int8), bounds) > 0
-            plain = np.flatnonzero(~ascii_letters)
-            lettered = ascii_letters
+            lettered = sums(((_PLAIN[data] != 0x20) & (data < 0x80)).view(np.int8), bounds) > 0
+            plain = np.flatnonzero(~lettered)
             for i, text in zip(plain, part.column("text").take(pa.array(plain)).to_pylist(), strict=True):
                 lettered[i] = _has_letter(text)
             length = trees.code_lengths(_letters(data), bounds)
-            best = length.argmin(axis=1)
             nearest = length.min(axis=1)
             score = 1 / np.exp(np.maximum(nearest[:, None] - length, -700)).sum(axis=1)
-            names = pa.array(trees.languages).take(pa.array(best))
-            lang = pa.array(np.where(lettered, np.asarray(names.to_pylist(), object), UNKNOWN), pa.string())
-            size = np.maximum(np.diff(bounds), 1)
-            yield pa.record_batch(
-                [part.column("doc_id"), lang, np.where(lettered, score, 0.0), nearest / size / np.log(2)],
-                names=["doc_id", "lang_pred", "score", "bits_per_byte"],
-            )
+            names = np.array(trees.languages, object)[length.argmin(axis=1)]
+            lang = pa.array(np.where(lettered, names, UNKNOWN), pa.string())
+            return [lang, np.where(lettered, score, 0.0), nearest / np.maximum(np.diff(bounds), 1) / np.log(2)]
+
+        return compute
 
-    return run
+    return make
 
 
-def predicted(docs: DataFrame, trees: Trees | None) -> DataFrame:
-    """(doc_id, held_out, lang_pred, score, bits_per_byte) for every row of ``docs``."""
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0
+def predicted(docs: DataFrame, trees: Trees | None, keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (doc_id) of every row of ``docs``, with __lang, __score and __bits_per_byte."""
+    keep = keep or ["doc_id"]
     if trees is None:
-        return docs.select(
-            "doc_id", held_out.alias("held_out"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte")
-        )
-    kind = dict(docs.dtypes)["doc_id"]
+        none = [F.lit(UNKNOWN).alias("__lang"), F.lit(0.0).alias("__score"), F.lit(0.0).alias("__bits_per_byte")]
+        return docs.select(*(f"`{c}`" for c in keep), *none)
     model = docs.sparkSession.sparkContext.broadcast(trees)
-    found = in_arrow(docs.select("doc_id", "text"), _predict(model), f"doc_id {kind}, lang_pred string, score double, bits_per_byte double")
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits_per_byte")
+    return beside(docs, _predictor(model), {"__lang": "string", "__score": "double", "__bits_per_byte": "double"}, keep)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return predicted(docs, train(docs))
+    return predicted(docs, train(docs)).select(
+        "doc_id",
+        F.coalesce(_fold() == 0, F.lit(True)).alias("held_out"),
+        F.col("__lang").alias("lang_pred"),
+        F.col("__score").alias("score"),
+        F.col("__bits_per_byte").alias("bits_per_byte"),
+    )
+
+
+def keep_known(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the rows whose language is known, with at least SURE of the belief."""
+    found = predicted(docs, train(docs), docs.columns)
+    return found.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= SURE)).select(*docs.columns)

@@ -15,7 +15,6 @@ other than doc_id and text, and extra columns of labels, are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -23,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.tables import in_arrow, table
-from stratiform.llm.texts import SPACE, flat, hash_spans, slices, sums, windows, words
+from stratiform.llm.tables import beside, table
+from stratiform.llm.texts import SPACE, flat, hash_spans, sums, windows, words
 
 LABELS = 20_000
 SYMBOLS = b"#*$%&|<>"
@@ -113,25 +112,29 @@ def counts(column: pa.Array, window: int = 3) -> dict[str, np.ndarray]:
     return out
 
 
-def _count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in slices(batches, "text"):
+def _counter():
+    def compute(part: pa.RecordBatch) -> list:
         found = counts(part.column("text"))
-        yield pa.record_batch([part.column("doc_id"), *(found[c].astype(np.int64) for c in COUNTS)], names=["doc_id", *COUNTS])
+        fields = [pa.array(found[c].astype(np.int64)) for c in COUNTS]
+        return [pa.StructArray.from_arrays(fields, COUNTS)]
 
+    return compute
 
-def with_counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, counts, base_failed) for every row of ``docs``."""
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, " + ", ".join(f"{c} long" for c in COUNTS)
-    failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
-    return in_arrow(docs.select("doc_id", "text"), _count_batches, schema).withColumn("base_failed", failed)
+
+def with_counts(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Columns ``keep`` (doc_id) of every row of ``docs``, with a struct ``__counts`` of all counts
+    and ``__base_failed``."""
+    added = {"__counts": "struct<" + ", ".join(f"{c}: bigint" for c in COUNTS) + ">"}
+    n_words, repeated = F.col("__counts.n_words"), F.col("__counts.n_repeat_words")
+    failed = (n_words < 50) | (repeated * 100 > n_words * 50)
+    return beside(docs, _counter, added, keep or ["doc_id"]).withColumn("__base_failed", failed)
 
 
 def shares() -> dict[str, Column]:
     """What the rules have thresholds on; independent of a text's length."""
 
     def per(count: str, of: str) -> Column:
-        return F.col(count) / F.greatest(F.col(of), F.lit(1))
+        return F.col(f"__counts.{count}") / F.greatest(F.col(f"__counts.{of}"), F.lit(1))
 
     return {
         "chars_per_word": per("word_chars", "n_words"),
@@ -237,7 +240,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> list[list[Condition]]:
         .limit(LABELS)
     )
     few = docs.select("doc_id", "text").join(F.broadcast(sure.select("labelled")), F.col("doc_id") == F.col("labelled"), "left_semi")
-    found = with_counts(few).filter("not base_failed").dropDuplicates(["doc_id"])
+    found = with_counts(few).filter("not __base_failed").dropDuplicates(["doc_id"])
     found = found.join(F.broadcast(sure), F.col("doc_id") == F.col("labelled"))
     rows = found.select("bad", (F.pmod(F.xxhash64("labelled"), F.lit(3)) == 0).alias("prune"), *(v.alias(k) for k, v in shares().items())).toPandas()
     if not len(rows):
@@ -246,14 +249,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> list[list[Condition]]:
     return learn(rows.iloc[:, 2:].to_numpy(float), rows["bad"].to_numpy(bool), rows["prune"].to_numpy(bool))
 
 
-def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Counts, base_failed and kept for every row of ``docs`` (doc_id, text)."""
+def judged(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``with_counts`` and the verdict ``__kept``, for every row of ``docs``."""
     rules = fit(docs, labels)
-    return with_counts(docs).withColumn("kept", ~F.col("base_failed") & verdict(rules))
+    return with_counts(docs, keep).withColumn("__kept", ~F.col("__base_failed") & verdict(rules))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return found.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+        "doc_id", *(f"__counts.{c}" for c in base), F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept")
     )
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: the rows that the base and the learned list keep."""
+    return judged(docs, table(spark, sf_dir, "labels"), docs.columns).filter("__kept").select(*docs.columns)

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratiform.llm.bpe_tree import op9_bpe_tree
+from stratiform.llm.decontamination import op2_decontamination
 from stratiform.llm.language_id import op1_language_id
 from stratiform.llm.ngram_join import op4_ngram_join
 from stratiform.llm.quality_rules import op3_quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_decontamination": op2_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
     "op9_bpe_tree": op9_bpe_tree,
