@@ -11,13 +11,17 @@ from stratiform.llm.decontamination import op2_decontamination
 from stratiform.llm.language_id import op1_language_id
 from stratiform.llm.ngram_join import op4_ngram_join
 from stratiform.llm.quality_rules import op3_quality_rules
+from stratiform.llm.token_files import op8_token_files
+from stratiform.llm.warc import op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_decontamination": op2_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
+    "op8_token_files": op8_token_files,
     "op9_bpe_tree": op9_bpe_tree,
+    "op10_warc": op10_warc,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -47,4 +51,16 @@ SQL: dict[str, str] = {
         SELECT sets.doc_id, len(s) AS n_shingles, least(sets.doc_id, min(other)) AS component_id
         FROM sets LEFT JOIN reached ON reached.doc_id = sets.doc_id GROUP BY sets.doc_id, s
     """,
+    "op10_warc": """
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+        ),
+        firsts AS (
+            SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS response FROM payloads
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
+        FROM firsts
+    """,
 }
