@@ -133,14 +133,19 @@ class Matcher:
 _matchers: dict[int, Matcher] = {}
 
 
+def _matcher(name: int, items) -> Matcher:
+    """Built once by each Python worker, and kept until a task needs another."""
+    if name not in _matchers:
+        _matchers.clear()
+        _matchers[name] = Matcher(items.value)
+    return _matchers[name]
+
+
 def _search(block, name: int):
     """Lists of the items of a block that each text holds, and their distances."""
 
     def make():
-        if name not in _matchers:
-            _matchers.clear()
-            _matchers[name] = Matcher(block.value)
-        find = _matchers[name].find
+        find = _matcher(name, block).find
 
         def compute(part: pa.RecordBatch) -> list:
             found = [sorted(find(normalised(text)).items()) for text in part.column("text").to_pylist()]

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratiform.llm.bpe_tree import op9_bpe_tree
 from stratiform.llm.decontamination import op2_decontamination
+from stratiform.llm.html_extraction import op5_html_extraction
 from stratiform.llm.language_id import op1_language_id
+from stratiform.llm.lm_scoring import op6_lm_scoring
 from stratiform.llm.ngram_join import op4_ngram_join
 from stratiform.llm.quality_rules import op3_quality_rules
 from stratiform.llm.token_files import op8_token_files
@@ -19,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op4_ngram_join": op4_ngram_join,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_lm_scoring": op6_lm_scoring,
     "op8_token_files": op8_token_files,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_warc": op10_warc,

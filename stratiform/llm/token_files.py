@@ -42,7 +42,7 @@ MAGIC = b"TOK1"
 #: Ids in a file, about; a document is never cut.
 FILE_IDS = 4_000_000
 REMEMBERED = 300_000
-HEADER = struct.Struct("<4sQQQQ")
+HEADER = "<4sQQQQ"
 
 #: For each control byte the lengths of its four ranks.
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
@@ -136,7 +136,7 @@ def _writer(folder: str, rank_of):
             return
         control, data = packed(np.concatenate(ids))
         body = [
-            HEADER.pack(MAGIC, len(doc_ids), sum(sizes), len(control), len(data)),
+            struct.pack(HEADER, MAGIC, len(doc_ids), sum(sizes), len(control), len(data)),
             np.array([d is not None for d in doc_ids], np.uint8).tobytes(),
             np.array([d or 0 for d in doc_ids], "<i8").tobytes(),
             np.array(sizes, "<u8").tobytes(),
@@ -157,10 +157,10 @@ def _reader(id_of):
         for batch in batches:
             for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 raw = content.as_buffer()
-                magic, documents, n, control, data = HEADER.unpack_from(raw)
+                magic, documents, n, control, data = struct.unpack_from(HEADER, raw)
                 if magic != MAGIC:
                     raise ValueError(f"{name} isn't a token file")
-                at = HEADER.size
+                at = struct.calcsize(HEADER)
                 present = np.frombuffer(raw, np.uint8, documents, at).astype(bool)
                 doc_ids = np.frombuffer(raw, "<i8", documents, at := at + documents)
                 sizes = np.frombuffer(raw, "<u8", documents, at := at + 8 * documents).astype(np.int64)
