@@ -2,15 +2,20 @@
 
 Documents are sets of 5-word shingles, and two of them link when 100 * intersection >= 75 * union.
 
-1. Equal sets are one set. Each set gives its prefix: the shingles that are first in a global order
-   (rare ones first), so many that two linked sets of n shingles or more share at least
-   1 + n / SPARE of them. The order only steers the amount of work; the result is the same under any.
-2. Sets that share enough of their prefix with the smallest set at its shingles are compared with it.
-   The links found join most similar sets, whose components are the groups, cut into blocks.
-3. The matrix holds for each block the union of its shingles. A set asks the blocks of other groups
-   with which it shares enough of its prefix. The overlap with the union bounds the overlap with
-   every member, so only blocks that reach the bound are opened and their members compared.
-   Members of one group need no further comparison: they are connected already.
+1. Equal sets are one set. Each set gives its prefix: the shingles that are first in a global order,
+   listed common ones last, so many that two linked sets share at least 1 + n / SPARE of them, n the
+   smaller size. The order steers the amount of work only; the result is the same under any.
+2. So a set can do without the n / SPARE of its prefix shingles that most others have, and the rarest
+   that it shares with a linked set still stands. Common ones stay, but bound the overlap by what
+   comes behind them in both sets.
+3. At each shingle a set meets the set with the fewest uncommon shingles, which is in the midst of its
+   like, and the next one before it. Those with which it shares much are compared with it. The links
+   found join most similar sets. Sets that are linked, or met the same set most often, form a group;
+   groups are cut into blocks of similar size.
+4. The matrix holds for each block the union of its shingles. A set asks the blocks with which it
+   shares a prefix shingle and that have members it isn't connected with. The overlap with the union
+   bounds the overlap with every member, so only blocks that reach the bound are opened and those
+   members compared.
 
 Defined cases. Null text, or text without words: no shingles, linked with nothing, its own
 component. Fewer than five words: the whole sequence is the one shingle. Repeated rows are equal
@@ -24,21 +29,23 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm.components import components
-from stratiform.llm.tables import in_arrow, stored, table
-from stratiform.llm.texts import LOWER, Lookup, flat, hash_spans, mix, slices, windows, words
+from stratiform.llm.tables import in_arrow, ship, stored, table
+from stratiform.llm.texts import LOWER, Lookup, flat, hash_spans, mix, slices, sums, windows, words
 
 SIZE = 5
 SHARE = 75
-BLOCK = 16
+BLOCK = 64
+#: Sets that ask a block in one task; a block that more ask is copied.
+ASKS = 512
 #: A prefix is longer by one shingle for every SPARE in the set, and linked sets share as many more.
-SPARE = 20
+SPARE = 25
 #: Shingles listed as common; the list orders prefixes and decides nothing else.
-COMMON = 1_000_000
-GATHERED = 4_000_000
+COMMON = 250_000
+GATHERED = 2_000_000
 
 
 def shingles(column: pa.Array, size: int = SIZE) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +129,8 @@ def _common_list(found: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _prefixes(size: int, share: int, listed):
-    """(token, set, n) of each set's prefix; each set once a task."""
+    """(token, set, n, place) of each set's prefix, with whether the token is listed as common, and how
+    many of the set's tokens aren't; each set once a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, digits = listed.value
@@ -132,7 +140,9 @@ def _prefixes(size: int, share: int, listed):
             grams, at = shingles(part.column("text"), size)
             n, key = np.diff(at), set_keys(grams, at)
             row = np.repeat(np.arange(len(n)), n)
-            order = np.lexsort((rank[lookup.find(grams)], row))
+            common = rank[lookup.find(grams)]
+            order = np.lexsort((common, row))
+            rare = sums((common == 0).view(np.int8), at)
             new = np.zeros(len(n), bool)
             for i in np.flatnonzero(n):
                 if key[i] not in known:
@@ -140,40 +150,46 @@ def _prefixes(size: int, share: int, listed):
                     new[i] = True
             place = np.arange(len(grams)) - np.repeat(at[:-1], n)
             take = (place <= (n - _needed(n, share) + n // SPARE)[row]) & new[row]
-            yield pa.record_batch(
-                [grams[order][take].view(np.int64), key[row][take], n[row][take]], names=["token", "key", "n"]
-            )
+            columns = [grams[order][take].view(np.int64), key[row][take], n[row][take], place[take], common[order][take] > 0, rare[row][take]]
+            yield pa.record_batch(columns, names=["token", "key", "n", "place", "common", "rare"])
 
     return run
 
 
 def _shared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (token, key): those whose token has two sets or more, with the first set."""
-    token = key = n = first = np.zeros(0, np.int64)
-    behind = False  # whether the kept row has another set of its token before it
+    """Of rows sorted by (token, rare, n, key): those whose token has two sets or more, with the first set of
+    the token and the one before."""
+    held = None  # the last row, which waits for its successor
+    first = last = 0  # the first set of its token, and the one before it
+    behind = False  # whether another set of its token came before it
     for batch in batches:
-        token, key, n = (
-            np.concatenate([old, batch.column(c).to_numpy().astype(np.int64)]) for old, c in ((token, "token"), (key, "key"), (n, "n"))
-        )
+        rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        token, key = rows.column("token").to_numpy(), rows.column("key").to_numpy()
         fresh = np.ones(len(token), bool)
         fresh[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-        token, key, n = token[fresh], key[fresh], n[fresh]
+        if not fresh.all():
+            rows = rows.filter(pa.array(fresh))
+            token, key = token[fresh], key[fresh]
+        if not len(token):
+            continue
         same = np.zeros(len(token) + 1, bool)
         same[1:-1] = token[1:] == token[:-1]
         start = np.maximum.accumulate(np.where(same[:-1], 0, np.arange(len(token))))
         hub = key[start]
-        if len(first):
-            hub[start == 0] = first[0]
+        if held is not None:
+            hub[start == 0] = first
+        before = np.where(same[:-1], np.concatenate([key[:1], key[:-1]]), hub)
+        if behind:
+            before[0] = last
         many = same[:-1] | same[1:]
-        if len(many):
-            many[0] |= behind
-        many[-1:] = False  # the last row waits for its successor
-        yield pa.record_batch([token[many], key[many], n[many], hub[many]], names=["token", "key", "n", "hub"])
-        if len(token):
-            behind = bool(same[-2] or (len(token) == 1 and behind))
-            token, key, n, first = token[-1:], key[-1:], n[-1:], hub[-1:]
+        many[0] |= behind
+        many[-1] = False
+        out = rows.filter(pa.array(many))
+        yield pa.record_batch([*out.columns, hub[many], before[many]], names=[*out.schema.names, "hub", "before"])
+        behind = bool(same[-2] or (len(token) == 1 and behind))
+        held, first, last = rows.slice(len(token) - 1, 1), hub[-1], before[-1]
     if behind:
-        yield pa.record_batch([token, key, n, first], names=["token", "key", "n", "hub"])
+        yield pa.record_batch([*held.columns, [first], [last]], names=[*held.schema.names, "hub", "before"])
 
 
 def _sets(size: int):
@@ -228,52 +244,78 @@ def _links(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     return _compared(near, sets, sets).filter(F.col("both") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("both")) * share).select("a", "b")
 
 
-def _least_shared(n: str) -> Column:
-    """How many prefix shingles two linked sets share if the smaller has n shingles."""
-    return F.expr(f"1 + floor({n} / {SPARE})")
-
-
-def _asked(rows: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
-    """(a, b): sets and the blocks of later groups that can hold a set linked with them, by the number
-    of shared prefix shingles and by size. ``rows``: (token, key, group, block)."""
-    mixed = rows.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
-    rows = stored(rows.join(mixed, "token"), "mixed")
-    met = (
-        rows.select("token", F.col("key").alias("a"), F.col("group").alias("of"))
-        .join(rows.select("token", "group", F.col("block").alias("b")).distinct(), "token")
-        .filter(F.col("of") < F.col("group"))
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("met"))
+def _rare(shared: DataFrame, share: int) -> DataFrame:
+    """``shared`` without the most frequent tokens of each set, as many as a set can do without. Tokens
+    listed as common stay: they are few in a set that isn't made of them."""
+    often = shared.groupBy("token").agg(F.count("*").alias("sets"))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy(F.col("sets").desc(), "token"))
+    spared = F.expr(f"floor(ceil(n * {share} / 100) / {SPARE})")
+    loose = shared.filter("not common").join(often, "token").withColumn("rank", rank).filter(F.col("rank") > spared)
+    return loose.select(*shared.columns).unionByName(shared.filter("common"))
+
+
+def _asked(rows: DataFrame, share: int) -> DataFrame:
+    """(a, block): sets and the blocks that can hold a set linked with them, of a later component.
+    ``rows``: (token, key, n, place, common, root, block)."""
+    mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
+    # of two linked sets the smaller needs a shorter prefix
+    short = F.expr(f"place <= n - ceil(2 * n * {share} / {100 + share}) + floor(n / {SPARE})")
+    rows = stored(rows.withColumn("short", short).withColumn("rest", F.col("n") - F.col("place")).join(mixed, "token"), "mixed")
+    blocks = rows.groupBy("token", "block").agg(
+        F.max("root").alias("last"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest_b"), F.max("short").alias("short_b")
     )
-    spans = nodes.groupBy(F.col("block").alias("b")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    smaller = F.least("n", F.greatest("least", F.ceil(F.col("n") * share / 100))).alias("smaller")
-    return (
-        met.join(nodes.select(F.col("key").alias("a"), "n"), "a")
-        .join(spans, "b")
-        .filter((F.col("most") * 100 >= F.col("n") * share) & (F.col("least") * share <= F.col("n") * 100))
-        .select("a", "b", "met", smaller)
-        .filter(F.col("met") >= _least_shared("smaller"))
-        .select("a", "b")
+    least = f"greatest(least, ceil(n * {share} / 100))"
+    could = F.expr(
+        f"root < last and most * 100 >= n * {share} and least * {share} <= n * 100 "
+        "and ((short and most >= n) or (short_b and least <= n)) "
+        f"and (not common or (least(rest, rest_b) + floor(n / {SPARE})) * {100 + share} >= (n + {least}) * {share})"
     )
+    return rows.drop("block").join(blocks, "token").filter(could).select(F.col("key").alias("a"), "block").distinct()
+
+
+def _open(share: int):
+    """Links between the sets that ask a block and the members of blocks that qualify, one for each
+    other component."""
+
+    def run(asking: pa.Table, members: pa.Table) -> pa.Table:
+        links: list[tuple[int, int]] = []
+        if asking.num_rows and members.num_rows:
+            tokens = [np.frombuffer(x, np.uint64) for x in members.column("tokens").to_pylist()]
+            n, root, key = (members.column(c).to_numpy() for c in ("n", "root", "key"))
+            union, owner = np.concatenate(tokens), np.repeat(np.arange(len(n)), n)
+            order = np.argsort(union, kind="stable")
+            union, owner = union[order], owner[order]
+            fresh = np.append(True, union[1:] != union[:-1])
+            columns = (asking.column(c).to_pylist() for c in ("key", "n", "root", "tokens"))
+            for a, n_a, root_a, raw in zip(*columns, strict=True):
+                mine = np.frombuffer(raw, np.uint64)
+                hit = mine[np.minimum(np.searchsorted(mine, union), n_a - 1)] == union
+                least = max(int(n.min()), -(-n_a * share // 100))
+                if (hit & fresh).sum() * (100 + share) < (n_a + least) * share:
+                    continue
+                both = np.bincount(owner[hit], minlength=len(n))
+                linked = (both * 100 >= (n + n_a - both) * share) & (root > root_a)
+                _, one = np.unique(root[linked], return_index=True)
+                links += [(a, b) for b in key[linked][one].tolist()]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([x for _, x in links], pa.int64())})
 
-
-def _opened(asked: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """Pairs (set, member) of the asked blocks whose union reaches the bound of the set that asks."""
-    blocks = asked.select(F.col("b").alias("block")).distinct()
-    members = nodes.select("key", "block").join(blocks, "block", "left_semi")
-    parts = members.join(sets, "key").groupBy("block").agg(F.collect_list("tokens").alias("parts"))
-    matrix = stored(in_arrow(parts, _unions, "key long, n long, tokens binary"), "matrix")
-    bound = F.floor((F.col("n_a") * share + 99) / 100)
-    qualified = _compared(asked, sets, matrix).filter(F.col("both") >= bound).select("a", F.col("b").alias("block"))
-    return qualified.join(members.withColumnRenamed("key", "b"), "block").select("a", "b")
+    return run
 
 
-def _unions(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            union = np.unique(np.concatenate([np.frombuffer(x, np.uint64) for x in row["parts"]]))
-            yield pa.record_batch([[row["block"]], [len(union)], pa.array([union.tobytes()], pa.binary())], names=["key", "n", "tokens"])
+def _opened(asked: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """The links that the asked blocks hold for the sets that ask them."""
+    asks = asked.groupBy("block").agg(F.ceil(F.count("*") / ASKS).cast("long").alias("copies"))
+    whole = nodes.select("key", "root", "block").join(sets, "key")
+    members = whole.join(asks, "block").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    asking = (
+        asked.join(asks, "block")
+        .select(F.col("a").alias("key"), "block", F.pmod(F.xxhash64("a"), "copies").alias("copy"))
+        .join(whole.drop("block"), "key")
+    )
+    columns = ["block", "copy", "key", "n", "root", "tokens"]
+    ship(asked.sparkSession)
+    ours, theirs = (t.select(*(F.col(c).alias(c) for c in columns)).groupBy("block", "copy") for t in (asking, members))
+    return ours.cogroup(theirs).applyInArrow(_open(share), "a long, b long")
 
 
 def link_documents(docs: DataFrame, size: int = SIZE, share: int = SHARE) -> DataFrame:
@@ -283,27 +325,38 @@ def link_documents(docs: DataFrame, size: int = SIZE, share: int = SHARE) -> Dat
     listed = docs.sparkSession.sparkContext.broadcast(_common_list(found.filter("token is not null")))
     keys = found.filter("n is not null").select("doc_id", "n", "key")
 
-    prefixes = in_arrow(docs.filter("doc_id is not null"), _prefixes(size, share, listed), "token long, key long, n long")
-    by_token = prefixes.repartition("token").sortWithinPartitions("token", "key")
-    shared = stored(in_arrow(by_token, _shared, "token long, key long, n long, hub long"), "shared")
+    schema = "token long, key long, n long, place long, common boolean, rare long"
+    prefixes = in_arrow(docs.filter("doc_id is not null"), _prefixes(size, share, listed), schema)
+    by_token = prefixes.repartition("token").sortWithinPartitions("token", "rare", "n", "key")
+    shared = stored(in_arrow(by_token, _shared, f"{schema}, hub long, before long"), "shared")
     sizes = shared.select("key", "n").distinct()
 
-    hubs = shared.filter("key <> hub").groupBy(F.col("key").alias("a"), F.col("hub").alias("b")).agg(F.count("*").alias("met"))
-    near = _alike(hubs, sizes, share).filter(F.col("met") >= _least_shared("smaller")).select("a", "b")
-    near = stored(near, "near")
+    met = shared.select("key", "n", "place", "common", F.explode(F.array_distinct(F.array("hub", "before"))).alias("b")).filter("key <> b")
+    met = met.groupBy(F.col("key").alias("a"), "b").agg(
+        F.count("*").alias("met"), F.max("common").alias("common"), F.max(F.expr(f"n - place + floor(n / {SPARE})")).alias("rest")
+    )
+    enough = (F.col("met") > F.floor(F.col("smaller") / SPARE)) | (
+        F.col("common") & (F.col("rest") * (100 + share) >= (F.col("n_a") + F.col("n_b")) * share)
+    )
+    alike = stored(_alike(met, sizes, share), "alike")
+    near = alike.filter(enough).select("a", "b")
     sets = _sets_of(docs, keys, near, size)
-    roots = components(_links(near, sets, share))
+    roots = components(_links(near, sets, share)).withColumnRenamed("node", "key")
 
-    nodes = sizes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("group", F.coalesce("root", "key"))
-    members = nodes.groupBy("group").agg(F.count("*").alias("members"))
+    home = alike.groupBy(F.col("a").alias("key")).agg(F.max(F.struct("met", F.col("b").alias("home"))).getField("home").alias("home"))
+    nodes = sizes.join(roots, "key", "left").join(home, "key", "left").join(roots.toDF("home", "of_home"), "home", "left")
+    nodes = nodes.withColumn("group", F.coalesce("root", "of_home", "home", "key")).withColumn("class", F.floor(F.log("n") * 20))
+    members = nodes.groupBy("group", "class").agg(F.count("*").alias("members"))
     place = F.pmod(F.xxhash64("key"), F.ceil(F.col("members") / BLOCK).cast("long"))
-    nodes = nodes.join(members, "group").select("key", "n", "group", F.xxhash64("group", place).alias("block"))
+    nodes = nodes.join(members, ["group", "class"]).select(
+        "key", "n", F.coalesce("root", "key").alias("root"), F.xxhash64("group", "class", place).alias("block")
+    )
     nodes = stored(nodes, "nodes")
-    asked = stored(_asked(shared.select("token", "key").join(nodes.drop("n"), "key"), nodes, share), "asked")
-    in_blocks = nodes.join(asked.select(F.col("b").alias("block")).distinct(), "block", "left_semi").select(F.col("key").alias("b"))
-    sets = _sets_of(docs, keys, asked.select("a", F.col("a").alias("b")).unionByName(in_blocks.select(F.col("b").alias("a"), "b")), size)
-    pairs = stored(_opened(asked, nodes, sets, share).distinct(), "pairs")
-    edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_links(pairs, sets, share))
+    rare = _rare(shared.drop("hub", "before", "rare"), share)
+    asked = stored(_asked(rare.join(nodes.drop("n"), "key"), share), "asked")
+    in_blocks = nodes.join(asked.select("block").distinct(), "block", "left_semi").select(F.col("key").alias("a"), F.col("key").alias("b"))
+    sets = _sets_of(docs, keys, asked.select("a", F.col("a").alias("b")).unionByName(in_blocks), size)
+    edges = roots.toDF("a", "b").unionByName(_opened(asked, nodes, sets, share))
     return _result(keys, components(edges))
 
 

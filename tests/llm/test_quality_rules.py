@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stratiform.llm.quality_rules import counts, judged, learn
+
+from .conftest import prose
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode())
+    seen, repeated = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            repeated += line in seen
+            seen.add(line)
+    grams = [tuple(words[k : k + 3]) for k in range(len(words) - 2)]
+    n = Counter(grams)
+    covered = {k + j for k, g in enumerate(grams) if n[g] > 1 for j in range(3)}
+    return {
+        "n_words": len(words),
+        "word_chars": sum(len(w.decode()) for w in words),
+        "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": repeated,
+        "n_repeat_words": len(covered),
+    }
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="ab #\n\té日|\x0b", max_size=40)), min_size=1, max_size=8))
+def test_counts_equal_brute_force(texts):
+    found = counts(pa.array(texts, pa.string()))
+    for k, text in enumerate(texts):
+        assert {c: int(found[c][k]) for c in brute(text)} == brute(text)
+
+
+def test_learns_thresholds_and_leaves_the_rest():
+    r = np.random.default_rng(1)
+    x = r.random((3000, 4))
+    bad = ((x[:, 0] > 0.8) & (x[:, 1] < 0.5)) | (x[:, 2] > 0.95)
+    rules = learn(x, bad, np.arange(3000) % 3 == 0)
+    found = np.zeros(3000, bool)
+    for rule in rules:
+        hit = np.ones(3000, bool)
+        for column, above, cut in rule:
+            hit &= (x[:, column] >= cut) == above
+        found |= hit
+    assert 1 <= len(rules) <= 32
+    assert (found == bad).mean() > 0.97 and (found & ~bad).sum() <= 30
+
+
+def test_noise_teaches_nothing():
+    r = np.random.default_rng(2)
+    assert learn(r.random((900, 3)), r.random(900) < 0.3, np.arange(900) % 3 == 0) == []
+
+
+def test_verdicts(spark, make_docs, awkward):
+    clean = [(100 + k, ". ".join(prose(k * 9 + j, 12).capitalize() for j in range(8))) for k in range(60)]
+    noisy = [(300 + k, " ".join(w + "%%%" for w in prose(900 + k, 90).split())) for k in range(60)]
+    docs = make_docs(clean + noisy)
+    labels = spark.createDataFrame(
+        [(i, 1, 0, "a") for i, _ in clean[:40]] + [(i, 0, 0, "b") for i, _ in noisy[:40]] + [(100, 0, 0, "c"), (None, 1, 0, "d"), (301, None, 0, "e")],
+        "doc_id long, quality int, toxic int, text string",
+    )
+    found = {x["doc_id"]: x["__kept"] for x in judged(docs, labels).collect()}
+    assert all(found[i] for i, _ in clean) and not any(found[i] for i, _ in noisy)
+    none = judged(awkward, labels.limit(0)).collect()
+    assert len(none) == awkward.count()
+    by_id = {x["doc_id"]: x for x in none if x["doc_id"] is not None}
+    assert by_id[3]["__counts"]["n_words"] == by_id[4]["__counts"]["n_words"] == 0
+    assert by_id[3]["__base_failed"] and not by_id[3]["__kept"]
+    assert judged(make_docs([]), labels).count() == 0
