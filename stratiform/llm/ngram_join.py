@@ -254,14 +254,14 @@ def _rare(shared: DataFrame, share: int) -> DataFrame:
     return loose.select(*shared.columns).unionByName(shared.filter("common"))
 
 
-def _asked(rows: DataFrame, share: int) -> DataFrame:
+def _asked(rows: DataFrame, nodes: DataFrame, share: int) -> DataFrame:
     """(a, block): sets and the blocks that can hold a set linked with them, of a later component.
-    ``rows``: (token, key, n, place, common, root, block)."""
+    ``rows``: (token, key, n, place, common, root, shelf); a shelf has all blocks of a group and size."""
     mixed = rows.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
     # of two linked sets the smaller needs a shorter prefix
     short = F.expr(f"place <= n - ceil(2 * n * {share} / {100 + share}) + floor(n / {SPARE})")
     rows = stored(rows.withColumn("short", short).withColumn("rest", F.col("n") - F.col("place")).join(mixed, "token"), "mixed")
-    blocks = rows.groupBy("token", "block").agg(
+    shelves = rows.groupBy("token", F.col("shelf").alias("b")).agg(
         F.max("root").alias("last"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest_b"), F.max("short").alias("short_b")
     )
     least = f"greatest(least, ceil(n * {share} / 100))"
@@ -270,7 +270,9 @@ def _asked(rows: DataFrame, share: int) -> DataFrame:
         "and ((short and most >= n) or (short_b and least <= n)) "
         f"and (not common or (least(rest, rest_b) + floor(n / {SPARE})) * {100 + share} >= (n + {least}) * {share})"
     )
-    return rows.drop("block").join(blocks, "token").filter(could).select(F.col("key").alias("a"), "block").distinct()
+    met = rows.drop("shelf").join(shelves, "token").filter(could).select(F.col("key").alias("a"), "root", F.col("b").alias("shelf")).distinct()
+    blocks = nodes.groupBy("shelf", "block").agg(F.max("root").alias("last"))
+    return met.join(blocks, "shelf").filter("root < last").select("a", "block")
 
 
 def _open(share: int):
@@ -344,16 +346,18 @@ def link_documents(docs: DataFrame, size: int = SIZE, share: int = SHARE) -> Dat
     roots = components(_links(near, sets, share)).withColumnRenamed("node", "key")
 
     home = alike.groupBy(F.col("a").alias("key")).agg(F.max(F.struct("met", F.col("b").alias("home"))).getField("home").alias("home"))
-    nodes = sizes.join(roots, "key", "left").join(home, "key", "left").join(roots.toDF("home", "of_home"), "home", "left")
-    nodes = nodes.withColumn("group", F.coalesce("root", "of_home", "home", "key")).withColumn("class", F.floor(F.log("n") * 20))
+    # a component goes where its root's home is, so that what is similar without links is together too
+    nodes = sizes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    nodes = nodes.join(home.withColumnRenamed("key", "root"), "root", "left").join(roots.toDF("home", "of_home"), "home", "left")
+    nodes = nodes.withColumn("group", F.coalesce("of_home", "home", "root")).withColumn("class", F.floor(F.log("n") * 20))
     members = nodes.groupBy("group", "class").agg(F.count("*").alias("members"))
     place = F.pmod(F.xxhash64("key"), F.ceil(F.col("members") / BLOCK).cast("long"))
     nodes = nodes.join(members, ["group", "class"]).select(
-        "key", "n", F.coalesce("root", "key").alias("root"), F.xxhash64("group", "class", place).alias("block")
+        "key", "n", "root", F.xxhash64("group", "class").alias("shelf"), F.xxhash64("group", "class", place).alias("block")
     )
     nodes = stored(nodes, "nodes")
     rare = _rare(shared.drop("hub", "before", "rare"), share)
-    asked = stored(_asked(rare.join(nodes.drop("n"), "key"), share), "asked")
+    asked = stored(_asked(rare.join(nodes.drop("n", "block"), "key"), nodes, share), "asked")
     in_blocks = nodes.join(asked.select("block").distinct(), "block", "left_semi").select(F.col("key").alias("a"), F.col("key").alias("b"))
     sets = _sets_of(docs, keys, asked.select("a", F.col("a").alias("b")).unionByName(in_blocks), size)
     edges = roots.toDF("a", "b").unionByName(_opened(asked, nodes, sets, share))
