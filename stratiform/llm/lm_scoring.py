@@ -20,7 +20,6 @@ over CHUNK_BYTES makes a larger chunk. Extra columns are not looked at.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm.tables import in_arrow, ship, stored, table
-from stratiform.llm.texts import LOWER, Lookup, flat, slices, sums
+from stratiform.llm.texts import LOWER, SPACE, Lookup, flat, slices, sums, words
 
 DEPTH = 4
 FOLDS, HELD_OUT = 7, 2
@@ -56,9 +55,14 @@ def codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
-def tokens(column: pa.Array) -> list[list[bytes]]:
-    """Lower-case words of each text."""
-    return [(text or "").encode().lower().split() for text in column.to_pylist()]
+def tokens(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-case words of all texts, and the bounds of the rows among them."""
+    data, bounds = flat(column)
+    data = LOWER[data]
+    starts, ends, first = words(data, bounds)
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    spelled = np.ascontiguousarray(data[~SPACE[data]])
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)]), first
 
 
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,29 +100,24 @@ def _rows(packs: pa.Table) -> Iterator[pa.RecordBatch]:
 
 def _asked(packs: pa.Table) -> pa.Table:
     """What the documents of a chunk ask for, with their own counts for training."""
-    grams, weights, words, others = [], [], Counter(), set()
+    grams, weights, spelled = [], [], []
     for part in _rows(packs):
-        held_out = part.column("held_out").to_numpy(zero_copy_only=False)
+        train = (~part.column("held_out").to_numpy(zero_copy_only=False)).astype(np.int64)
         code, at = codes(part.column("text"))
-        train = np.repeat((~held_out).astype(np.uint64), np.diff(at))
-        found, n = np.unique(code << np.uint64(1) | train, return_counts=True)
+        found, n = np.unique(code << np.uint64(1) | np.repeat(train.astype(np.uint64), np.diff(at)), return_counts=True)
         grams.append(found >> np.uint64(1))
         weights.append(n * (found & np.uint64(1)).astype(np.int64))
-        for out, line in zip(held_out, tokens(part.column("text")), strict=True):
-            if out:
-                others.update(line)
-            else:
-                words.update(line)
-    for word in others:
-        words.setdefault(word, 0)
+        word, first = tokens(part.column("text"))
+        spelled.append(pa.table({"word": word, "n": np.repeat(train, np.diff(first))}).group_by("word").aggregate([("n", "sum")]))
     gram, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *grams]), return_inverse=True)
     n = np.bincount(place, np.concatenate([np.zeros(0), *weights]), len(gram)).astype(np.int64)
-    none, n_words = pa.nulls, len(words)
+    found = pa.concat_tables(spelled).rename_columns(["word", "n"]).group_by("word").aggregate([("n", "sum")])
+    of_words, of_grams = pa.nulls(found.num_rows, pa.int64()), pa.nulls(len(gram), pa.binary())
     return pa.table({
-        "chunk": pa.array([packs.column("chunk")[0].as_py()] * (len(gram) + n_words), pa.int64()),
-        "gram": pa.concat_arrays([pa.array(gram.astype(np.int64)), none(n_words, pa.int64())]),
-        "word": pa.concat_arrays([none(len(gram), pa.binary()), pa.array(list(words), pa.binary())]),
-        "n": pa.concat_arrays([pa.array(n), pa.array(list(words.values()), pa.int64())]),
+        "chunk": pa.array(np.full(len(gram) + found.num_rows, packs.column("chunk")[0].as_py())),
+        "gram": pa.concat_arrays([pa.array(gram.astype(np.int64)), of_words]),
+        "word": pa.concat_arrays([of_grams, *found.column("word").chunks]),
+        "n": pa.concat_arrays([pa.array(n), *found.column("n_sum").chunks]),
     })
 
 
@@ -176,21 +175,18 @@ def _scorer(total: int, different: int, train_docs: int):
 
     def score(packs: pa.Table, answers: pa.Table) -> pa.Table:
         of_words = answers.filter(pc.is_valid(answers.column("word")))
-        known = dict(zip(of_words.column("word").to_pylist(), of_words.column("c").to_pylist(), strict=True))
+        counts, of_words = of_words.column("c").to_numpy(), of_words.column("word").combine_chunks()
         of_grams = answers.filter(pc.is_valid(answers.column("gram")))
-        find = Lookup(of_grams.column("gram").to_numpy().astype(np.uint64))
-        logs = of_grams.column("direct").to_numpy()
+        find, logs = Lookup(of_grams.column("gram").to_numpy().astype(np.uint64)), of_grams.column("direct").to_numpy()
         out = []
         for part in _rows(packs):
             code, at = codes(part.column("text"))
             score = sums(logs[find.find(code)], at) / np.log(10)
-            n, n_known, base = [], [], []
-            for line in tokens(part.column("text")):
-                c = np.fromiter(map(known.__getitem__, line), np.int64, len(line))
-                n.append(len(c) + 1)
-                n_known.append(np.count_nonzero(c) + (train_docs > 0))
-                base.append(np.log10(c + 1.0).sum() + np.log10(train_docs + 1.0) - n[-1] * np.log10(total + different + 1.0))
-            columns = [part.column("doc_id"), part.column("held_out"), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(score)]
+            word, first = tokens(part.column("text"))
+            c = counts[pc.index_in(word, value_set=of_words).to_numpy(zero_copy_only=False).astype(np.int64)]
+            n = np.diff(first) + 1
+            base = sums(np.log10(c + 1.0), first) + np.log10(train_docs + 1.0) - n * np.log10(total + different + 1.0)
+            columns = [part.column("doc_id"), part.column("held_out"), n, sums((c > 0).view(np.int8), first) + (train_docs > 0), base, score]
             out.append(pa.record_batch(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]))
         return pa.Table.from_batches(out)
 
@@ -213,14 +209,14 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     packs = in_arrow(dealt, _packed, "chunk long, pack binary")
 
     asked = stored(packs.groupBy("chunk").applyInArrow(_asked, "chunk long, gram long, word binary, n long"), "asked")
-    words, grams = asked.filter("word is not null"), asked.filter("gram is not null").withColumnRenamed("gram", "code")
-    counted = words.groupBy("word").agg(F.sum("n").alias("c"))
+    spelled, grams = asked.filter("word is not null"), asked.filter("gram is not null").withColumnRenamed("gram", "code")
+    counted = spelled.groupBy("word").agg(F.sum("n").alias("c"))
     whole = counted.agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
     total, different = (whole["n"] or 0) + train_docs, (whole["v"] or 0) + (train_docs > 0)
 
     model = log_probabilities(stored(grams.groupBy("code").agg(F.sum("n").alias("c")), "grams"))
     none = F.lit(None)
-    of_words = words.join(counted, "word").select("chunk", none.cast("long").alias("gram"), none.cast("double").alias("direct"), "word", "c")
+    of_words = spelled.join(counted, "word").select("chunk", none.cast("long").alias("gram"), none.cast("double").alias("direct"), "word", "c")
     of_grams = grams.join(model, "code").select("chunk", F.col("code").alias("gram"), "direct", none.cast("binary").alias("word"), none.cast("long").alias("c"))
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     found = packs.groupBy("chunk").cogroup(of_words.unionByName(of_grams).groupBy("chunk")).applyInArrow(
