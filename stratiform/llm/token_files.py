@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -41,7 +42,8 @@ END = 1
 MAGIC = b"TOK1"
 #: Ids in a file, about; a document is never cut.
 FILE_IDS = 4_000_000
-REMEMBERED = 300_000
+#: Words remembered by a Python worker: some 200 bytes each.
+REMEMBERED = 1_200_000
 HEADER = "<4sQQQQ"
 
 #: For each control byte the lengths of its four ranks.
@@ -74,17 +76,24 @@ class WordCoder:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        #: Ids take two bytes where the vocabulary allows it.
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
+        """The ids of each text, as an array of ``kind``."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list({word for words in cut for word in words} - self.known.keys())
-        for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[word] = np.asarray(found.ids, "<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
+        known = self.known
+        cut = [text.replace("\n", " ").split(" ") for text in texts]
+        found = [list(map(known.get, words)) for words in cut]
+        gaps = [(k, i) for k, line in enumerate(found) if None in line for i, x in enumerate(line) if x is None]
+        new = list({cut[k][i] for k, i in gaps})
+        for word, made in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[word] = array(self.kind, made.ids).tobytes()
+        for k, i in gaps:
+            found[k][i] = known[cut[k][i]]
+        return [b"".join(line) for line in found]
 
 
 @lru_cache(maxsize=2)
@@ -96,7 +105,7 @@ def coder(path: str) -> WordCoder:
 def _ids(path: str, end: int):
     def make():
         encode = coder(path).encode
-        last = np.asarray([end], "<u4").tobytes()
+        last = array(coder(path).kind, [end]).tobytes()
 
         def compute(part: pa.RecordBatch) -> list:
             found = [x + last for x in encode([t or "" for t in part.column("text").to_pylist()])]
@@ -107,17 +116,22 @@ def _ids(path: str, end: int):
     return make
 
 
-def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for part in slices(batches, "__ids"):
-        found = np.bincount(np.frombuffer(b"".join(part.column("__ids").to_pylist()), "<u4"), minlength=len(total))
-        found[: len(total)] += total
-        total = found
-    used = np.flatnonzero(total)
-    yield pa.record_batch([used, total[used]], names=["id", "n"])
+def _frequencies(kind: str):
+    """How often each id occurs in a task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for part in slices(batches, "__ids"):
+            found = np.bincount(np.frombuffer(b"".join(part.column("__ids").to_pylist()), kind), minlength=len(total))
+            found[: len(total)] += total
+            total = found
+        used = np.flatnonzero(total)
+        yield pa.record_batch([used, total[used]], names=["id", "n"])
+
+    return run
 
 
-def _writer(folder: str, rank_of):
+def _writer(folder: str, kind: str, rank_of):
     """One file of the rows of each partition, which are in order."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,7 +143,7 @@ def _writer(folder: str, rank_of):
         for batch in batches:
             doc_ids += batch.column("doc_id").to_pylist()
             for x in batch.column("__ids").to_pylist():
-                found = ranks[np.frombuffer(x, "<u4")]
+                found = ranks[np.frombuffer(x, kind)]
                 sizes.append(len(found))
                 ids.append(found)
         if not doc_ids:
@@ -186,10 +200,12 @@ def _reader(id_of):
 def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end: int = END) -> None:
     """Files with the ids of all rows of ``docs`` (doc_id, text), each text closed by ``end``."""
     spark = docs.sparkSession
+    path = path or public_tokenizers.path(TOKENIZER)
+    kind = coder(path).kind
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    encoded = stored(beside(docs, _ids(path or public_tokenizers.path(TOKENIZER), end), {"__ids": "binary"}, ["doc_id"]), "tokens")
+    encoded = stored(beside(docs, _ids(path, end), {"__ids": "binary"}, ["doc_id"]), "tokens")
     # as many rows as the vocabulary has ids, at most
-    found = in_arrow(encoded.select("__ids"), _frequencies, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    found = in_arrow(encoded.select("__ids"), _frequencies(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     ids, n = (found.column(c).to_numpy().astype(np.int64) for c in ("id", "n"))
     ids = ids[np.lexsort((ids, -n))].astype("<u4")
     write_file(f"{folder}/ranks.bin", ids.tobytes())
@@ -204,7 +220,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end: int
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "__tie")
         .drop("__tie")
     )
-    written = in_arrow(ordered, _writer(folder, spark.sparkContext.broadcast(rank_of)), "number long, documents long")
+    written = in_arrow(ordered, _writer(folder, kind, spark.sparkContext.broadcast(rank_of)), "number long, documents long")
     written.agg(F.sum("documents")).collect()
 
 
