@@ -10,6 +10,7 @@ from stratiform.llm.bpe_tree import op9_bpe_tree
 from stratiform.llm.decontamination import op2_decontamination
 from stratiform.llm.html_extraction import op5_html_extraction
 from stratiform.llm.language_id import op1_language_id
+from stratiform.llm.license_scan import op7_license_scan, oracle_sql
 from stratiform.llm.lm_scoring import op6_lm_scoring
 from stratiform.llm.ngram_join import op4_ngram_join
 from stratiform.llm.quality_rules import op3_quality_rules
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_join": op4_ngram_join,
     "op5_html_extraction": op5_html_extraction,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_license_scan": op7_license_scan,
     "op8_token_files": op8_token_files,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_warc": op10_warc,
@@ -67,4 +69,5 @@ SQL: dict[str, str] = {
             CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
         FROM firsts
     """,
+    "op7_license_scan": oracle_sql(),
 }
