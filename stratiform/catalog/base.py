@@ -32,8 +32,7 @@ WITH cell AS (
 keyed AS (SELECT *, CAST(floor(epoch(hour) / 604800) AS BIGINT) AS week FROM cell),
 doc AS (
     SELECT event_type, user_id, week, event_type AS location_name,
-           (user_id * 8 + list_position(['click', 'error', 'purchase', 'signup', 'view'], event_type)) * 8192
-               + week AS record_id,
+           (user_id * 16777216 + CAST('0x' || substr(md5(event_type), 1, 6) AS BIGINT)) * 8192 + week AS record_id,
            CAST(user_id % 180 - 89.75 AS DOUBLE) AS latitude,
            CAST(user_id % 360 - 179.5 AS DOUBLE) AS longitude,
            max(m) AS api_retrieval_time, max(k) + 0.5 AS response_time_ms,

@@ -78,18 +78,25 @@ def backfill_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "location_map",
+    "backfill_gate",
     with_events(
         LATEST,
-        select=f"""SELECT string_agg(location_name || '=' || records, ',' ORDER BY location_name) AS by_location
-    FROM ({_BY_LOCATION})""",
+        select=f"""SELECT what, count(*) AS reports, count(*) FILTER (status = 'completed') AS completed,
+    min(status = 'completed') AS open FROM (SELECT 'all done' AS what, 'completed' AS status FROM ({_BY_LOCATION})
+    UNION ALL SELECT 'one short', CASE WHEN records = (SELECT max(records) FROM ({_BY_LOCATION})) THEN 'failed'
+    ELSE 'completed' END FROM ({_BY_LOCATION})) GROUP BY what""",
     ),
 )
-def location_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _silver(spark, sf_dir).groupBy("location_name").agg(F.count("*").alias("records"))
-    entries = F.array_sort(F.map_entries("by_location"))
-    text = F.array_join(F.transform(entries, lambda e: F.concat_ws("=", e["key"], e["value"])), ",")
-    return quality.location_map(counts).select(text.alias("by_location"))
+def backfill_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate between jobs over a report for each location, with and without an unfinished one."""
+    counts = quality.count_by_location(_silver(spark, sf_dir))
+    most = counts.agg(F.max("records")).scalar()
+    status = {
+        "all done": F.lit("completed"),
+        "one short": F.when(F.col("records") == most, "failed").otherwise("completed"),
+    }
+    gates = [quality.gate(counts.select(c.alias("status"))).withColumn("what", F.lit(what)) for what, c in status.items()]
+    return gates[0].unionByName(gates[1])
 
 
 @query(
@@ -97,12 +104,15 @@ def location_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_events(
         select=f"""SELECT '{S.BRONZE_TABLE}' AS table_name, count(*) AS row_count,
     max(api_retrieval_time) AS latest_data,
-    epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(max(api_retrieval_time)) AS data_age_seconds FROM doc"""
+    epoch(TIMESTAMP '2024-02-01 00:00:00') - epoch(max(api_retrieval_time)) AS data_age_seconds,
+    epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(max(api_retrieval_time)) AS data_age_micros FROM doc"""
     ),
 )
 def health_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.health(bronze(spark, sf_dir), S.BRONZE_TABLE, "created_at", "2024-02-01T00:00:00")
-    return found.drop("data_age")
+    micros = """((extract(DAY FROM data_age) * 24L + extract(HOUR FROM data_age)) * 60 + extract(MINUTE FROM data_age))
+        * 60000000 + cast(extract(SECOND FROM data_age) * 1000000 AS long)"""
+    return found.withColumn("data_age_micros", F.expr(micros)).drop("data_age")
 
 
 @query(
@@ -146,10 +156,12 @@ def _items(name: str) -> str:
         n = "CASE WHEN fault = 6 THEN 0 ELSE n_hours END"
     elif name == "snowfall":
         n = "CASE WHEN fault = 7 THEN 1 ELSE n_hours END"
+    elif name == "uv_index":
+        n = "CASE WHEN fault = 8 THEN 0 ELSE n_hours END"
     bad = "CASE WHEN fault = 7 THEN 1 ELSE 0 END" if name == "snowfall" else "0"
-    return (
-        f"SELECT '{name}' AS variable, CAST(sum({n}) AS BIGINT) AS items, CAST(sum({bad}) AS BIGINT) AS bad_items FROM f"
-    )
+    misshapen = "CASE WHEN fault = 8 THEN 1 ELSE 0 END" if name == "uv_index" else "0"
+    totals = [("items", n), ("bad_items", bad), ("misshapen_documents", misshapen)]
+    return f"SELECT '{name}' AS variable, " + ", ".join(f"CAST(sum({x}) AS BIGINT) AS {c}" for c, x in totals) + " FROM f"
 
 
 @query(
@@ -158,7 +170,7 @@ def _items(name: str) -> str:
         """f AS (
     SELECT n_hours, minute(api_retrieval_time) AS fault,
            unnest(CASE WHEN minute(api_retrieval_time) = 10 THEN [0, 1] ELSE [0] END) AS copy
-    FROM doc WHERE minute(api_retrieval_time) NOT IN (0, 1, 2, 3, 4, 8, 9)
+    FROM doc WHERE minute(api_retrieval_time) NOT IN (0, 1, 2, 3, 4, 9)
 )""",
         select=" UNION ALL ".join(_items(name) for name in ["time", *S.METRICS]),
     ),

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from stratiform import schemas as S
 from stratiform.catalog.base import query, table, with_events
 from stratiform.catalog.layers import bronze
-from stratiform.functions.documents import element_array, first_element, object_path
+from stratiform.catalog.mutations import payload_facts
+from stratiform.functions.documents import element_array, first_element, object_path, series_document
 from stratiform.functions.numeric import float_to_int, numeric_to_int, round_numeric, text_to_boolean
 from stratiform.functions.text import clean_frame, truncate_message
 from stratiform.functions.time import elapsed_ms, time_axis
@@ -20,9 +21,11 @@ from stratiform.operators.flatten import (
     zip_shortest,
 )
 from stratiform.plans import explore
+from stratiform.plans.silver import to_silver
 from stratiform.sources.events import DOCUMENT_KEY, hourly_cells, landed_documents, read_events
 from stratiform.sources.landed import hourly_frame
 
+# The keys of a payload.
 TOP_KEYS = ["latitude", "longitude", "timezone", "_m", "_k", "hourly"]
 HOURLY_KEYS = [
     "time", "temperature_2m", "apparent_temperature", "relative_humidity_2m", "precipitation", "weather_code",
@@ -42,14 +45,13 @@ def _words(names: list[str]) -> str:
     ),
 )
 def json_path_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = bronze(spark, sf_dir).join(explore.hourly_objects(bronze(spark, sf_dir)), "record_id")
     raw = F.col("raw_api_response")
-    return docs.select(
+    return bronze(spark, sf_dir).select(
         "record_id",
         object_path(raw, "latitude").cast("double").alias("latitude"),
         object_path(raw, "longitude").cast("double").alias("longitude"),
         object_path(raw, "timezone").alias("timezone"),
-        F.json_array_length(object_path(F.col("hourly"), "time")).alias("n_hours"),
+        F.json_array_length(object_path(object_path(raw, "hourly"), "time")).alias("n_hours"),
         first_element(object_path(raw, "hourly", "time")).alias("first_time"),
         first_element(object_path(raw, "timezone")).alias("scalar_element"),
     )
@@ -65,14 +67,33 @@ def json_hourly_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.hourly_level_keys(bronze(spark, sf_dir))
 
 
-@query("payload_types")
+_KINDS = {"latitude": "number", "longitude": "number", "timezone": "text", "_m": "text", "_k": "number", "hourly": "object"}
+
+
+@query(
+    "payload_types",
+    with_events(
+        select=" UNION ALL ".join(
+            f"SELECT '{path}' AS path, '{kind}' AS type, count(*) AS documents FROM doc"
+            for path, kind in [*_KINDS.items(), *((f"hourly.{k}", "array") for k in HOURLY_KEYS)]
+        )
+    ),
+)
 def payload_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explore.payload_types(bronze(spark, sf_dir))
 
 
-@query("raw_sample", with_events(select="SELECT min(record_id) AS record_id, 'string' AS actual_type FROM doc"))
+@query(
+    "raw_sample",
+    with_events(
+        select="""SELECT record_id, 'string' AS actual_type, n_hours,
+    strftime(first_hour, '%Y-%m-%dT%H:%M:%S+00:00') AS first_time, strftime(last_hour, '%Y-%m-%dT%H:%M:%S+00:00') AS last_time,
+    sum_rain FROM doc ORDER BY record_id LIMIT 1"""
+    ),
+)
 def raw_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return explore.raw_sample(bronze(spark, sf_dir)).drop("raw_api_response")
+    sample = explore.raw_sample(bronze(spark, sf_dir))
+    return sample.select("record_id", "actual_type", *payload_facts(F.col("raw_api_response")))
 
 
 @query(
@@ -215,6 +236,31 @@ def hourly_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# variables that silver reads as numbers, with their place in the series
+_READ = {p: S.METRICS[v] for p, v in enumerate(S.FRAME_VARIABLES) if v in S.METRICS and v not in S.TEXT_METRICS}
+
+
+@query(
+    "series_documents",
+    f"""SELECT vec_id, make_timestamp((vec_id * 3600 + (i - 1) * 1800) * 1000000) AS observation_timestamp,
+    {", ".join(f"CAST(embedding[i + {p}] AS DOUBLE) AS {name}" for p, name in _READ.items())}
+    FROM (SELECT *, unnest(range(1, {_STEPS + 1})) AS i FROM embeddings)""",
+)
+def series_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time axis, names by position and series become a JSON document, which flattens back to rows."""
+    start = F.col("vec_id") * 3600
+    series = [F.slice("embedding", F.lit(p + 1), F.lit(_STEPS)).cast("array<double>") for p in range(len(S.FRAME_VARIABLES))]
+    axis = time_axis(start, start + _STEPS * 1800, F.lit(1800))
+    scalars = {"latitude": F.lit(1.5), "longitude": F.lit(2.5), "timezone": F.lit("UTC")}
+    docs = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("record_id"),
+        F.lit("vectors").alias("location_name"),
+        F.timestamp_seconds(start).alias("api_retrieval_time"),
+        series_document(axis, S.FRAME_VARIABLES, F.array(*series), scalars).alias("raw_api_response"),
+    )
+    return to_silver(docs).select(F.col("bronze_record_id").alias("vec_id"), "observation_timestamp", *_READ.values())
+
+
 @query(
     "build_documents",
     with_events(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform import schemas as S
@@ -15,15 +15,19 @@ from stratiform.catalog.base import (
     with_events,
 )
 from stratiform.catalog.layers import bronze
+from stratiform.functions.documents import object_path
 from stratiform.operators.upsert import ACTION, conditional_upsert, insert_or_ignore
 from stratiform.plans import bronze as bronze_plan
 from stratiform.plans.gold import to_gold, upsert_gold
 from stratiform.plans.silver import silver_candidates, silver_rejects
+from stratiform.plans.warehouse import Warehouse
+from stratiform.session import scratch_dir
 from stratiform.sources.events import (
     bronze_from_events,
     faulty_documents,
     first_delivery,
     landed_columns,
+    landed_documents,
     read_events,
     record_id,
 )
@@ -31,7 +35,8 @@ from stratiform.sources.locations import with_variables
 
 AS_OF = "2024-02-01T00:00:00"
 FIRST, SECOND = "minute(api_retrieval_time) < 30", "minute(api_retrieval_time) >= 30"
-NEW_DAYS = "2024-01-16"
+# a delivery that leaves whole days alone: late documents of every other week
+LATE = "minute(api_retrieval_time) >= 30 AND CAST(floor(epoch(observation_timestamp) / 604800) AS BIGINT) % 2 = 1"
 
 UPSERT_SQL = f"""upserted AS (
     SELECT CASE WHEN o.location_name IS NULL OR n.api_retrieval_time > o.api_retrieval_time
@@ -93,10 +98,11 @@ def silver_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "gold_upsert",
     with_events(
-        *DELIVERIES_SQL,
+        latest_sql("old", "flat", f"NOT ({LATE})"),
+        latest_sql("new", "flat", LATE),
         UPSERT_SQL,
         gold_sql("old_gold", "old"),
-        gold_sql("new_gold", "upserted", f"observation_date >= '{NEW_DAYS}'"),
+        gold_sql("new_gold", "upserted", "observation_date IN (SELECT observation_date FROM new)"),
         select=f"""SELECT {GOLD_COLUMNS}, CASE WHEN EXISTS (SELECT 1 FROM old_gold o
         WHERE o.observation_date = n.observation_date AND o.location_name = n.location_name)
         THEN 'update' ELSE 'insert' END AS action FROM new_gold n
@@ -105,12 +111,23 @@ def silver_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def gold_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = to_gold(stored_silver(spark, sf_dir), AS_OF)
-    new_days = upserted_silver(spark, sf_dir).filter(F.col("observation_date") >= F.lit(NEW_DAYS).cast("date"))
-    merged = upsert_gold(stored, to_gold(new_days, AS_OF))
+    """Days of the delivery are aggregated anew, whole; all other days stay."""
+    docs = landed_documents(read_events(spark, sf_dir))
+    late = (F.minute("api_retrieval_time") >= 30) & (F.col("week") % 2 == 1)
+    stored, arriving = (silver_candidates(_bronze_columns(docs.filter(c))) for c in (~late, late))
+    held = stored.select(F.col("bronze_record_id").alias("id"), "*", F.col("api_retrieval_time").alias("transformed_at"))
+    upserted = conditional_upsert(held, arriving, AS_OF)
+    touched = upserted.join(arriving.select("observation_date").distinct(), "observation_date", "left_semi")
+    merged = upsert_gold(to_gold(held, AS_OF), to_gold(touched, AS_OF))
     return merged.withColumnRenamed(ACTION, "action").drop("created_at")
 
 
+def _bronze_columns(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        record_id().alias("record_id"), "location_name", "api_retrieval_time", F.col("api_response").alias("raw_api_response")
+    )
+
+
 # documents with faults, as SQL: the minute of retrieval decides; minute 10 lands twice
 LANDED_SQL = """landed AS (
     SELECT * REPLACE (
@@ -144,29 +161,46 @@ verdict AS (
                                     ORDER BY c.response_time_ms) AS nth FROM checked c)
 )"""
 
-BRONZE_SELECT = """location_name, latitude, longitude, api_retrieval_time, 'UTC' AS timezone,
+# what the stored text says: hours, first and last one, and a sum
+PAYLOAD_SELECT = """n_hours, strftime(first_hour, '%Y-%m-%dT%H:%M:%S+00:00') AS first_time,
+    strftime(last_hour, '%Y-%m-%dT%H:%M:%S+00:00') AS last_time"""
+BRONZE_SELECT = f"""{PAYLOAD_SELECT}, CASE WHEN fault = 6 THEN 0.0 ELSE sum_rain END AS sum_rain, location_name, latitude, longitude, api_retrieval_time, 'UTC' AS timezone,
     CAST(floor(response_time_ms + 0.5) AS BIGINT) AS response_time_ms, TIMESTAMP '2024-02-01 00:00:00' AS created_at,
     CAST(CAST(api_retrieval_time AS DATE) AS VARCHAR) AS retrieval_date"""
 ERROR_SELECT = """TIMESTAMP '2024-02-01 00:00:00' AS error_timestamp, 'api' AS api_endpoint, error_type, error_message,
-    CAST(NULL AS BIGINT) AS response_status_code,
-    '{"latitude":' || latitude || ',"longitude":' || longitude
-        || ',"timezone":"UTC","hourly":["temperature_2m"],"forecast_days":7}' AS request_params,
+    CAST(NULL AS BIGINT) AS response_status_code, CASE WHEN location_name IS NOT NULL THEN
+        '{"latitude":' || latitude || ',"longitude":' || longitude || ',"timezone":"UTC","hourly":["' ||
+        array_to_string((SELECT list(variable ORDER BY ordinal) FROM variables), '","') || '"],"forecast_days":7}'
+        END AS request_params,
     latitude, longitude, 2::BIGINT AS retry_attempt, '2024-02-01' AS error_date"""
 
 
+def payload_facts(raw: Column) -> list[Column]:
+    """A stored text, read back: its hours, the first and the last one, and the sum of one variable."""
+    time, rain = (F.from_json(object_path(raw, "hourly", name), kind) for name, kind in (("time", "array<string>"), ("rain", "array<double>")))
+    return [
+        F.size(time).alias("n_hours"),
+        F.array_min(time).alias("first_time"),
+        F.array_max(time).alias("last_time"),
+        F.aggregate(rain, F.lit(0.0), lambda acc, x: acc + x).alias("sum_rain"),
+    ]
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed_columns(faulty_documents(read_events(spark, sf_dir)))
 
 
-def _load(spark: SparkSession, sf_dir: str, stored: bool = True) -> bronze_plan.BronzeLoad:
-    existing = bronze_from_events(read_events(spark, sf_dir)).filter(F.second("api_retrieval_time") < 6)
-    return bronze_plan.load_bronze(
-        _landed(spark, sf_dir),
-        existing if stored else existing.filter(F.lit(False)),
-        AS_OF,
-        endpoint="api",
-        retry_attempt=2,
-    )
+def _loaded(spark: SparkSession, sf_dir: str, stored: bool = True) -> Warehouse:
+    """All documents loaded into a warehouse, which may hold some of them already."""
+    house = Warehouse(spark, scratch_dir(spark, "load"), "api", _places(spark, sf_dir))
+    if stored:
+        house.bronze.append(bronze_from_events(read_events(spark, sf_dir)).filter(F.second("api_retrieval_time") < 6))
+    house.load_landed(_landed(spark, sf_dir), AS_OF, retry_attempt=2)
+    return house
+
+
+def _with_facts(rows: DataFrame) -> DataFrame:
+    return rows.select("*", *payload_facts(F.col("raw_api_response"))).drop("record_id", "raw_api_response")
 
 
 @query(
@@ -178,14 +212,16 @@ def _load(spark: SparkSession, sf_dir: str, stored: bool = True) -> bronze_plan.
     ),
 )
 def bronze_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _load(spark, sf_dir, stored=False).accepted.drop("record_id", "raw_api_response")
+    return _with_facts(_loaded(spark, sf_dir, stored=False).bronze.read())
 
 
 @query(
     "bronze_unique_insert", with_events(LANDED_SQL, select=f"SELECT {BRONZE_SELECT} FROM verdict WHERE error_type IS NULL")
 )
 def bronze_unique_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _load(spark, sf_dir).accepted.drop("record_id", "raw_api_response")
+    """The rows of the load itself, beside those that were there."""
+    loaded = _loaded(spark, sf_dir).bronze.read().filter(F.col("created_at") == F.lit(AS_OF).cast("timestamp"))
+    return _with_facts(loaded)
 
 
 @query(
@@ -201,9 +237,16 @@ def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.filter("_reject IS NOT NULL").select("location_name", "api_retrieval_time", "_reject.*")
 
 
-@query("error_log", with_events(LANDED_SQL, select=f"SELECT {ERROR_SELECT} FROM verdict WHERE error_type IS NOT NULL"))
+VARIABLES_SQL = """variables AS (
+    SELECT unnest(range(1, 14)) AS ordinal, unnest(['temperature_2m', 'apparent_temperature',
+    'relative_humidity_2m', 'precipitation', 'precipitation_probability', 'weather_code', 'wind_speed_10m',
+    'wind_direction_10m', 'uv_index', 'is_day', 'rain', 'showers', 'snowfall']) AS variable
+)"""
+
+
+@query("error_log", with_events(LANDED_SQL, VARIABLES_SQL, select=f"SELECT {ERROR_SELECT} FROM verdict WHERE error_type IS NOT NULL"))
 def error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _load(spark, sf_dir).errors.drop("error_id")
+    return _loaded(spark, sf_dir).errors.read().drop("error_id", "bronze_record_id")
 
 
 @query(
@@ -215,7 +258,7 @@ def error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _load(spark, sf_dir).report
+    return _loaded(spark, sf_dir).results.read().drop("result_id", "load_date")
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,7 +280,7 @@ tally AS (
 
 @query("location_results", with_events(LANDED_SQL, _PLACES_SQL, select="SELECT * FROM tally"))
 def location_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_plan.location_results(_places(spark, sf_dir), _load(spark, sf_dir).report)
+    return bronze_plan.location_results(_places(spark, sf_dir), _loaded(spark, sf_dir).results.read())
 
 
 @query(
@@ -250,15 +293,13 @@ def location_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_plan.run_summary(_places(spark, sf_dir), _load(spark, sf_dir).report)
+    return _loaded(spark, sf_dir).run_summary(_places(spark, sf_dir))
 
 
 @query(
     "location_variables",
-    """SELECT location_name, unnest(range(1, 14)) AS ordinal, unnest(['temperature_2m', 'apparent_temperature',
-    'relative_humidity_2m', 'precipitation', 'precipitation_probability', 'weather_code', 'wind_speed_10m',
-    'wind_direction_10m', 'uv_index', 'is_day', 'rain', 'showers', 'snowfall']) AS variable
-    FROM (SELECT DISTINCT unnest([event_type, event_type || '-silent']) AS location_name FROM events)""",
+    f"""WITH {VARIABLES_SQL} SELECT location_name, ordinal, variable FROM variables,
+    (SELECT DISTINCT unnest([event_type, event_type || '-silent']) AS location_name FROM events)""",
 )
 def location_variables(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = _places(spark, sf_dir).select("location_name", F.posexplode("hourly_variables").alias("pos", "variable"))

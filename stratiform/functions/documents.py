@@ -73,6 +73,13 @@ def named_series(names: Column, series: Column) -> Column:
     return F.map_from_arrays(names, series)
 
 
+def series_document(axis: Column, names: list[str], series: Column, scalars: Mapping[str, Column]) -> Column:
+    """A columnar response as a JSON document: the time axis, and the i-th series under the i-th name."""
+    arrays = [F.get(series, F.lit(i)).alias(name) for i, name in enumerate(names)]
+    hourly = F.struct(F.transform(axis, lambda t: iso_text(t)).alias("time"), *arrays)
+    return F.to_json(F.struct(*[c.alias(n) for n, c in scalars.items()], hourly.alias("hourly")))
+
+
 def build_documents(
     hours: DataFrame, key: list[str], time_column: str, variables: Mapping[str, Column], scalars: Mapping[str, Column]
 ) -> DataFrame:

@@ -47,32 +47,28 @@ def _bound(value: str | dt.datetime) -> Column:
     return F.lit(text).cast("timestamp")
 
 
+def utc_day(value: str | dt.datetime) -> str:
+    """The ISO day of a bound in UTC."""
+    at = value if isinstance(value, dt.datetime) else dt.datetime.fromisoformat(value)
+    return (at.astimezone(dt.timezone.utc) if at.tzinfo else at).date().isoformat()
+
+
 def between_bounds(ts: Column, start: Bound = None, end: Bound = None) -> Column | None:
     """Inclusive range; an empty bound is no bound, and None means no filter at all."""
-    conditions = []
-    if start:
-        conditions.append(ts >= _bound(start))
-    if end:
-        conditions.append(ts <= _bound(end))
-    return functools.reduce(operator.and_, conditions) if conditions else None
+    return _within(ts, *(_bound(b) if b else None for b in (start, end)))
 
 
 def date_between_bounds(day: Column, start: Bound = None, end: Bound = None) -> Column | None:
     """Whole UTC days touched by the range, so that bounds never cut through a day."""
-    conditions = []
-    if start:
-        conditions.append(day >= F.to_date(_bound(start)))
-    if end:
-        conditions.append(day <= F.to_date(_bound(end)))
+    return _within(day, *(F.to_date(_bound(b)) if b else None for b in (start, end)))
+
+
+def _within(value: Column, least: Column | None, most: Column | None) -> Column | None:
+    conditions = [value >= least] if least is not None else []
+    conditions += [value <= most] if most is not None else []
     return functools.reduce(operator.and_, conditions) if conditions else None
 
 
 def backfill_mode(start: Bound = None, end: Bound = None) -> str:
-    """What a backfill covers, in words."""
-    if start and end:
-        return f"From {start} to {end}"
-    if start:
-        return f"From {start} onwards"
-    if end:
-        return f"Up to {end}"
-    return "ALL unprocessed bronze records"
+    """What a backfill covers: all, from, until or between."""
+    return {(False, False): "all", (True, False): "from", (False, True): "until", (True, True): "between"}[bool(start), bool(end)]

@@ -28,15 +28,14 @@ def latest_per_key(df: DataFrame) -> DataFrame:
 def repeats_per_key(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """The complement of ``first_per_key``: every row of a key but its first.
 
-    Ranked in two steps. Inside one input partition first, so that a hot key is spread over as
-    many groups as it has input partitions; then only the best row of each partition meets the
-    others of its key.
+    The first place of each key is a minimum, taken before the shuffle, and the join back can be
+    split where a key is hot. Rows that tie for the first place are told apart by their number.
     """
-    spread = df.withColumn("_part", F.spark_partition_id())
-    local = Window.partitionBy(*key, "_part").orderBy(*order)
-    ranked = spread.withColumn("_local", F.row_number().over(local))
-    losers = ranked.filter("_local > 1").drop("_local", "_part")
-    best = ranked.filter("_local = 1").drop("_local", "_part")
-    overall = Window.partitionBy(*key).orderBy(*order)
-    beaten = best.withColumn("_rank", F.row_number().over(overall)).filter("_rank > 1").drop("_rank")
-    return losers.unionByName(beaten)
+    place = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(order)])
+    rows = df.withColumn("_place", place)
+    firsts = rows.groupBy(*key).agg(F.min("_place").alias("_first"), F.count("*").alias("_rows")).filter("_rows > 1")
+    met = rows.join(firsts.drop("_rows"), key)
+    later = met.filter("_place > _first")
+    ties = met.filter("_place = _first")
+    again = ties.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy("_place"))).filter("_nth > 1").drop("_nth")
+    return later.unionByName(again).drop("_place", "_first")

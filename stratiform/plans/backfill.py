@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratiform.functions.time import Bound, backfill_mode, between_bounds, date_between_bounds
+from stratiform.functions.time import Bound, backfill_mode, between_bounds, date_between_bounds, utc_day
 
 
 def bronze_between(bronze: DataFrame, start: Bound = None, end: Bound = None) -> DataFrame:
@@ -20,6 +20,12 @@ def silver_between(silver: DataFrame, start: Bound = None, end: Bound = None) ->
     return silver if condition is None else silver.filter(condition)
 
 
+def days_between(days: list[str], start: Bound = None, end: Bound = None) -> list[str]:
+    """Of ISO days those that the range touches."""
+    first, last = (None if not b else utc_day(b) for b in (start, end))
+    return [d for d in days if (first is None or d >= first) and (last is None or d <= last)]
+
+
 def backfill_report(
     totals: DataFrame, rows_affected: int, start: Bound = None, end: Bound = None, status: str = "completed"
 ) -> DataFrame:

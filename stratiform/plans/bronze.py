@@ -1,20 +1,16 @@
-"""Landed documents -> bronze rows, error rows and a result per document."""
+"""Landed documents -> bronze rows, error rows and a result per document, from one judgement."""
 
 from __future__ import annotations
 
-import datetime as dt
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform import schemas as S
 from stratiform.functions.documents import CORRUPT
-from stratiform.functions.numeric import numeric_to_int, round_numeric, try_round_numeric
+from stratiform.functions.numeric import numeric_to_int, try_round_numeric
 from stratiform.functions.text import truncate_message
 from stratiform.operators import guards
 from stratiform.operators.upsert import insert_or_reject
-from stratiform.session import moment
 from stratiform.sources.locations import request_params
 
 # Messages and error types of refused documents, and what counts as empty.
@@ -26,25 +22,6 @@ DUPLICATE = 'duplicate key value violates unique constraint "unique_location_req
 EMPTY_RESPONSES = ["", "[]", "null"]
 EMPTY_VALUES = ['""', "[]", "0", "0.0", "false"]
 
-TIE_BREAK = ["response_time_ms", "_raw_hash"]
-ERROR_FIELDS = [
-    "location_name",
-    "latitude",
-    "longitude",
-    "timezone",
-    "api_retrieval_time",
-    "response_time_ms",
-]
-
-
-@dataclass(frozen=True)
-class BronzeLoad:
-    """``accepted`` lacks only its record_id; ``errors`` only its error_id."""
-
-    accepted: DataFrame
-    errors: DataFrame
-    report: DataFrame
-
 
 def classify(landed: DataFrame) -> DataFrame:
     """Add the reject reason of every landed document; NULL for a document that may be stored."""
@@ -90,81 +67,109 @@ def _numeric_range(column: str) -> tuple[Column, Column]:
     return too_large, guards.reason("NumericValueOutOfRange", "numeric field overflow")
 
 
-def load_bronze(
-    landed: DataFrame,
-    existing: DataFrame,
-    as_of: Column | dt.datetime | str | None = None,
-    endpoint: str | None = None,
-    retry_attempt: int = 0,
-) -> BronzeLoad:
-    """One plan for all documents: valid ones become bronze rows, the others error rows.
+#: What a load writes for every document besides the bronze columns; NULL where a document is stored.
+REFUSED_FIELDS = ["refused", "error_type", "error_message", "request_params", "landed_latitude", "landed_longitude", "landed_time_ms"]
 
-    ``existing`` are the stored bronze rows that can share a key with ``landed``.
+
+def judged(landed: DataFrame, now: Column, requests: DataFrame | None = None) -> DataFrame:
+    """Every landed document in the bronze columns, with its refusal if it has one. A refused
+    document leaves its text behind.
+
+    The true request of a location is taken from ``requests`` (location_name, hourly_variables and
+    optional forecast_days), or from columns of those names that the documents carry.
     """
-    now = moment(as_of)
-    checked = classify(landed)
-    candidates = guards.valid(checked).withColumn("_raw_hash", F.xxhash64("api_response"))
-    accepted, duplicates = insert_or_reject(existing, candidates, S.BRONZE_KEY, TIE_BREAK, ERROR_FIELDS)
-    invalid = guards.rejected(checked).select(*ERROR_FIELDS, f"{guards.REJECT}.*")
-    refused = invalid.unionByName(
-        duplicates.withColumn("error_type", F.lit("UniqueViolation")).withColumn("error_message", F.lit(DUPLICATE))
+    checked = with_requests(classify(landed), requests)
+    reason, valid = F.col(guards.REJECT), F.col(guards.REJECT).isNull()
+    stored = {
+        "latitude": try_round_numeric(F.col("latitude"), 8, 4),
+        "longitude": try_round_numeric(F.col("longitude"), 8, 4),
+        "response_time_ms": F.when(valid, numeric_to_int(F.when(valid, F.col("response_time_ms")))),
+        "raw_api_response": F.when(valid, F.col("api_response")),
+        "created_at": now,
+        "retrieval_date": F.to_date("api_retrieval_time"),
+        "record_id": F.lit(None).cast("long"),
+    }
+    params = request_params(
+        F.col("latitude"), F.col("longitude"), F.col("timezone"), F.col("hourly_variables"), F.col("forecast_days")
     )
-    return BronzeLoad(
-        accepted=bronze_rows(accepted, now),
-        errors=error_rows(refused, now, endpoint, retry_attempt),
-        report=load_report(accepted, refused),
+    return checked.select(
+        *[stored.get(name, F.col(name)).alias(name) for name in S.BRONZE.names],
+        (~valid).alias("refused"),
+        reason["error_type"].alias("error_type"),
+        reason["error_message"].alias("error_message"),
+        F.when(F.col("hourly_variables").isNotNull(), params).alias("request_params"),
+        F.col("latitude").alias("landed_latitude"),
+        F.col("longitude").alias("landed_longitude"),
+        F.col("response_time_ms").alias("landed_time_ms"),
     )
 
 
-def bronze_rows(accepted: DataFrame, now: Column) -> DataFrame:
-    """Accepted documents in the bronze schema; the whole response stays as text."""
-    return accepted.select(
-        F.lit(None).cast("long").alias("record_id"),
-        "location_name",
-        round_numeric(F.col("latitude"), 8, 4).alias("latitude"),
-        round_numeric(F.col("longitude"), 8, 4).alias("longitude"),
-        "api_retrieval_time",
-        "timezone",
-        numeric_to_int(F.col("response_time_ms")).alias("response_time_ms"),
-        now.alias("created_at"),
-        F.col("api_response").alias("raw_api_response"),
-        F.to_date("api_retrieval_time").alias("retrieval_date"),
-    )
+def with_requests(landed: DataFrame, requests: DataFrame | None) -> DataFrame:
+    """The variables and days requested for each document; NULL where unknown."""
+    kinds = {"hourly_variables": "array<string>", "forecast_days": "int"}
+    own = [c for c in kinds if c in landed.columns]
+    if requests is not None:
+        known = requests.select(
+            F.col("location_name").alias("_place"),
+            *[(F.col(c) if c in requests.columns else F.lit(None)).cast(kind).alias(f"_{c}") for c, kind in kinds.items()],
+        )
+        landed = landed.join(known, F.col("location_name") == F.col("_place"), "left")
+    columns = []
+    for c, kind in kinds.items():
+        values = ([F.col(c)] if c in own else []) + ([F.col(f"_{c}")] if requests is not None else [])
+        columns.append((F.coalesce(*values) if values else F.lit(None)).cast(kind).alias(c))
+    rest = [c for c in landed.columns if c not in kinds and c not in ("_place", "_hourly_variables", "_forecast_days")]
+    return landed.select(*[F.col(c) for c in rest], *columns)
 
 
-def error_rows(refused: DataFrame, now: Column, endpoint: str | None = None, retry_attempt: int = 0) -> DataFrame:
-    """Refused documents in the error-log schema."""
-    status = F.col("response_status_code") if "response_status_code" in refused.columns else F.lit(None)
+def duplicates(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """The documents of a written batch whose key occurs before them, in the batch or in the table.
+    The wide columns are left out before any shuffle."""
+    slim = [c for c in batch.columns if c != "raw_api_response"]
+    _, refused = insert_or_reject(known, batch, S.BRONZE_KEY, ["response_time_ms", "record_id"], slim)
+    return refused.withColumn("error_type", F.lit("UniqueViolation")).withColumn("error_message", F.lit(DUPLICATE))
+
+
+def error_rows(
+    refused: DataFrame, now: Column, endpoint: str | None = None, retry_attempt: int = 0
+) -> DataFrame:
+    """Refused documents or hours in the error-log schema."""
+
+    def given(name: str, kind: str, other: str | None = None) -> Column:
+        found = next((c for c in (other, name) if c in refused.columns), None)
+        return (F.col(found) if found else F.lit(None)).cast(kind)
+
     return refused.select(
         F.lit(None).cast("long").alias("error_id"),
         now.cast("timestamp_ntz").alias("error_timestamp"),
         F.lit(endpoint).cast("string").alias("api_endpoint"),
         "error_type",
         truncate_message(F.col("error_message")).alias("error_message"),
-        status.cast("int").alias("response_status_code"),
-        request_params(F.col("latitude"), F.col("longitude"), F.col("timezone")).alias("request_params"),
-        "latitude",
-        "longitude",
+        given("response_status_code", "int").alias("response_status_code"),
+        given("request_params", "string").alias("request_params"),
+        given("latitude", "double", "landed_latitude").alias("latitude"),
+        given("longitude", "double", "landed_longitude").alias("longitude"),
         F.lit(retry_attempt).alias("retry_attempt"),
+        given("bronze_record_id", "long").alias("bronze_record_id"),
         F.to_date(now).alias("error_date"),
     )
 
 
-def load_report(accepted: DataFrame, refused: DataFrame) -> DataFrame:
+def load_report(accepted: DataFrame, refused: DataFrame, now: Column) -> DataFrame:
     """One result per document: location and response time, or location and error."""
-    loaded = accepted.select(
-        F.lit(True).alias("success"),
-        F.col("location_name").alias("location"),
-        "response_time_ms",
-        F.lit(None).cast("string").alias("error"),
-    )
-    failed = refused.select(
-        F.lit(False).alias("success"),
-        F.col("location_name").alias("location"),
-        F.lit(None).cast("double").alias("response_time_ms"),
-        F.col("error_message").alias("error"),
-    )
-    return loaded.unionByName(failed)
+    none = F.lit(None)
+
+    def results(df: DataFrame, success: bool) -> DataFrame:
+        return df.select(
+            none.cast("long").alias("result_id"),
+            F.lit(success).alias("success"),
+            F.col("location_name").alias("location"),
+            (F.col("landed_time_ms") if success else none.cast("double")).alias("response_time_ms"),
+            (none.cast("string") if success else F.col("error_message")).alias("error"),
+            F.to_date(now).alias("load_date"),
+        )
+
+    return results(accepted, True).unionByName(results(refused, False))
 
 
 def location_results(places: DataFrame, report: DataFrame) -> DataFrame:

@@ -28,9 +28,20 @@ def raw_sample(bronze: DataFrame, n: int = 1) -> DataFrame:
 
 
 def payload_types(bronze: DataFrame) -> DataFrame:
-    """One merged type for all payloads."""
-    payload = F.parse_json("raw_api_response")
-    return bronze.agg(F.schema_of_variant_agg(payload).alias("payload_type"))
+    """For each path of the payloads, what kinds of values stand there and in how many documents."""
+    document = F.parse_json("raw_api_response")
+    members = F.explode(F.try_variant_get(document, F.lit("$"), "map<string,variant>"))
+    top = bronze.select(members.alias("path", "value"))
+    hourly = F.explode(F.try_variant_get(document, F.lit("$.hourly"), "map<string,variant>"))
+    inner = bronze.select(hourly.alias("name", "value")).select(F.concat(F.lit("hourly."), "name").alias("path"), "value")
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    name = (
+        F.when(kind.isin("DECIMAL", "BIGINT", "DOUBLE", "FLOAT"), "number")
+        .when(kind == "STRING", "text")
+        .when(kind == "VOID", "null")
+        .otherwise(F.lower(kind))
+    )
+    return top.unionByName(inner).groupBy("path", name.alias("type")).agg(F.count("*").alias("documents"))
 
 
 def top_level_keys(bronze: DataFrame) -> DataFrame:

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratiform import schemas as S
-from stratiform.functions.documents import CORRUPT, parse_payload, text_array
+from stratiform.functions.documents import CORRUPT, object_path, parse_payload, text_array
 from stratiform.functions.time import age, within_hours
+from stratiform.plans.silver import BAD_TEXT, BAD_TIME_TEXT
 from stratiform.session import moment
 
 AsOf = Column | dt.datetime | str | None
 
 RECENT_HOURS = 24
-MAX_MAP_ENTRIES = 10_000
 
 # inclusive ranges that physical readings stay in
 RANGES = {
@@ -33,12 +33,18 @@ RANGES = {
 }
 
 
+def gate(report: DataFrame) -> DataFrame:
+    """Whether a job may follow: every row of the upstream report, and at least one, says 'completed'."""
+    done = F.col("status").eqNullSafe("completed")
+    return report.agg(
+        F.count("*").alias("reports"), F.count_if(done).alias("completed"), F.coalesce(F.min(done), F.lit(False)).alias("open")
+    )
+
+
 def require_completed(report: DataFrame) -> None:
-    """Gate between jobs: every row of the upstream report must say 'completed'."""
-    if not report.filter(F.col("status") == "completed").take(1) or report.filter(
-        ~F.col("status").eqNullSafe("completed")
-    ).take(1):
-        raise ValueError("Cannot validate - transformation did not complete")
+    """The gate as an error."""
+    if not gate(report).head().open:
+        raise ValueError("the run to check has not completed")
 
 
 def total_count(df: DataFrame) -> DataFrame:
@@ -93,19 +99,6 @@ def verify_backfill(silver: DataFrame) -> DataFrame:
     return count_by_location(silver).select(F.lit("verified").alias("status"), "location_name", "records")
 
 
-def location_map(counts: DataFrame, max_entries: int = MAX_MAP_ENTRIES) -> DataFrame:
-    """``counts`` as one map value, for reports over a small location dimension.
-
-    The size is checked before anything is gathered: beyond ``max_entries`` the map is NULL and
-    the rows of ``counts`` are the answer.
-    """
-    n = counts.agg(F.count("*")).scalar()
-    entry = F.struct("location_name", "records")
-    return counts.filter(n <= max_entries).agg(
-        F.when(F.count("*") > 0, F.map_from_entries(F.collect_list(entry))).alias("by_location")
-    )
-
-
 def health(df: DataFrame, table_name: str, ts_column: str, as_of: AsOf = None) -> DataFrame:
     """Freshness of a table: rows, latest time and its age."""
     latest = df.agg(F.count("*").alias("row_count"), F.max(ts_column).alias("latest_data"))
@@ -153,27 +146,35 @@ def range_checks(silver: DataFrame, ranges: dict[str, tuple[float, float]] | Non
 
 
 def type_checks(bronze: DataFrame) -> DataFrame:
-    """Per payload variable: items, and items that do not cast to the type of their column."""
-    parsed = bronze.select(parse_payload(F.col("raw_api_response"), S.METRICS).alias("_p"))
+    """Per payload variable: items, and items that silver refuses because they aren't of the type of
+    their column; and documents in which the variable, or the whole document, is misshapen."""
     names = ["time", *S.METRICS]
-
-    def bad(name: str) -> Column:
-        if name in S.TEXT_METRICS:
-            return F.lit(0)
-        target = "timestamp" if name == "time" else "double"
-        items = text_array(F.col(f"_p.hourly.{name}"))
-        return F.size(F.filter(items, lambda x: x.isNotNull() & x.try_cast(target).isNull()))
-
+    raw = F.col("raw_api_response")
+    parsed = bronze.select(raw, parse_payload(raw, S.METRICS).alias("_p"))
+    broken = F.col(f"_p.{CORRUPT}").isNotNull()
+    # a misshapen document is read again, each variable by itself
+    part = {name: F.when(broken, object_path(raw, "hourly", name)) for name in names}
+    again = parsed.select(
+        "_p",
+        broken.alias("_broken"),
+        *[F.from_json(part[name], "array<string>").alias(f"_i_{name}") for name in names],
+        *[(part[name].isNotNull() & (part[name] != "null") & ~part[name].startswith("[")).alias(f"_m_{name}") for name in names],
+    )
     totals = []
     for name in names:
-        totals.append(F.sum(F.size(text_array(F.col(f"_p.hourly.{name}")))).alias(f"n_{name}"))
-        totals.append(F.sum(bad(name)).alias(f"bad_{name}"))
+        items = text_array(F.when(F.col("_broken"), F.when(~F.col(f"_m_{name}"), F.col(f"_i_{name}"))).otherwise(F.col(f"_p.hourly.{name}")))
+        wrong = "false" if name in S.TEXT_METRICS else BAD_TIME_TEXT.format("text") if name == "time" else BAD_TEXT
+        again = again.withColumn(f"_a_{name}", items)
+        totals.append(F.sum(F.size(f"_a_{name}")).alias(f"n_{name}"))
+        totals.append(F.sum(F.expr(f"size(filter(_a_{name}, text -> {wrong}))")).alias(f"bad_{name}"))
+        totals.append(F.count_if(F.col(f"_m_{name}")).alias(f"mis_{name}"))
     rows = F.array(*[
         F.struct(
             F.lit(name).alias("variable"),
             F.col(f"n_{name}").alias("items"),
             F.col(f"bad_{name}").alias("bad_items"),
+            F.col(f"mis_{name}").alias("misshapen_documents"),
         )
         for name in names
     ])
-    return parsed.filter(F.col(f"_p.{CORRUPT}").isNull()).agg(*totals).select(F.inline(rows))
+    return again.agg(*totals).select(F.inline(rows))

@@ -28,6 +28,10 @@ BAD_TEXT = """(text IS NOT NULL AND (try_cast(text AS double) IS NULL
     OR (lower(substring(rtrim(text), -1, 1)) IN ('d', 'f') AND NOT contains(lower(text), 'inf'))))"""
 
 
+# a date is required: the cast alone would also take '10:00' and add the current day
+BAD_TIME_TEXT = "({0} IS NOT NULL AND (try_cast({0} AS timestamp) IS NULL OR substring({0}, 5, 1) <> '-'))"
+
+
 def flatten(bronze: DataFrame) -> DataFrame:
     """Hourly items, zipped by position and padded to the longest array.
 
@@ -80,12 +84,10 @@ def _texts(name: str) -> str:
 def checked_observations(bronze: DataFrame) -> DataFrame:
     """Typed observations with the reject reason of every row."""
     rows = flatten(bronze)
-    time, timestamp = F.col("time"), F.col("timestamp")
-    # a date is required: the cast alone would also take '10:00' and add the current day
-    undated = time.isNotNull() & (timestamp.isNull() | (F.substring(time, 5, 1) != "-"))
+    timestamp = F.col("timestamp")
     rules = [
         (F.col("_broken"), guards.reason("DataException", BAD_ARRAY)),
-        (undated, guards.reason("DataException", BAD_TIME)),
+        (F.expr(BAD_TIME_TEXT.format("time")), guards.reason("DataException", BAD_TIME)),
         (F.col("bad") | F.col("_bad_place"), guards.reason("DataException", BAD_NUMBER)),
         (
             timestamp.isNull(),
@@ -111,7 +113,11 @@ def to_silver(bronze: DataFrame, strict: bool = False) -> DataFrame:
 
 def silver_rejects(bronze: DataFrame) -> DataFrame:
     """Rows ``to_silver`` leaves out, in the shape the error log takes."""
-    bad = guards.rejected(checked_observations(bronze))
+    return rejects(guards.rejected(checked_observations(bronze)))
+
+
+def rejects(bad: DataFrame) -> DataFrame:
+    """Refused hours in the shape the error log takes."""
     return bad.select(
         "location_name",
         "latitude",
@@ -119,7 +125,6 @@ def silver_rejects(bronze: DataFrame) -> DataFrame:
         "timezone",
         "bronze_record_id",
         "api_retrieval_time",
-        F.lit(None).cast("double").alias("response_time_ms"),
         f"{guards.REJECT}.error_type",
         f"{guards.REJECT}.error_message",
     )

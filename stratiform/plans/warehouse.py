@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratiform import schemas as S
 from stratiform.functions.time import Bound
@@ -17,151 +21,218 @@ from stratiform.operators.upsert import (
     UPDATE,
     conditional_upsert,
     insert_or_ignore,
-    insert_or_reject,
 )
 from stratiform.plans import backfill, bronze, gold, quality, silver
-from stratiform.session import moment, observed, prepare, scratch_dir
-from stratiform.sources.tables import Staged, Table, delete_folder
+from stratiform.session import moment, observed, prepare
+from stratiform.sources.tables import AppendTable, DayTable, FileSystem, Staged, delete_folder, fresh_ids
 
 AsOf = Column | dt.datetime | str | None
 
+#: Marks that are committed with the data that makes them true: the highest bronze id that silver has
+#: taken in, and the silver version that gold has aggregated.
+BRONZE_ID, SILVER_VERSION = "bronze_id", "silver_version"
+
+
+class ErrorLog:
+    """One table for each job that writes refusals, so that no two write the same; read as one."""
+
+    def __init__(self, load: AppendTable, silver: AppendTable):
+        self.load, self.silver = load, silver
+
+    def read(self) -> DataFrame:
+        """Both tables; ids of the second are odd, those of the first even."""
+        both = [(self.load, 0), (self.silver, 1)]
+        tables = [t.read().withColumn("error_id", F.col("error_id") * 2 + k) for t, k in both]
+        return tables[0].unionByName(tables[1])
+
 
 class Warehouse:
-    """Bronze, error log, silver and gold under one root folder that all executors share."""
+    """Bronze, error log, silver and gold under one root folder that all executors share.
 
-    def __init__(self, spark: SparkSession, root: str, endpoint: str | None = None):
+    ``requests`` are the locations with what is requested for them (see ``bronze.with_requests``).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, endpoint: str | None = None, requests: DataFrame | None = None):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
         self.endpoint = endpoint
-        self.bronze = self._table("bronze/weather_raw", S.BRONZE, "retrieval_date", S.BRONZE_KEY, "record_id")
-        self.errors = self._table("bronze/api_error_log", S.ERRORS, "error_date", ["error_timestamp"], "error_id")
-        self.silver = self._table("silver/weather_observations", S.SILVER, "observation_date", S.SILVER_KEY, "id")
-        self.gold = self._table("gold/daily_weather_summary", S.GOLD, "observation_date", ["location_name"], None)
+        self.requests = requests
+        self.bronze = self._table(AppendTable, "bronze/weather_raw", S.BRONZE, "retrieval_date", S.BRONZE_KEY, "record_id")
+        log = [
+            self._table(AppendTable, f"bronze/api_error_log/{job}", S.ERRORS, "error_date", ["error_type"], "error_id")
+            for job in ("load", "silver")
+        ]
+        self.errors = ErrorLog(*log)
+        self.results = self._table(AppendTable, "bronze/load_results", S.RESULTS, "load_date", ["location"], "result_id")
+        self.silver = self._table(DayTable, "silver/weather_observations", S.SILVER, "observation_date", S.SILVER_KEY, "id")
+        self.gold = self._table(DayTable, "gold/daily_weather_summary", S.GOLD, "observation_date", ["location_name"])
+
+    def _table(self, kind, path, schema, partition, sort, id_column=None):
+        return kind(self.spark, f"{self.root}/{path}", schema, partition, sort, id_column).ensure()
 
-    def _table(self, path, schema, partition, sort, id_column) -> Table:
-        return Table(self.spark, f"{self.root}/{path}", schema, partition, sort, id_column).ensure()
+    @contextmanager
+    def _scratch(self, name: str) -> Iterator[str]:
+        """A folder under the root that goes with the step that needs it, also if the step fails."""
+        path = f"{self.root}/_scratch/{name}-{uuid.uuid4().hex}"
+        try:
+            yield path
+        finally:
+            delete_folder(self.spark, path)
 
     # -- landed -> bronze ---------------------------------------------------------------
 
     def load_landed(
         self, landed: DataFrame, as_of: AsOf = None, retry_attempt: int = 0, gather_days: bool = False
     ) -> dict:
-        """Store valid documents, log refused ones.
+        """Store valid documents, log refused ones, and keep a result per document.
 
-        Documents are parsed and written once, without a shuffle of their text. The unique key is
-        then checked on the narrow columns of the written batch, against the stored keys of its
-        own retrieval days; only a batch with duplicates is written again without them. Invalid
-        documents are looked for in a second pass only if the first one met any. ``gather_days``
-        shuffles a batch of many days into whole files per day.
+        Documents are judged and written once, valid and refused ones apart, without a shuffle of
+        their text. The unique key is then checked on the narrow columns of the written batch,
+        against the stored keys of its own retrieval days; only a batch with duplicates is written
+        again without them. ``gather_days`` shuffles a batch of many days into whole files per day.
         """
-        self.bronze.recover()
         now = moment(as_of)
-        last_id = self.bronze.high_water()
-        seen = Observation()
-        checked = bronze.classify(landed).observe(
-            seen, F.count("*").alias("documents"), F.count_if(F.col(guards.REJECT).isNotNull()).alias("invalid")
-        )
-        staged = self.bronze.stage(
-            bronze.bronze_rows(guards.valid(checked), now), replace=False, new_rows=F.lit(True), rebalance=gather_days
-        )
-        found = observed(seen) or {"documents": landed.count(), "invalid": None}
-        staged, duplicates = self._without_duplicates(staged, now, retry_attempt)
-        stored = staged.metrics["rows"]
-        invalid = found["documents"] - stored - duplicates if found["invalid"] is None else found["invalid"]
-        if invalid:
-            refused = guards.rejected(bronze.classify(landed)).select(*bronze.ERROR_FIELDS, f"{guards.REJECT}.*")
-            self.errors.append(bronze.error_rows(refused, now, self.endpoint, retry_attempt))
-        days = self.bronze.staged_days(staged)
-        self.bronze.publish(staged)
+        with self._scratch("load") as path:
+            judged = bronze.judged(landed, now, self.requests)
+            found, schema = self._write_judged(judged, path, gather_days)
+            batch = self._judged(schema, f"{path}/refused=false")
+            refused = self._judged(schema, f"{path}/refused=true")
+            days = self.bronze.days_of(f"{path}/refused=false")
+            staged = Staged(f"{path}/refused=false", found["max_id"], {"rows": found["documents"] - found["refused"]})
+            with self._scratch("duplicates") as beside:
+                repeated = self._duplicates(batch, days, beside) if days else None
+                accepted = batch
+                if repeated is not None:
+                    accepted = batch.join(repeated.select("record_id"), "record_id", "left_anti")
+                    refused = refused.unionByName(repeated)
+                    staged = self.bronze.stage(accepted.select(*S.BRONZE.names), numbered=True)
+                    staged.max_id = found["max_id"]
+                self.errors.load.append(bronze.error_rows(refused, now, self.endpoint, retry_attempt))
+                results = bronze.load_report(accepted, refused, now)
+                counts = self.results.append(results, {"stored": F.count_if("success")})
+            self.bronze.publish(staged)
         return {
             "documents": found["documents"],
-            "stored": stored,
-            "refused": invalid + duplicates,
+            "stored": counts["stored"],
+            "refused": found["documents"] - counts["stored"],
             "days": days,
-            "last_id": last_id,
         }
 
-    def _without_duplicates(self, staged: Staged, now: Column, retry_attempt: int) -> tuple[Staged, int]:
-        """Refuse documents whose key occurs before them, in the batch or in the table."""
-        batch, known = self.bronze.staged_rows(staged), self.bronze.read(self.bronze.staged_days(staged))
-        slim = ["record_id", "location_name", "latitude", "longitude", "timezone", "retrieval_date"]
-        _, refused = insert_or_reject(known, batch, S.BRONZE_KEY, ["response_time_ms", "record_id"], slim)
-        # written down, so that the join below knows its size: few duplicates are broadcast
-        path = scratch_dir(self.spark, "duplicates")
+    def _write_judged(self, judged: DataFrame, path: str, gather_days: bool) -> tuple[dict, T.StructType]:
+        if gather_days:
+            judged = judged.hint("rebalance", "retrieval_date")
+        judged = judged.sortWithinPartitions("refused", "retrieval_date", *S.BRONZE_KEY)
+        judged = judged.withColumn("record_id", fresh_ids(self.bronze.high_water()))
+        seen = Observation()
+        counted = judged.observe(
+            seen, F.count("*").alias("documents"), F.count_if("refused").alias("refused"),
+            F.max(F.when(~F.col("refused"), F.col("record_id"))).alias("max_id"),
+        )
+        counted.write.partitionBy("refused", "retrieval_date").parquet(path)
+        schema = T.StructType([f for f in judged.schema.fields if f.name != "refused"])
+        return observed(seen) or {"documents": 0, "refused": 0, "max_id": None}, schema
+
+    def _judged(self, schema: T.StructType, path: str) -> DataFrame:
+        found = FileSystem(self.spark, path).exists(path)
+        return self.spark.read.schema(schema).parquet(path) if found else self.spark.createDataFrame([], schema)
+
+    def _duplicates(self, batch: DataFrame, days: list[str], path: str) -> DataFrame | None:
+        """Documents whose key occurs before them, written down; None if there are none."""
+        found = bronze.duplicates(batch, self.bronze.read(days))
         count = Observation()
-        refused.observe(count, F.count("*").alias("n")).write.parquet(path)
-        duplicates = (observed(count) or {"n": 0})["n"]
-        if duplicates:
-            losers = self.spark.read.schema(refused.schema).parquet(path)
-            errors = losers.withColumn("error_type", F.lit("UniqueViolation"))
-            errors = errors.withColumn("error_message", F.lit(bronze.DUPLICATE))
-            errors = errors.withColumns({c: F.col(c).cast("double") for c in ("latitude", "longitude")})
-            self.errors.append(bronze.error_rows(errors, now, self.endpoint, retry_attempt))
-            kept = batch.join(losers.select("record_id"), "record_id", "left_anti")
-            smaller = self.bronze.stage(kept, replace=False, new_rows=F.lit(False), rebalance=False)
-            smaller.max_id = staged.max_id
-            self.bronze.discard(staged)
-            staged = smaller
-        delete_folder(self.spark, path)
-        return staged, duplicates
+        # written, so that a join with them knows their size
+        found.observe(count, F.count("*").alias("n")).write.parquet(path)
+        if not (observed(count) or {"n": 0})["n"]:
+            return None
+        return self.spark.read.schema(found.schema).parquet(path).withColumn("raw_api_response", F.lit(None).cast("string"))
 
     # -- bronze -> silver ---------------------------------------------------------------
 
-    def update_silver(self, bronze_rows: DataFrame, as_of: AsOf = None, strict: bool = False) -> dict:
-        """Flatten, deduplicate and upsert; rewrites only the days that have candidates."""
-        self.silver.recover()
+    def update_silver(self, bronze_rows: DataFrame, as_of: AsOf = None, strict: bool = False, marks: dict | None = None) -> dict:
+        """Flatten, deduplicate and upsert; rewrites only days in which something is new or newer.
+
+        Documents are parsed once, into hours that are valid or refused; refusals of a document are
+        logged the first time. ``marks`` are committed with the change, or alone if nothing changes.
+        """
         now = moment(as_of)
+        with self._scratch("hours") as path, self._scratch("candidates") as latest:
+            valid, rejected = self._parsed(bronze_rows, path, now, strict)
+            candidates, days = self._written(silver.latest_per_key(valid), latest)
+            changed = self._changed_days(candidates, days)
+            result = {"inserted": 0, "updated": 0, "rejected": rejected, "days": changed}
+            if changed:
+                fresh = candidates.filter(F.col("observation_date").cast("string").isin(changed)) if changed != days else candidates
+                merged = conditional_upsert(self.silver.read(changed), fresh, now)
+                metrics = self.silver.replace_days(merged, F.col(ACTION) == INSERT, [ACTION], _action_counts(), marks)
+                result |= {k: metrics[k] for k in ("inserted", "updated")}
+            elif marks:
+                self.silver.publish(None, marks)
+        return result
+
+    def _parsed(self, bronze_rows: DataFrame, path: str, now: Column, strict: bool) -> tuple[DataFrame, int]:
+        """The valid hours of the documents, and how many others there are; those are logged."""
         checked = silver.checked_observations(bronze_rows)
+        if strict:
+            checked = guards.strict(checked).withColumn(guards.REJECT, F.lit(None).cast(guards.NO_REJECT))
         bad = Observation()
-        counted = checked.observe(bad, F.count_if(F.col(guards.REJECT).isNotNull()).alias("rejected"))
-        rows = guards.strict(counted) if strict else guards.valid(counted)
-        candidates, days, path = self._materialize(silver.latest_per_key(rows))
-        found = observed(bad)
-        refused = silver.silver_rejects(bronze_rows)
-        rejected = found["rejected"] if found else refused.count()
+        flagged = checked.withColumn("refused", F.col(guards.REJECT).isNotNull())
+        flagged.observe(bad, F.count_if("refused").alias("rejected")).write.partitionBy("refused").parquet(path)
+        valid, refused = (self._judged(checked.schema, f"{path}/refused={kind}") for kind in ("false", "true"))
+        rejected = (observed(bad) or {"rejected": 0})["rejected"]
         if rejected:
-            self.errors.append(bronze.error_rows(refused, now, self.endpoint))
-        result = {"inserted": 0, "updated": 0, "rejected": rejected, "days": days}
-        if days:
-            merged = conditional_upsert(self.silver.read(days), candidates, now)
-            is_new = F.col(ACTION) == INSERT
-            metrics = self.silver.replace_partitions(merged, is_new, [ACTION], _action_counts())
-            result |= {k: metrics[k] for k in ("inserted", "updated")}
-        delete_folder(self.spark, path)
-        return result
+            logged = self.errors.silver.read().select("bronze_record_id").distinct()
+            new = silver.rejects(refused).join(logged, "bronze_record_id", "left_anti")
+            self.errors.silver.append(bronze.error_rows(new, now, self.endpoint))
+        return valid.drop(guards.REJECT), rejected
 
-    def _materialize(self, candidates: DataFrame) -> tuple[DataFrame, list[str], str]:
-        """Write the batch once: parsing is the expensive part, and both the touched days and
-        the upsert need its result."""
-        path = scratch_dir(self.spark, "candidates")
+    def _written(self, candidates: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
+        """The candidates written once, and their days: both the days and the upsert need them."""
         candidates.write.parquet(path)
         written = self.spark.read.schema(candidates.schema).parquet(path)
-        return written, _days(written.select(F.col("observation_date").alias("day"))), path
+        return written, _days(written.select(F.col("observation_date").alias("day")))
+
+    def _changed_days(self, candidates: DataFrame, days: list[str]) -> list[str]:
+        """The days with an hour that is new or newer, by narrow columns only."""
+        held = set(self.silver.days())
+        known = [d for d in days if d in held]
+        if not known:
+            return days
+        columns = [*S.SILVER_KEY, "api_retrieval_time", "observation_date"]
+        old = self.silver.read(known).select(*S.SILVER_KEY, F.col("api_retrieval_time").alias("old"), F.lit(True).alias("known"))
+        met = candidates.select(*columns).join(old, S.SILVER_KEY, "left")
+        news = met.filter(F.col("known").isNull() | (F.col("api_retrieval_time") > F.col("old")))
+        return _days(news.select(F.col("observation_date").alias("day")))
 
     def insert_silver(self, bronze_rows: DataFrame, as_of: AsOf = None) -> dict:
-        """The mode that never touches a stored hour: conflicts are ignored."""
-        self.silver.recover()
-        candidates, days, path = self._materialize(silver.silver_candidates(bronze_rows))
-        inserted = 0
-        if days:
-            order = [F.desc("api_retrieval_time")]
-            new = insert_or_ignore(self.silver.read(days), candidates, S.SILVER_KEY, order)
-            rows = new.withColumn("id", F.lit(None).cast("long")).withColumn("transformed_at", moment(as_of))
-            inserted = self.silver.append(rows, rebalance=True)["rows"]
-        delete_folder(self.spark, path)
-        return {"inserted": inserted, "days": days}
+        """The mode that never touches a stored hour: conflicts are ignored, refusals logged."""
+        now = moment(as_of)
+        with self._scratch("hours") as path, self._scratch("candidates") as latest:
+            valid, rejected = self._parsed(bronze_rows, path, now, False)
+            candidates, days = self._written(silver.latest_per_key(valid), latest)
+            new = insert_or_ignore(self.silver.read(days), candidates, S.SILVER_KEY, [F.desc("api_retrieval_time")])
+            changed = _days(new.select(F.col("observation_date").alias("day")))
+            inserted = 0
+            if changed:
+                held = self.silver.read(changed).withColumn(ACTION, F.lit(KEEP))
+                rows = new.withColumns({"id": F.lit(None).cast("long"), "transformed_at": now, ACTION: F.lit(INSERT)})
+                both = held.unionByName(rows.select(*held.columns))
+                inserted = self.silver.replace_days(both, F.col(ACTION) == INSERT, [ACTION], _action_counts())["inserted"]
+        return {"inserted": inserted, "rejected": rejected, "days": changed}
 
     # -- silver -> gold -----------------------------------------------------------------
 
     def update_gold(self, days: list[str] | None = None, as_of: AsOf = None) -> dict:
-        """Aggregate whole days, all or only ``days``, and replace their summaries."""
-        self.gold.recover()
-        touched = self.silver.days() if days is None else days
+        """Aggregate whole days and replace their summaries: the given ones, or all that silver has
+        written since gold last looked."""
+        seen = self.silver.version().number
+        pending = self.silver.days_after(self.gold.version().marks.get(SILVER_VERSION, 0))
+        touched = pending if days is None else days
         if not touched:
             return {"inserted": 0, "updated": 0, "days": []}
-        new = gold.to_gold(self.silver.read(days), as_of)
-        merged = gold.upsert_gold(self.gold.read(days), new)
-        metrics = self.gold.replace_partitions(merged, F.lit(False), [ACTION], _action_counts())
+        marks = {SILVER_VERSION: seen} if set(pending) <= set(touched) else None
+        new = gold.to_gold(self.silver.read(touched), as_of)
+        merged = gold.upsert_gold(self.gold.read(touched), new)
+        metrics = self.gold.replace_days(merged, F.lit(False), [ACTION], _action_counts(), marks)
         return {"inserted": metrics["inserted"], "updated": metrics["updated"], "days": touched}
 
     # -- backfill -----------------------------------------------------------------------
@@ -173,9 +244,8 @@ class Warehouse:
         return backfill.backfill_report(quality.total_count(self.silver.read()), affected, start, end)
 
     def backfill_gold(self, start: Bound = None, end: Bound = None, as_of: AsOf = None) -> DataFrame:
-        """Re-aggregate every day the range touches."""
-        rows = backfill.silver_between(self.silver.read(), start, end)
-        result = self.update_gold(_days(rows.select(F.col("observation_date").alias("day"))), as_of)
+        """Re-aggregate every day the range touches; the days are known without reading silver."""
+        result = self.update_gold(backfill.days_between(self.silver.days(), start, end), as_of)
         affected = result["inserted"] + result["updated"]
         return backfill.backfill_report(quality.total_count(self.gold.read()), affected, start, end)
 
@@ -203,13 +273,21 @@ class Warehouse:
         return quality.health(table.read(), name, ts_column, as_of)
 
     def run(self, landed: DataFrame, as_of: AsOf = None) -> dict:
-        """One batch through all layers."""
+        """One batch through all layers. Silver takes in every bronze row it hasn't seen, and gold every
+        day that silver changed since, so that a run also finishes what an earlier one left undone."""
         loaded = self.load_landed(landed, as_of)
-        fresh = self.bronze.read(loaded["days"]).filter(F.col("record_id") > loaded["last_id"])
-        silver_result = self.update_silver(fresh, as_of)
-        gold_result = self.update_gold(silver_result["days"], as_of)
+        last = self.bronze.high_water()
+        before = self.silver.version().marks.get(BRONZE_ID, 0)
+        silver_result = {"inserted": 0, "updated": 0, "rejected": 0, "days": []}
+        if last > before:
+            silver_result = self.update_silver(self.bronze.read(after=before), as_of, marks={BRONZE_ID: last})
+        gold_result = self.update_gold(None, as_of)
         return {"bronze": loaded, "silver": silver_result, "gold": gold_result}
 
+    def run_summary(self, places: DataFrame) -> DataFrame:
+        """Expected locations against the stored results of all loads."""
+        return bronze.run_summary(places, self.results.read())
+
 
 def _days(day: DataFrame) -> list[str]:
     """The distinct days, which the calendar bounds: partition names, not data."""

@@ -92,9 +92,20 @@ ERRORS = T.StructType([
     T.StructField("latitude", T.DoubleType()),
     T.StructField("longitude", T.DoubleType()),
     T.StructField("retry_attempt", T.IntegerType()),
+    T.StructField("bronze_record_id", T.LongType()),
     T.StructField("error_date", T.DateType(), False),
 ])
 
+# one row per document of a load
+RESULTS = T.StructType([
+    T.StructField("result_id", T.LongType(), False),
+    T.StructField("success", T.BooleanType()),
+    T.StructField("location", T.StringType()),
+    T.StructField("response_time_ms", T.DoubleType()),
+    T.StructField("error", T.StringType()),
+    T.StructField("load_date", T.DateType(), False),
+])
+
 SILVER = T.StructType(
     [
         T.StructField("id", T.LongType(), False),

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import tempfile
+import re
 import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, Observation, SparkSession
 from pyspark.sql import functions as F
 
-_local_scratch: dict[str, str] = {}
-
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin UTC days and ANSI errors; every timestamp and cast below relies on both."""
@@ -21,18 +19,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder for ``name`` under the shared folder of the cluster.
+    """The path of a fresh folder for ``name``, which all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only a local session without
-    the setting falls back to a temporary folder of the machine.
+    It lies in the folder that ``spark.checkpoint.dir`` names, or in the warehouse where the session
+    names none; either is shared by definition. What an application leaves there goes when it ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _local_scratch.setdefault("base", tempfile.mkdtemp(prefix="stratiform-"))
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
+    own = f"{re.sub('^file:/+', 'file:///', base.rstrip('/'))}/stratiform-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(own)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    system.deleteOnExit(path)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def observed(observation: Observation) -> dict | None:

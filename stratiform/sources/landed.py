@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from stratiform import schemas as S
 from stratiform.functions.documents import CORRUPT
 from stratiform.functions.time import time_axis
+from stratiform.operators.flatten import zip_longest
 
 
 def read_landed(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -30,10 +31,9 @@ def hourly_frame(
     ``values`` holds the series in the order of ``names``: the i-th series gets the i-th name.
     Positions past the end of a series are NULL; positions past the time axis are no rows.
     """
-    axis = F.posexplode(time_axis(start, end, step))
-    rows = series.select(*keep, values.alias("_values"), axis.alias("_pos", "date_utc"))
-    columns = [
-        F.get(F.get(F.col("_values"), F.lit(i)), F.col("_pos")).cast("double").alias(name)
-        for i, name in enumerate(names)
-    ]
-    return rows.select(*keep, "date_utc", *columns)
+    axis = time_axis(start, end, step)
+    # cut to the axis and zipped with it before the rows are made, so that no row rebuilds an array
+    staged = series.select(*keep, values.alias("_values"), axis.alias("_axis"))
+    arrays = {name: F.slice(F.coalesce(F.get("_values", F.lit(i)), F.array()), F.lit(1), F.size("_axis")) for i, name in enumerate(names)}
+    rows = zip_longest(staged, [F.col(k) for k in keep], {"date_utc": F.col("_axis"), **arrays})
+    return rows.select(*keep, "date_utc", *[F.col(name).cast("double").alias(name) for name in names])

@@ -22,15 +22,16 @@ def start_incremental(
 
     Each micro-batch upserts silver and re-aggregates the full days it touched, not the rows of
     the batch. A batch that runs twice changes nothing: its retrieval times are no longer newer.
+    Files count as new however old their times are: copied or restored ones are.
     """
     spark = warehouse.spark
-    reader = spark.readStream.schema(S.BRONZE)
+    reader = spark.readStream.schema(S.BRONZE).option("maxFileAge", "36500d")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        result = warehouse.update_silver(batch, as_of)
-        warehouse.update_gold(result["days"], as_of)
+        warehouse.update_silver(batch.select(*S.BRONZE.names), as_of)
+        warehouse.update_gold(None, as_of)
 
     return (
         reader.parquet(source or warehouse.bronze.path)

@@ -105,10 +105,8 @@ def test_bounds(spark):
 
 
 def test_mode_labels():
-    assert time.backfill_mode() == "ALL unprocessed bronze records"
-    assert time.backfill_mode("a") == "From a onwards"
-    assert time.backfill_mode(None, "b") == "Up to b"
-    assert time.backfill_mode("a", "b") == "From a to b"
+    assert [time.backfill_mode(*b) for b in ((), ("a",), (None, "b"), ("a", "b"))] == ["all", "from", "until", "between"]
+    assert time.utc_day("2026-01-02T23:30:00-02:00") == "2026-01-03"
 
 
 @pytest.mark.parametrize(

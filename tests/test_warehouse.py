@@ -9,7 +9,7 @@ from stratiform.operators.upsert import ACTION, INSERT, conditional_upsert
 from stratiform.plans.silver import silver_candidates
 from stratiform.plans.warehouse import Warehouse
 from stratiform.session import scratch_dir
-from stratiform.sources.tables import STAGING
+from stratiform.sources.tables import STAGING, Staged
 from stratiform.streaming.incremental import start_incremental
 
 D1, D2, D3 = "2026-01-01T06:00:00", "2026-01-02T06:00:00", "2026-01-03T06:00:00"
@@ -32,7 +32,7 @@ def metrics(house):
 def test_layers_end_to_end(spark, house):
     first = house.run(landed(spark, ("A", D1, doc(1.0)), ("B", D1, doc(5.0)), ("C", D1, None)), D1)
     assert first["bronze"] == {
-        "documents": 3, "stored": 2, "refused": 1, "days": ["2026-01-01"], "last_id": 0,
+        "documents": 3, "stored": 2, "refused": 1, "days": ["2026-01-01"],
     }
     assert (first["silver"]["inserted"], first["silver"]["updated"], first["gold"]["inserted"]) == (6, 0, 2)
     ids = {(r.location_name, r.observation_timestamp): r.id for r in house.silver.read().collect()}
@@ -90,38 +90,101 @@ def _staged_change(spark, house, place, at):
 
     candidates = silver_candidates(bronze(spark, (50, place, at, doc(50.0))))
     merged = conditional_upsert(house.silver.read(["2026-01-02"]), candidates, at)
-    house.silver.recover()
-    return house.silver.stage(merged, replace=True, new_rows=F.col(ACTION) == INSERT, drop=[ACTION])
+    return house.silver.stage(merged, F.col(ACTION) == INSERT, [ACTION])
 
 
-def test_change_lost_before_it_is_ready(spark, house):
+def test_change_lost_before_it_is_published(spark, house):
     house.run(landed(spark, ("A", D1, doc(1.0))), D1)
-    before = metrics(house)
-    _staged_change(spark, house, "A", D2)
-    house.silver.recover()
+    before, held = metrics(house), house.silver.version()
+    lost = _staged_change(spark, house, "A", D2)
     assert metrics(house) == before
-    assert house.silver._fs.children(f"{house.silver.path}/{STAGING}") == []
+    house.run(landed(spark, ("B", D2, doc(5.0))), D2)  # the next change cleans up
+    assert not house.silver._fs.exists(lost.path)
+    assert house.silver.version().number == held.number + 1
 
 
-def test_change_interrupted_while_it_moves(spark, house):
+def test_reader_sees_the_old_or_the_new_table(spark, house):
+    """A table read before a change keeps its rows through the change and is the new one after it."""
     house.run(landed(spark, ("A", D1, doc(1.0))), D1)
-    high = house.silver.high_water()
+    reading, before = house.silver.read(), metrics(house)
     staged = _staged_change(spark, house, "B", D2)
-    house.silver.mark_ready(staged)
-    # the old partition is gone and the new one not there yet
-    house.silver._fs.delete(f"{house.silver.path}/observation_date=2026-01-02")
-    house.silver.recover()
+    assert metrics(house) == before
+    house.silver.publish(staged)
+    assert reading.count() == 3
     assert [(r[0], r[2]) for r in metrics(house)] == [
         ("A", 1.0), ("A", 2.0), ("A", 3.0), ("B", 50.0), ("B", 51.0), ("B", 52.0),
     ]
-    assert house.silver.high_water() > high
-    assert not house.silver._fs.exists(staged.path)
+    with pytest.raises(OSError, match="cannot move"):  # a second writer that started from the same version
+        house.silver._fs.write_new(f"{house.silver.path}/_versions/{house.silver.version().number:012d}.json", "{}")
+
+
+def test_publishing_what_is_gone_fails(spark, house):
+    with pytest.raises(OSError):
+        house.bronze.publish(Staged(f"{house.bronze.path}/{STAGING}/gone", 7, {"rows": 3}))
+    with pytest.raises(OSError):
+        house.silver.publish(Staged(f"{house.silver.path}/change=gone", 7, {"rows": 3}))
+
+
+def test_two_writers_of_refusals_lose_none(spark, house):
+    """A silver run is about to log a refusal while a load logs its own."""
+    from stratiform.plans.bronze import error_rows
+    from stratiform.session import moment
+
+    house.load_landed(landed(spark, ("A", D1, payload(hours(0), temperature_2m=["none"]))), D1)
+    rows = house.bronze.read().selectExpr("'E' AS error_type", "'m' AS error_message", "record_id AS bronze_record_id")
+    staged = house.errors.silver.stage(error_rows(rows, moment(D1)))
+    house.load_landed(landed(spark, ("B", D1, None), ("C", D1, None)), D1)
+    house.errors.silver.publish(staged)
+    found = house.errors.read().collect()
+    assert sorted(e.error_type for e in found) == ["E", "ValueError", "ValueError"]
+    assert len({e.error_id for e in found}) == 3
+
+
+@pytest.mark.parametrize("lost", ["update_silver", "update_gold"])
+def test_next_run_finishes_what_a_crash_left(spark, house, monkeypatch, lost):
+    def dies(*_args, **_options):
+        raise RuntimeError("lost")
+
+    batch = landed(spark, ("A", D1, doc(1.0)), ("B", D1, doc(2.0, day="2026-01-05")))
+    with monkeypatch.context() as patched:
+        patched.setattr(house, lost, dies)
+        with pytest.raises(RuntimeError):
+            house.run(batch, D1)
+    again = house.run(batch, D2)
+    assert (again["bronze"]["stored"], again["bronze"]["refused"]) == (0, 2)
+    assert house.silver.read().count() == 6 and house.gold.read().count() == 2
+    assert not house._table(type(house.bronze), "_scratch", S.BRONZE, "retrieval_date", [])._fs.children(f"{house.root}/_scratch")
+
+
+def test_second_run_writes_no_file(spark, house):
+    house.run(landed(spark, ("A", D1, doc(1.0)), ("A", D2, doc(1.0, day="2026-01-09"))), D1)
+    files = [{r[0] for r in t.read().selectExpr("input_file_name()").collect()} for t in (house.silver, house.gold)]
+    result = house.update_silver(house.bronze.read(), D3)
+    assert result["days"] == [] and house.update_gold()["days"] == []
+    assert [{r[0] for r in t.read().selectExpr("input_file_name()").collect()} for t in (house.silver, house.gold)] == files
+
+
+def test_refusals_are_logged_once(spark, house):
+    bad = payload(hours(0, 1, 2), temperature_2m=[1.0, "none", "none"])
+    house.run(landed(spark, ("A", D1, bad)), D1)
+    for _ in range(2):
+        assert house.update_silver(house.bronze.read(), D2)["rejected"] == 2
+    assert house.errors.read().count() == 2
+
+
+def test_ids_stay_dense(spark, house):
+    house.load_landed(landed(spark, *[(f"p{i}", D1, doc(1.0)) for i in range(40)]).repartition(4), D1)
+    ids = [r[0] for r in house.bronze.read().select("record_id").collect()]
+    assert len(set(ids)) == 40 and max(ids) < 40 * (1 << 17)
 
 
 def test_insert_only_mode(spark, house):
     house.run(landed(spark, ("A", D1, doc(1.0))), D1)
     house.load_landed(landed(spark, ("A", D2, doc(9.0, n=4))), D2)
-    assert house.insert_silver(house.bronze.read(), D2)["inserted"] == 1
+    house.load_landed(landed(spark, ("C", D2, payload(hours(0), temperature_2m=["none"]))), D2)
+    found = house.insert_silver(house.bronze.read(), D2)
+    assert (found["inserted"], found["rejected"]) == (1, 1)
+    assert [e.error_type for e in house.errors.read().collect()] == ["DataException"]
     assert [r[2] for r in metrics(house)] == [1.0, 2.0, 3.0, 12.0]
     assert house.silver.read().select("id").distinct().count() == 4
 
@@ -131,7 +194,7 @@ def test_backfill(spark, house):
     house.load_landed(landed(spark, ("B", D2, doc(5.0, day="2026-01-03"))), D2)
     report = house.backfill_silver(end=D1, as_of=D3)
     row = report.head()
-    assert (row.status, row.rows_affected, row.total_records, row.mode) == ("completed", 3, 3, f"Up to {D1}")
+    assert (row.status, row.rows_affected, row.total_records, row.mode) == ("completed", 3, 3, "until")
     assert [(r.location_name, r.records) for r in house.verify_backfill(report).collect()] == [("A", 3)]
     house.backfill_silver()
     assert house.silver.read().count() == 6
@@ -150,7 +213,7 @@ def test_day_with_rejected_hours_only(spark, house):
 
 
 def test_unfinished_backfill_is_not_verified(spark, house):
-    with pytest.raises(ValueError, match="did not complete"):
+    with pytest.raises(ValueError, match="has not completed"):
         house.verify_backfill(spark.sql("SELECT 'failed' AS status"))
 
 
@@ -197,15 +260,31 @@ def test_any_split_into_batches_gives_the_same_silver(spark):
     assert all(r == results[0] for r in results)
 
 
-def test_shared_folder_is_required_on_a_cluster(spark):
-    class Conf:
-        @staticmethod
-        def get(key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+def test_old_files_are_processed_too(spark, house):
+    """The stream takes in files whose times lie far behind the newest one."""
+    import os
+    import time
+
+    arriving = house.root.removeprefix("file://") + "/arriving"
+    house.load_landed(landed(spark, ("A", D1, doc(1.0)), ("B", D1, doc(2.0))), D1)
+
+    def deliver(place):
+        house.bronze.read().filter(F.col("location_name") == place).drop("retrieval_date").write.mode("append").parquet(arriving)
+
+    def follow():
+        start_incremental(house, f"{house.root}/checkpoint", D3, source=arriving).awaitTermination()
+
+    deliver("A")
+    follow()
+    known = set(os.listdir(arriving))
+    deliver("B")
+    long_ago = time.time() - 30 * 86_400
+    for name in set(os.listdir(arriving)) - known:
+        os.utime(f"{arriving}/{name}", (long_ago, long_ago))
+    follow()
+    assert {r[0] for r in metrics(house)} == {"A", "B"}
 
-    class Session:
-        conf = Conf
 
-    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
-        scratch_dir(Session, "x")
+def test_scratch_is_shared(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
