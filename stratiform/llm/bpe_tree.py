@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import islice
 
 import numpy as np
@@ -49,6 +50,8 @@ class TreeBpe:
 
     def merged(self, data: bytes) -> list[int]:
         """Merge the neighbours of lowest rank, leftmost first, until none merges."""
+        if len(data) > 4 * LEAF:
+            return self._merged_long(data)
         ranks = self.ranks
         parts = [data[i : i + 1] for i in range(len(data))]
         joins = [ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
@@ -65,6 +68,27 @@ class TreeBpe:
                 joins[i - 1] = ranks.get(parts[i - 1] + parts[i])
         return [ranks[p] for p in parts]
 
+    def _merged_long(self, data: bytes) -> list[int]:
+        """The same with a heap of neighbours, for windows that had to grow."""
+        ranks, n = self.ranks, len(data)
+        end = list(range(1, n + 1))  # of the part that begins here; 0 for places inside a part
+        before = list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := ranks.get(data[i : i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = end[i]
+            if not j or j >= n or ranks.get(data[i : end[j]]) != rank:
+                continue  # one of the two has merged with another since
+            end[i], end[j] = end[j], 0
+            if end[i] < n:
+                before[end[i]] = i
+                if (r := ranks.get(data[i : end[end[i]]])) is not None:
+                    heappush(heap, (r, i))
+            if i and (r := ranks.get(data[before[i] : end[i]])) is not None:
+                heappush(heap, (r, before[i]))
+        return [ranks[data[i : end[i]]] for i in range(n) if end[i]]
+
     def stable(self, a: int, b: int) -> bool:
         found = self.pairs.get((a, b))
         if found is None:
@@ -81,7 +105,7 @@ class TreeBpe:
             return left + right
         i = j = 1
         while True:
-            window = self.tree(b"".join(self.spelled[t] for t in (*left[-i:], *right[:j])), grown=(i, j) != (1, 1))
+            window = self.merged(b"".join(self.spelled[t] for t in (*left[-i:], *right[:j])))
             calm_left = i >= len(left) or self.stable(left[-i - 1], window[0])
             calm_right = j >= len(right) or self.stable(window[-1], right[j])
             if calm_left and calm_right:
@@ -89,9 +113,9 @@ class TreeBpe:
             i = i if calm_left else min(2 * i, len(left))
             j = j if calm_right else min(2 * j, len(right))
 
-    def tree(self, data: bytes, grown: bool = True) -> list[int]:
-        """Encode the halves and join them. A window of one token on each side is merged directly."""
-        if len(data) <= LEAF or not grown:
+    def tree(self, data: bytes) -> list[int]:
+        """Encode the halves and join them."""
+        if len(data) <= LEAF:
             return self.merged(data)
         half = len(data) // 2
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
