@@ -162,23 +162,25 @@ def _holds(x: np.ndarray, rule: list[Condition]) -> np.ndarray:
     return out
 
 
-def _grow(x: np.ndarray, bad: np.ndarray, cuts: list[np.ndarray]) -> list[Condition]:
-    """Add the condition with the highest information gain until no good document is covered."""
+def _grow(x: np.ndarray, bad: np.ndarray, cuts: list[tuple[np.ndarray, np.ndarray]]) -> list[Condition]:
+    """Add the condition with the highest information gain, among equals the one with the widest gap
+    around its cut, until no good document is covered."""
     rule: list[Condition] = []
     inside = np.ones(len(x), bool)
     while len(rule) < MAX_CONDITIONS and (~bad[inside]).any() and bad[inside].any():
         p0, n0 = bad[inside].sum(), (~bad[inside]).sum()
-        best: tuple[float, Condition | None] = (1e-9, None)
-        for column, places in enumerate(cuts):
+        best: tuple[tuple[float, float], Condition | None] = ((1e-9, 0.0), None)
+        for column, (places, gaps) in enumerate(cuts):
             at = np.searchsorted(places, x[inside, column], "right")  # cuts at or below the value
             p_from = np.bincount(at, bad[inside], len(places) + 1)[::-1].cumsum()[::-1][1:]
             n_from = np.bincount(at, ~bad[inside], len(places) + 1)[::-1].cumsum()[::-1][1:]
             for above, p, n in ((True, p_from, n_from), (False, p0 - p_from, n0 - n_from)):
                 with np.errstate(divide="ignore", invalid="ignore"):
                     gain = np.where(p > 0, p * (np.log2(p / (p + n)) - np.log2(p0 / (p0 + n0))), 0.0)
-                k = int(np.argmax(gain)) if len(gain) else 0
-                if len(gain) and gain[k] > best[0]:
-                    best = (float(gain[k]), (column, above, float(places[k])))
+                if len(gain):
+                    k = int(np.lexsort((gaps, gain.round(9)))[-1])
+                    if (worth := (float(gain[k].round(9)), float(gaps[k]))) > best[0]:
+                        best = (worth, (column, above, float(places[k])))
         if best[1] is None:
             break
         rule.append(best[1])
@@ -204,7 +206,7 @@ def learn(x: np.ndarray, bad: np.ndarray, prune_row: np.ndarray) -> list[list[Co
         values = np.unique(np.quantile(column, np.linspace(0, 1, CUTS + 1), method="lower")) if len(column) else column
         # between two values, so that no cut stands on an observed one
         values = np.unique(np.concatenate([values, np.unique(column)[: CUTS]]))
-        cuts.append((values[1:] + values[:-1]) / 2)
+        cuts.append(((values[1:] + values[:-1]) / 2, np.diff(values) / (column.std() + 1e-12)))
     left = np.ones(len(x), bool)
     while len(rules) < MAX_RULES:
         grow, check = left & ~prune_row, left & prune_row
