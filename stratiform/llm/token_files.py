@@ -226,11 +226,11 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end: int
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of all documents in the files of a folder."""
-    ranks = spark.read.format("binaryFile").load(f"{folder}/ranks.bin").select("content").first()["content"]
+    ranks = spark.read.format("binaryFile").load(f"{folder}/ranks.bin").select("content").first()
     schema = "number long, doc_id long, place long, n_tokens long, ids_crc32 long"
-    if not ranks:
+    if ranks is None or not ranks.content:
         return spark.createDataFrame([], schema).select("doc_id", F.col("place").alias("start"), "n_tokens", "ids_crc32")
-    id_of = spark.sparkContext.broadcast(np.frombuffer(ranks, "<u4"))
+    id_of = spark.sparkContext.broadcast(np.frombuffer(ranks.content, "<u4"))
     whole = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.tok").load(folder).select("path", "content")
     rows = stored(in_arrow(whole, _reader(id_of), schema), "read")
     # one row for each file
