@@ -51,6 +51,7 @@ _ENDS = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, {"html"}),
 }
+LANDMARKS = frozenset("nav header footer aside form main article section dialog fieldset search".split())
 _KEEPS_P = frozenset("html body table td th caption button object".split())
 
 _TOKEN = re.compile(
@@ -181,6 +182,13 @@ class Pages:
         return out
 
 
+def _kind(key: tuple[str, str] | None) -> int:
+    """Which potentials couple a node to its parent: a plain element's, a text's or a named element's."""
+    if key is None:
+        return 1
+    return 2 if key[1] or key[0] in LANDMARKS else 0
+
+
 def _element_features(key: tuple[str, str]) -> list[str]:
     tag, words = key
     return [f"tag {tag}", *sorted({f"word {w.lower()}" for w in _WORD.findall(words)})]
@@ -199,14 +207,14 @@ class Extractor:
         of_block = pages.block_features()
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         total = np.zeros((2, 2))  # element or text, state
-        moves = np.full((2, 2, 2), 1.0)  # child is a text, state of the parent, of the child
+        moves = np.full((3, 2, 2), 1.0)  # kind of the child, state of the parent, of the child
         for k, key in enumerate(pages.key):
             leaf = key is None
             total[int(leaf), state[k]] += 1
             for feature in of_block[k][0] if leaf else _element_features(key):
                 seen[state[k]][feature] += 1
             if pages.parent[k] >= 0:
-                moves[int(leaf), state[pages.parent[k]], state[k]] += 1
+                moves[_kind(key), state[pages.parent[k]], state[k]] += 1
         self.log_odds = {}
         for feature in seen[0] | seen[1]:
             kind = int(feature.split(" ")[0] in ("length", "links", "ends"))
@@ -229,8 +237,7 @@ class Extractor:
         for leaf, (features, share) in pages.block_features().items():
             own[leaf] = share * sum(self.log_odds.get(f, 0.0) for f in features)
         parent, depth = np.array(pages.parent, np.int64), np.array(pages.depth, np.int64)
-        leaf = np.array([key is None for key in pages.key], np.int64)
-        move = self.moves[leaf]
+        move = self.moves[[_kind(key) for key in pages.key]]
         order = np.argsort(depth, kind="stable")
         levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
 

@@ -11,7 +11,7 @@ from random import Random
 
 #: Elements that hold articles; the empty one leaves the blocks in the page itself.
 HOLDERS = [
-    "article", "main", "div class=content", "div id=main-content", "section class=post", "div class=entry-content",
+    "article", "article", "article", "article", "main", "main", "div class=content", "div id=main-content", "section class=post", "div class=entry-content",
     "div class=article-body", "article class=post", "div role=main", "div itemprop=articleBody", "div class=story",
     "section id=article", "div class=text", "div class=page-body", "div", "article class=entry", "",
 ]
@@ -32,7 +32,7 @@ BOXES = [
     "div role=contentinfo", "div role=complementary", "section class=cookies", "div class=teaser", "p class=ad", "div role=alert", "dialog",
 ]
 COMMENTS = ["section class=comments", "div id=comments", "div class=comment-list", "div class=comments-area", "div class=discussion", "div class=replies", "div class=responses"]
-REPLIES = ["div class=comment", "article class=comment", "li class=comment", "div class=reply", "p", "div class=comment-body"]
+REPLIES = ["div class=comment", "li class=comment", "div class=reply", "p", "div class=comment-body", "div class=comment", "div class=reply"]
 FORMS = ["form", "form class=search", "div class=search", "fieldset", "form id=login", "form class=newsletter"]
 
 _WORDS = "the of a river stone market and under early light people found several years between old water small house when city north".split()
@@ -86,7 +86,8 @@ class _Writer:
         return _tag(self.r.choice(FORMS), f"<label>{self.words(1, 4)}</label><input><button>{self.words(1, 2)}</button>{self.words(1, 8)}", "no")
 
     def comments(self) -> str:
-        replies = "".join(_tag(self.r.choice(REPLIES), f"<p>{self.words(1, 80)}</p>") for _ in range(self.r.randint(1, 5)))
+        kind = "article class=comment" if self.r.random() < 0.02 else self.r.choice(REPLIES)
+        replies = "".join(_tag(kind, f"<p>{self.words(1, 80)}</p>") for _ in range(self.r.randint(1, 5)))
         return _tag(self.r.choice(COMMENTS), f"<h3>{self.words(1, 3)}</h3>" + replies, "no")
 
     def block(self) -> str:
@@ -112,7 +113,7 @@ class _Writer:
         if self.r.random() < 0.15:
             title = f"<header>{title}<p>{self.words(2, 10)}</p></header>"
         blocks = [title] * (self.r.random() < 0.85) + [self.block() for _ in range(self.r.randint(1, 12))]
-        for make, share in ((self.box, 0.25), (self.listing, 0.2), (self.comments, 0.06), (self.form, 0.05)):
+        for make, share in ((self.box, 0.5), (self.box, 0.3), (self.listing, 0.35), (self.comments, 0.2), (self.form, 0.3)):
             if self.r.random() < share:
                 blocks.insert(self.r.randint(0, len(blocks)), make())
         holder = self.r.choice(HOLDERS)
