@@ -63,7 +63,7 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
     kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     _, offsets, data = column.buffers()
     if offsets is None or not len(column):

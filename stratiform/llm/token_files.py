@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stratiform.llm.files import write_file
-from stratiform.llm.tables import beside, in_arrow, stored, table
-from stratiform.llm.texts import slices
+from stratiform.llm.tables import in_arrow, stored, table
+from stratiform.llm.texts import flat, slices
 from stratiform.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -43,7 +43,7 @@ MAGIC = b"TOK1"
 #: Ids in a file, about; a document is never cut.
 FILE_IDS = 4_000_000
 #: Words remembered by a Python worker: some 200 bytes each.
-REMEMBERED = 1_200_000
+REMEMBERED = 1_600_000
 HEADER = "<4sQQQQ"
 
 #: For each control byte the lengths of its four ranks.
@@ -70,8 +70,8 @@ def unpacked(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 class WordCoder:
-    """Ids by the tokenizers library. It drops white space and never merges across it, so words are
-    encoded by themselves and those seen before are looked up."""
+    """Ids by the tokenizers library, for tokenizers that drop white space and never merge across it:
+    words are encoded by themselves, and those seen before are looked up."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -87,12 +87,15 @@ class WordCoder:
         known = self.known
         cut = [text.replace("\n", " ").split(" ") for text in texts]
         found = [list(map(known.get, words)) for words in cut]
-        gaps = [(k, i) for k, line in enumerate(found) if None in line for i, x in enumerate(line) if x is None]
-        new = list({cut[k][i] for k, i in gaps})
-        for word, made in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+        gaps = [k for k, line in enumerate(found) if None in line]
+        new: set[str] = set()
+        for k in gaps:
+            new.update([word for word, ids in zip(cut[k], found[k], strict=True) if ids is None])
+        words = list(new)
+        for word, made in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
             known[word] = array(self.kind, made.ids).tobytes()
-        for k, i in gaps:
-            found[k][i] = known[cut[k][i]]
+        for k in gaps:
+            found[k] = map(known.__getitem__, cut[k])
         return [b"".join(line) for line in found]
 
 
@@ -103,34 +106,35 @@ def coder(path: str) -> WordCoder:
 
 
 def _ids(path: str, end: int):
-    def make():
-        encode = coder(path).encode
-        last = array(coder(path).kind, [end]).tobytes()
-
-        def compute(part: pa.RecordBatch) -> list:
-            found = [x + last for x in encode([t or "" for t in part.column("text").to_pylist()])]
-            return [pa.array(found, pa.binary())]
-
-        return compute
-
-    return make
-
-
-def _frequencies(kind: str):
-    """How often each id occurs in a task."""
+    """The ids of each document, and one more row for each task: how often each id occurs in it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = coder(path)
+        last = array(code.kind, [end]).tobytes()
         total = np.zeros(0, np.int64)
-        for part in slices(batches, "__ids"):
-            found = np.bincount(np.frombuffer(b"".join(part.column("__ids").to_pylist()), kind), minlength=len(total))
+        names = ["doc_id", "__ids", "__counts"]
+        for part in slices(batches, "text"):
+            ids = pa.array([x + last for x in code.encode([t or "" for t in part.column("text").to_pylist()])], pa.binary())
+            found = np.bincount(flat(ids)[0].view(code.kind), minlength=len(total))
             found[: len(total)] += total
             total = found
-        used = np.flatnonzero(total)
-        yield pa.record_batch([used, total[used]], names=["id", "n"])
+            yield pa.record_batch([part.column("doc_id"), ids, pa.nulls(len(ids), pa.binary())], names=names)
+        if len(total):
+            none = pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())
+            yield pa.record_batch([*none, pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
 
     return run
 
 
+def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, n) of each task's counts."""
+    for batch in batches:
+        for counts in batch.column("__counts").to_pylist():
+            n = np.frombuffer(counts, "<i8")
+            used = np.flatnonzero(n)
+            yield pa.record_batch([used, n[used]], names=["id", "n"])
+
+
 def _writer(folder: str, kind: str, rank_of):
     """One file of the rows of each partition, which are in order."""
 
@@ -142,10 +146,9 @@ def _writer(folder: str, kind: str, rank_of):
         ranks = rank_of.value
         for batch in batches:
             doc_ids += batch.column("doc_id").to_pylist()
-            for x in batch.column("__ids").to_pylist():
-                found = ranks[np.frombuffer(x, kind)]
-                sizes.append(len(found))
-                ids.append(found)
+            data, bounds = flat(batch.column("__ids"))
+            ids.append(ranks[data.view(kind)])
+            sizes += (np.diff(bounds) // np.dtype(kind).itemsize).tolist()
         if not doc_ids:
             return
         control, data = packed(np.concatenate(ids))
@@ -182,7 +185,8 @@ def _reader(id_of):
                 ranks = unpacked(raw[at : at + control], raw[at + control : at + control + data], n)
                 ids = ids_by_rank[ranks].astype("<u4")
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
-                crc = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(bounds, bounds[1:], strict=False)]
+                held, ends = memoryview(ids.view(np.uint8)), (4 * bounds).tolist()
+                crc = [zlib.crc32(held[a:b]) for a, b in zip(ends, ends[1:], strict=False)]
                 yield pa.record_batch(
                     [
                         pa.array([int(name.rpartition("-")[2].removesuffix(".tok"))] * documents, pa.int64()),
@@ -203,9 +207,10 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end: int
     path = path or public_tokenizers.path(TOKENIZER)
     kind = coder(path).kind
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    encoded = stored(beside(docs, _ids(path, end), {"__ids": "binary"}, ["doc_id"]), "tokens")
+    written = stored(in_arrow(docs, _ids(path, end), "doc_id long, __ids binary, __counts binary"), "tokens")
+    encoded = written.filter("__ids is not null").drop("__counts")
     # as many rows as the vocabulary has ids, at most
-    found = in_arrow(encoded.select("__ids"), _frequencies(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    found = in_arrow(written.select("__counts").filter("__counts is not null"), _frequencies, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
     ids, n = (found.column(c).to_numpy().astype(np.int64) for c in ("id", "n"))
     ids = ids[np.lexsort((ids, -n))].astype("<u4")
     write_file(f"{folder}/ranks.bin", ids.tobytes())
@@ -220,8 +225,8 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end: int
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "__tie")
         .drop("__tie")
     )
-    written = in_arrow(ordered, _writer(folder, kind, spark.sparkContext.broadcast(rank_of)), "number long, documents long")
-    written.agg(F.sum("documents")).collect()
+    files = in_arrow(ordered, _writer(folder, kind, spark.sparkContext.broadcast(rank_of)), "number long, documents long")
+    files.agg(F.sum("documents")).collect()
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
