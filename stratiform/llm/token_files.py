@@ -225,8 +225,8 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end: int
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "__tie")
         .drop("__tie")
     )
-    files = in_arrow(ordered, _writer(folder, kind, spark.sparkContext.broadcast(rank_of)), "number long, documents long")
-    files.agg(F.sum("documents")).collect()
+    made = in_arrow(ordered, _writer(folder, kind, spark.sparkContext.broadcast(rank_of)), "number long, documents long")
+    made.agg(F.sum("documents")).collect()
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
