@@ -65,17 +65,19 @@ def scan(docs: DataFrame, registry: DataFrame) -> DataFrame:
     the licences of single lines, in order, with commas between."""
     small = registry.limit(BROADCAST + 1).count() <= BROADCAST
     held = F.broadcast(registry) if small else registry
-    rows = docs.select("doc_id", F.expr(_digest("text")).alias("text_digest"), "text")
-    lines = rows.select("doc_id", "text_digest", F.explode(F.split("text", "\n")).alias("line"))
+    # a row is known by its doc_id and the hash of its text; digests of lines are made as one array, so
+    # that no filter on them makes them again
+    row = F.xxhash64("text").alias("row")
+    lines = docs.select("doc_id", row, F.expr(f"transform(split(text, '\\n'), line -> {_digest('line')})").alias("lines"))
     found = (
-        lines.filter("text_digest is not null")
-        .select("doc_id", "text_digest", F.expr(_digest("line")).alias("digest"))
+        lines.select("doc_id", "row", F.explode("lines").alias("digest"))
         .join(held, "digest")
-        .groupBy("doc_id", "text_digest")
+        .groupBy("doc_id", "row")
         .agg(F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("notices"))
     )
-    whole = rows.drop("text").join(held.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
-    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"n.{c}")) for c in ("doc_id", "text_digest")]
+    whole = docs.select("doc_id", row, F.expr(_digest("text")).alias("text_digest"))
+    whole = whole.join(held.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
+    same = [F.col(f"w.{c}").eqNullSafe(F.col(f"n.{c}")) for c in ("doc_id", "row")]
     joined = whole.alias("w").join(found.alias("n"), same, "left")
     return joined.select("w.doc_id", "w.text_digest", "w.licence", F.coalesce("n.notices", F.lit("")).alias("notices"))
 
