@@ -19,6 +19,7 @@ rows are kept, in the order of their texts' hashes. An empty table gives no file
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from array import array
@@ -101,7 +102,8 @@ class WordCoder:
 
 @lru_cache(maxsize=2)
 def coder(path: str) -> WordCoder:
-    """Read once by each Python worker."""
+    """Read once by each Python worker. Spark gives a task one core, so the library's threads stay off."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordCoder(path)
 
 
