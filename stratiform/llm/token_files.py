@@ -58,16 +58,26 @@ def packed(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     codes[: len(ranks)] = length - 1
     control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1).astype(np.uint8)
-    used = np.arange(4) < length[:, None]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    place = np.cumsum(length) - length
+    data = np.empty(int(length.sum()), np.uint8)
+    data[place] = ranks & 0xFF
+    more = np.arange(len(ranks))
+    for k in range(1, 4):  # fewer and fewer are so long
+        more = more[length[more] > k]
+        data[place[more] + k] = ranks[more] >> (8 * k) & 0xFF
+    return control.tobytes(), data.tobytes()
 
 
 def unpacked(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ranks back, ``n`` of them."""
     length = _LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    out = np.zeros((n, 4), np.uint8)
-    out[np.arange(4) < length[:, None]] = np.frombuffer(data, np.uint8)
-    return out.view("<u4").ravel()
+    place, data = np.cumsum(length) - length, np.frombuffer(data, np.uint8)
+    out = data[place].astype("<u4")
+    more = np.arange(n)
+    for k in range(1, 4):
+        more = more[length[more] > k]
+        out[more] |= data[place[more] + k].astype("<u4") << np.uint32(8 * k)
+    return out
 
 
 class WordCoder:
