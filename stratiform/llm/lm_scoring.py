@@ -33,8 +33,8 @@ from stratiform.llm.texts import LOWER, SPACE, Lookup, flat, slices, sums, words
 
 DEPTH = 4
 FOLDS, HELD_OUT = 7, 2
-CHUNK_BYTES = 16 << 20
-PACK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
+PACK_BYTES = 12 << 20
 #: Stands before a text and ends it; no byte of UTF-8.
 MARK = 0xFF
 
@@ -89,6 +89,7 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if size > PACK_BYTES:
             yield flush()
             held, size = {}, 0
+            pa.default_memory_pool().release_unused()
     if held:
         yield flush()
 
@@ -109,6 +110,7 @@ def _asked(packs: pa.Table) -> pa.Table:
         weights.append(n * (found & np.uint64(1)).astype(np.int64))
         word, first = tokens(part.column("text"))
         spelled.append(pa.table({"word": word, "n": np.repeat(train, np.diff(first))}).group_by("word").aggregate([("n", "sum")]))
+    pa.default_memory_pool().release_unused()  # a worker serves many chunks
     gram, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *grams]), return_inverse=True)
     n = np.bincount(place, np.concatenate([np.zeros(0), *weights]), len(gram)).astype(np.int64)
     found = pa.concat_tables(spelled).rename_columns(["word", "n"]).group_by("word").aggregate([("n", "sum")])
@@ -188,6 +190,8 @@ def _scorer(total: int, different: int, train_docs: int):
             base = sums(np.log10(c + 1.0), first) + np.log10(train_docs + 1.0) - n * np.log10(total + different + 1.0)
             columns = [part.column("doc_id"), part.column("held_out"), n, sums((c > 0).view(np.int8), first) + (train_docs > 0), base, score]
             out.append(pa.record_batch(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]))
+        answers = of_words = of_grams = None
+        pa.default_memory_pool().release_unused()
         return pa.Table.from_batches(out)
 
     return score
