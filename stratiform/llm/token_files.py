@@ -98,15 +98,17 @@ class WordCoder:
         known = self.known
         cut = [text.replace("\n", " ").split(" ") for text in texts]
         found = [list(map(known.get, words)) for words in cut]
-        gaps = [k for k, line in enumerate(found) if None in line]
-        new: set[str] = set()
-        for k in gaps:
-            new.update([word for word, ids in zip(cut[k], found[k], strict=True) if ids is None])
-        words = list(new)
-        for word, made in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
+        gaps, new = [], set()
+        for words, line in zip(cut, found, strict=True):
+            if places := [i for i, ids in enumerate(line) if ids is None]:
+                gaps.append((words, line, places))
+                new.update([words[i] for i in places])
+        missing = list(new)
+        for word, made in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
             known[word] = array(self.kind, made.ids).tobytes()
-        for k in gaps:
-            found[k] = map(known.__getitem__, cut[k])
+        for words, line, places in gaps:
+            for i in places:
+                line[i] = known[words[i]]
         return [b"".join(line) for line in found]
 
 
