@@ -34,7 +34,7 @@ from stratiform.llm.texts import LOWER, SPACE, Lookup, flat, slices, sums, words
 DEPTH = 4
 FOLDS, HELD_OUT = 7, 2
 CHUNK_BYTES = 12 << 20
-PACK_BYTES = 12 << 20
+PACK_BYTES = 24 << 20
 #: Stands before a text and ends it; no byte of UTF-8.
 MARK = 0xFF
 
