@@ -1,7 +1,10 @@
 """License scans by canonical digest lookup.
 
-A text is reduced to a canonical form: lower case, copyright lines left out, equivalent spellings made
-one, everything between words one space. The digest of the whole form is looked up among the digests
+A text is reduced to a canonical form: lower case, without a title that only names the licence and
+without copyright statements, equivalent spellings made one, everything between words one space. So
+the form doesn't depend on how lines are wrapped. A statement begins a line and has (c), a sign or a
+year; it ends with the line, with its sentence (not at an initial or 'Inc.'), or where a licence begins:
+words between are taken for the holder's name. The digest of the whole form is looked up among the digests
 of known licences by a hash join; so are the digests of a document's single lines, where notices
 stand. A text with any other word in it is another text: nothing is matched in part.
 
@@ -22,7 +25,27 @@ from stratiform.llm.tables import table
 
 BROADCAST = 100_000
 
-#: Lines that state a copyright, in lower case.
+#: How a licence's own words begin, in lower case, and how a copyright statement does.
+_OPENING = (
+    r"permission\s+is\s+(?:hereby\s+)?granted|permission\s+to\s+use|redistribution\s+and\s+use|this\s+software\s+is\s+provided"
+    r"|everyone\s+is\s+permitted\s+to\s+copy|licensed\s+under\s+the|this\s+(?:program|library)\s+is\s+free\s+software"
+)
+_SIGNED = r"(?:(?:copyright\s*(?:\(c\)|©|[12][0-9]{3})|\(c\)\s*(?:copyright|[12][0-9]{3})|©)(?!\s*(?:year\b|_)))"
+#: Statements left to fill in, and the addresses of the Free Software Foundation in its own.
+_OPEN = (
+    r"copyright\s*(?:\(c\)\s*)?(?:19yy|[<\[{](?:year|yyyy)[^>\]}]{0,20}[>\]}])\s*[<\[{][^>\]}]{1,60}[>\]}]"
+    r"|(?:51\s+franklin\s+st|59\s+temple\s+p|675\s+mass\s+ave)[^<>]{0,80}?usa\b|<https?://(?:www\.)?fsf\.org/?>"
+)
+_TITLE = (
+    r"\A[^\p{L}\p{N}]*(?:the\s+)?(?:mit|expat|isc|zlib|(?:new|modified|simplified|[23]-clause)\s+bsd|bsd(?:\s+[23][\s-]clause)?)"
+    r'(?:\s+"[a-z]+"(?:\s+or\s+"[a-z]+")?)?\s+licen[cs]e(?:\s*\((?:mit|expat|isc|zlib|bsd)(?:\s+licen[cs]e)?\))?'
+    rf"(?=[^\p{{L}}\p{{N}}]*(?:{_SIGNED}|{_OPENING}|all\s+rights\s+reserved))"
+)
+_STATEMENT = (
+    rf"(?m)^[^\p{{L}}\p{{N}}\n]*(?:(?:{_SIGNED}[^\n]*?(?:(?<!\b(?:inc|ltd|llc|corp|co|jr|sr|dr|\p{{L}}))\.(?=\s)|(?={_OPENING})|$)"
+    r"|all\s+rights\s+reserved)[^\p{L}\p{N}\n]*)+"
+)
+#: Lines that state a copyright, as the SQL takes them: any that begin with the word.
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
 #: Spellings that mean the same, applied in order to the lower-case text.
 SPELLINGS = [
@@ -38,9 +61,19 @@ SPELLINGS = [
 ]
 
 
+def form_sql(text: str) -> str:
+    """The canonical form as Spark's SQL."""
+    out = f"lower({text})"
+    spellings = [(pattern.replace(" ", r"\s+"), into) for pattern, into in SPELLINGS]
+    for pattern, into in [(_OPEN, " "), (_TITLE, " "), (_STATEMENT, " "), *spellings, (r"[^\p{L}\p{N}]+", " ")]:
+        quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
+        out = f"regexp_replace({out}, '{quoted}', '{into}')"
+    return f"trim({out})"
+
+
 def canonical_sql(text: str, group: str = "$", every: str = "") -> str:
-    """The canonical form as SQL; ``group`` and ``every`` are how an engine writes a group in a
-    replacement and that all matches are meant."""
+    """The form of the SQL, where every line that begins with 'copyright' goes; ``group`` and ``every``
+    are how an engine writes a group in a replacement and that all matches are meant."""
     out = f"lower({text})"
     for pattern, into in [(COPYRIGHT, " "), *SPELLINGS, (r"[^\p{L}\p{N}]+", " ")]:
         quoted = pattern.replace("'", "''")
@@ -49,8 +82,7 @@ def canonical_sql(text: str, group: str = "$", every: str = "") -> str:
 
 
 def _digest(text: str) -> str:
-    form = canonical_sql(text).replace("\\", "\\\\")
-    return f"sha2(nullif({form}, ''), 256)"
+    return f"sha2(nullif({form_sql(text)}, ''), 256)"
 
 
 def licences(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 from stratiform.llm.license_scan import licences, scan
 from stratiform.llm.license_texts import TEXTS, known
 
@@ -36,3 +38,39 @@ def test_every_known_text_is_found(spark, make_docs):
     rows = list(enumerate(text for _, text in known()))
     found = {x["doc_id"]: x["licence"] for x in scan(make_docs(rows), licences(spark)).collect()}
     assert [found[k] for k, _ in rows] == [licence for licence, _ in known()]
+
+
+def wrappings(text: str) -> list[str]:
+    """As stored, in 80 columns, in 60 columns, and on one line."""
+    paragraphs = [" ".join(p.split()) for p in text.split("\n\n")]
+    return [text, *("\n\n".join(textwrap.fill(p, n) for p in paragraphs) for n in (80, 60)), " ".join(paragraphs)]
+
+
+def test_wrapping_title_and_copyright_do_not_matter(spark, make_docs):
+    heads = ["", "Copyright (c) 2020 J. Smith, Foo Inc.\n\n", "Copyright 2019-2021 Some Body\nCopyright (c) Other. All rights reserved.\n\n"]
+    titles = {"MIT": "The MIT License (MIT)\n\n", "ISC": "ISC License\n\n", "BSD-3-Clause": 'BSD 3-Clause "New" or "Revised" License\n\n'}
+    rows, expected = [], []
+    for name, title in titles.items():
+        for head in heads:
+            for text in wrappings(TEXTS[name]):
+                for whole in (head + text, title + head + text, " ".join((title + head + text).split())):
+                    rows.append((len(rows), whole))
+                    expected.append(name)
+    found = {x["doc_id"]: x["licence"] for x in scan(make_docs(rows), licences(spark)).collect()}
+    assert [found[k] for k, _ in rows] == expected
+
+
+def test_only_copyright_statements_go(spark, make_docs):
+    mit = TEXTS["MIT"]
+    rows = [
+        (1, mit.replace("COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR\n", "")),
+        (2, "Copyright (c) 2020 Smith. Another condition holds. " + " ".join(mit.split())),
+        (3, "Copyright law is old.\nThe rest."),
+        (4, "The rest."),
+        (5, "Copyright (c) 2020 Smith. One story."),
+        (6, "Copyright (c) 2020 Smith. Another story."),
+        (7, "ISC License\nThe rest."),
+    ]
+    found = {x["doc_id"]: x for x in scan(make_docs(rows), licences(spark)).collect()}
+    assert {k: x["licence"] for k, x in found.items()} == dict.fromkeys(range(1, 8))
+    assert len({x["text_digest"] for x in found.values()} - {None}) == 7
