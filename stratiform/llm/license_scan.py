@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.license_texts import known
+from stratiform.llm.license_texts import every, known
 from stratiform.llm.tables import table
 
 BROADCAST = 100_000
@@ -30,20 +30,21 @@ _OPENING = (
     r"permission\s+is\s+(?:hereby\s+)?granted|permission\s+to\s+use|redistribution\s+and\s+use|this\s+software\s+is\s+provided"
     r"|everyone\s+is\s+permitted\s+to\s+copy|licensed\s+under\s+the|this\s+(?:program|library)\s+is\s+free\s+software"
 )
-_SIGNED = r"(?:(?:copyright\s*(?:\(c\)|©|[12][0-9]{3})|\(c\)\s*(?:copyright|[12][0-9]{3})|©)(?!\s*(?:year\b|_)))"
-#: Statements left to fill in, and the addresses of the Free Software Foundation in its own.
+_SIGNED = r"(?:(?:copyright\s*(?:\(c\)|©|[12][0-9]{3})|\(c\)\s*(?:copyright|[12][0-9]{3})|©)(?!\s*(?:year\b|yyyy\b|_)))"
+#: Statements known to the end: those left to fill in, and the Free Software Foundation's with its address.
 _OPEN = (
     r"copyright\s*(?:\(c\)\s*)?(?:19yy|[<\[{](?:year|yyyy)[^>\]}]{0,20}[>\]}])\s*[<\[{][^>\]}]{1,60}[>\]}]"
+    r"|copyright\s*(?:\(c\)|©)?\s*[0-9][0-9,\s]{3,60}free\s+software\s+foundation,\s+inc\.?,?|all\s+rights\s+reserved"
     r"|(?:51\s+franklin\s+st|59\s+temple\s+p|675\s+mass\s+ave)[^<>]{0,80}?usa\b|<https?://(?:www\.)?fsf\.org/?>"
 )
 _TITLE = (
     r"\A[^\p{L}\p{N}]*(?:the\s+)?(?:mit|expat|isc|zlib|(?:new|modified|simplified|[23]-clause)\s+bsd|bsd(?:\s+[23][\s-]clause)?)"
     r'(?:\s+"[a-z]+"(?:\s+or\s+"[a-z]+")?)?\s+licen[cs]e(?:\s*\((?:mit|expat|isc|zlib|bsd)(?:\s+licen[cs]e)?\))?'
-    rf"(?=[^\p{{L}}\p{{N}}]*(?:{_SIGNED}|{_OPENING}|all\s+rights\s+reserved))"
+    rf"(?=[^\p{{L}}\p{{N}}]*(?:{_SIGNED}|{_OPENING}))"
 )
 _STATEMENT = (
-    rf"(?m)^[^\p{{L}}\p{{N}}\n]*(?:(?:{_SIGNED}[^\n]*?(?:(?<!\b(?:inc|ltd|llc|corp|co|jr|sr|dr|\p{{L}}))\.(?=\s)|(?={_OPENING})|$)"
-    r"|all\s+rights\s+reserved)[^\p{L}\p{N}\n]*)+"
+    rf"(?m)^[^\p{{L}}\p{{N}}\n]*(?:{_SIGNED}[^\n]*?(?:(?<!\b(?:inc|ltd|llc|corp|co|jr|sr|dr|\p{{L}}))\.(?=\s)|(?={_OPENING})|$)"
+    r"[^\p{L}\p{N}\n]*)+"
 )
 #: Lines that state a copyright, as the SQL takes them: any that begin with the word.
 COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
@@ -61,14 +62,22 @@ SPELLINGS = [
 ]
 
 
-def form_sql(text: str) -> str:
-    """The canonical form as Spark's SQL."""
+#: How patterns are written so that no match goes beyond its line.
+_IN_LINE = [
+    (r"\A", r"(?<![^\n])"), (r"\s", r"[^\S\n]"), (r"[^\p{L}\p{N}]", r"[^\p{L}\p{N}\n]"), (r"[^>\]}]", r"[^>\]}\n]"), ("[^<>]", r"[^<>\n]"),
+]
+
+
+def form_sql(text: str, of_lines: bool = False) -> str:
+    """The canonical form as Spark's SQL, or the forms of all lines, with line feeds between."""
     out = f"lower({text})"
     spellings = [(pattern.replace(" ", r"\s+"), into) for pattern, into in SPELLINGS]
     for pattern, into in [(_OPEN, " "), (_TITLE, " "), (_STATEMENT, " "), *spellings, (r"[^\p{L}\p{N}]+", " ")]:
+        for plain, kept in _IN_LINE if of_lines else []:
+            pattern = pattern.replace(plain, kept)
         quoted = pattern.replace("\\", "\\\\").replace("'", "\\'")
         out = f"regexp_replace({out}, '{quoted}', '{into}')"
-    return f"trim({out})"
+    return out if of_lines else f"trim({out})"
 
 
 def canonical_sql(text: str, group: str = "$", every: str = "") -> str:
@@ -85,9 +94,14 @@ def _digest(text: str) -> str:
     return f"sha2(nullif({form_sql(text)}, ''), 256)"
 
 
-def licences(spark: SparkSession, texts: list[tuple[str, str]] | None = None) -> DataFrame:
-    """(digest, licence): one row for each canonical form of the known texts."""
-    given = spark.createDataFrame(known() if texts is None else texts, "licence string, text string")
+def _line_digests(text: str) -> str:
+    return f"transform(split({form_sql(text, True)}, '\\n'), line -> sha2(nullif(trim(line), ''), 256))"
+
+
+def licences(spark: SparkSession, texts: DataFrame | list[tuple[str, str]] | None = None) -> DataFrame:
+    """(digest, licence): one row for each canonical form of the known texts; ``texts`` is a table
+    (licence, text) or a list, to be known instead of the texts of this package."""
+    given = texts if isinstance(texts, DataFrame) else spark.createDataFrame(every() if texts is None else texts, "licence string, text string")
     forms = given.select(F.expr(_digest("text")).alias("digest"), "licence").filter("digest is not null")
     return forms.groupBy("digest").agg(F.min("licence").alias("licence"))
 
@@ -100,7 +114,7 @@ def scan(docs: DataFrame, registry: DataFrame) -> DataFrame:
     # a row is known by its doc_id and the hash of its text; digests of lines are made as one array, so
     # that no filter on them makes them again
     row = F.xxhash64("text").alias("row")
-    lines = docs.select("doc_id", row, F.expr(f"transform(split(text, '\\n'), line -> {_digest('line')})").alias("lines"))
+    lines = docs.select("doc_id", row, F.expr(_line_digests("text")).alias("lines"))
     found = (
         lines.select("doc_id", "row", F.explode("lines").alias("digest"))
         .join(held, "digest")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 # Public licence texts, without their copyright lines.
 _BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
 following conditions are met:
@@ -78,16 +80,48 @@ NAMES = {
     "CC-BY-NC-4.0": ["CC BY-NC 4.0"],
     "CC0-1.0": ["CC0 1.0"],
 }
+#: More names, which the SQL of the scan hasn't.
+MORE_NAMES = {
+    "BSD-2-Clause": ["BSD 2-Clause License"],
+    "ISC": ["ISC License"],
+    "Zlib": ["zlib License"],
+}
 LEADS = ["Licensed under", "Released under", "Distributed under", "This work is licensed under", "This project is licensed under"]
 
 
-def known() -> list[tuple[str, str]]:
-    """(licence, text) of all whole texts and of all notices, made by lead, article and name."""
-    notices = [
+#: Whole texts in files, by licence and _edition, and where the parts begin that copies often leave out.
+FILES = Path(__file__).with_name("licenses")
+_LAST = ("END OF TERMS AND CONDITIONS", "ADDENDUM: How to use")
+
+
+def _notices(names: dict[str, list[str]]) -> list[tuple[str, str]]:
+    return [
         (licence, f"{lead} {article}{name}.")
-        for licence, names in NAMES.items()
-        for name in names
+        for licence, said in names.items()
+        for name in said
         for lead in LEADS
         for article in ("", "the ")
     ]
-    return [*TEXTS.items(), *notices]
+
+
+def known() -> list[tuple[str, str]]:
+    """(licence, text) of the texts above and of their notices, made by lead, article and name."""
+    return [*TEXTS.items(), *_notices(NAMES)]
+
+
+def long_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the texts in files: whole, and with and without the line that ends the terms."""
+    out = []
+    for file in sorted(FILES.glob("*.txt")):
+        whole, licence = file.read_text("utf-8"), file.stem.partition("_")[0]
+        out.append((licence, whole))
+        for mark in _LAST:
+            terms, found, _ = whole.partition(mark)
+            if found:
+                out += [(licence, terms), *([(licence, terms + mark)] if mark in _LAST[:1] else [])]
+    return out
+
+
+def every() -> list[tuple[str, str]]:
+    """(licence, text) of all that is known."""
+    return [*known(), *long_texts(), *_notices(MORE_NAMES)]

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import textwrap
 
-from stratiform.llm.license_scan import licences, scan
-from stratiform.llm.license_texts import TEXTS, known
+from pyspark.sql import functions as F
+
+from stratiform.llm.license_scan import _digest, _line_digests, licences, scan
+from stratiform.llm.license_texts import TEXTS, every, known, long_texts
 
 
 def test_whole_texts_and_notices(spark, make_docs):
@@ -74,3 +76,33 @@ def test_only_copyright_statements_go(spark, make_docs):
     found = {x["doc_id"]: x for x in scan(make_docs(rows), licences(spark)).collect()}
     assert {k: x["licence"] for k, x in found.items()} == dict.fromkeys(range(1, 8))
     assert len({x["text_digest"] for x in found.values()} - {None}) == 7
+
+
+def test_long_texts_in_any_wrapping(spark, make_docs):
+    rows, expected = [], []
+    for name, text in long_texts():
+        for whole in wrappings(text):
+            rows.append((len(rows), whole))
+            expected.append(name)
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "CC-BY-SA-4.0"} <= set(expected)
+    apache = dict(reversed(long_texts()))["Apache-2.0"]
+    rows.append((len(rows), apache.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 Foo Inc.")))
+    expected.append("Apache-2.0")
+    rows += [(len(rows) + k, text) for k, (_, text) in enumerate(every())]
+    expected += [licence for licence, _ in every()]
+    found = {x["doc_id"]: x["licence"] for x in scan(make_docs(rows), licences(spark)).collect()}
+    assert [found[k] for k, _ in rows] == expected
+
+
+def test_registry_from_a_table(spark, make_docs):
+    texts = spark.createDataFrame([("Own", "Do what\nyou like."), ("Other", None)], "licence string, text string")
+    docs = make_docs([(1, "Copyright (c) 2020 X\nDo what you\nlike."), (2, TEXTS["MIT"])])
+    assert sorted((x["doc_id"], x["licence"]) for x in scan(docs, licences(spark, texts)).collect()) == [(1, "Own"), (2, None)]
+
+
+def test_lines_at_once_equal_lines_alone(spark, make_docs, awkward):
+    odd = "The MIT License\n(c) 2020 X\ncopyright\n(c) 1999 Y. Z\nversion\n2 & version 3\r\nGNU\nGPL, gnu  gpl\rISC License © Q\n\nCopyright [yyyy]\n[name] 51 Franklin St\nUSA all rights\nreserved"
+    texts = [odd, odd.replace("\n", " "), *(w for _, text in every() for w in wrappings(text))]
+    docs = make_docs(list(enumerate(texts, 100))).unionAll(awkward)
+    alone = F.expr(f"transform(split(text, '\\\\n'), line -> {_digest('line')})")
+    assert docs.filter(~alone.eqNullSafe(F.expr(_line_digests("text")))).count() == 0
