@@ -12,8 +12,8 @@ Text inside a block element becomes a line: references decoded, white space (als
 space, trimmed. Kept lines are joined in page order by a line feed.
 
 Defined cases. Null or empty html, or no content found: empty text, 0 characters. Broken markup is
-read as browsers mostly do: open paragraphs and list items end where the next begins, stray end tags
-are passed over, a script or style that never ends takes the rest. Repeated rows: equal results.
+read as browsers mostly do: open paragraphs and list items end where the next begins, a head where
+something begins that can't stand in it, stray end tags are passed over, a script or style that never ends takes the rest. Repeated rows: equal results.
 Pages are read whole.
 """
 
@@ -51,15 +51,20 @@ _ENDS = {
     "option": ({"option"}, {"select"}),
     "body": ({"head"}, {"html"}),
 }
+#: What may stand in a head; any other element or text ends it.
+_IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes".split())
 LANDMARKS = frozenset("nav header footer aside form main article section dialog fieldset search".split())
 _KEEPS_P = frozenset("html body table td th caption button object".split())
 
+#: A quoted value may hold < if its quote ends an attribute; otherwise the quote was never closed, and < ends the tag.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)>",
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)"
+    r"(?P<rest>(?:[^>\"'<=]|=\s*+(?:\"[^\"]*\"(?=[\s/>])|'[^']*'(?=[\s/>])|)|\"[^\"<]*\"|'[^'<]*'|[\"'])*+(?=>)|(?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)>",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|itemprop|data-content)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_READ = frozenset("class id role itemprop data-content".split())
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in RAW}
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -93,6 +98,8 @@ class Pages:
         self.blocks += 1
 
         def text(raw: str) -> None:
+            if names[-1] == "head" and raw and not raw.isspace():
+                close(len(names) - 1)
             if raw and not hidden:
                 if not raw.isspace():
                     leaf = self._node(nodes[-1], None)
@@ -135,6 +142,8 @@ class Pages:
                 if k > 0 and names[k] == name:
                     close(k)
                 continue
+            if names[-1] == "head" and name not in _IN_HEAD:
+                close(len(names) - 1)
             if name in BLOCKS:
                 if name in _ENDS:
                     end_implied(*_ENDS[name])
@@ -149,7 +158,7 @@ class Pages:
                 continue
             words, label = "", None
             if "=" in token["rest"]:
-                said = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(token["rest"])}
+                said = {key: m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(token["rest"]) if (key := m[1].lower()) in _READ}
                 label = said.pop("data-content", None)
                 words = " ".join(said.values())
             names.append(name)

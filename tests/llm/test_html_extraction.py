@@ -88,3 +88,31 @@ def test_given_pages(spark):
         inside = re.search(r"<article>(.*)</article>", x["html"], re.S)[1]
         blocks = [" ".join(escapes.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", inside)]
         assert found[x["page_id"]] == "\n".join(b for b in blocks if b)
+
+
+def nodes(html):
+    pages = Pages()
+    pages.read(0, html)
+    return [key for key in pages.key if key and key[0]], [x[2] for x in pages.texts if not x[2].isspace()]
+
+
+@pytest.mark.parametrize(("html", "keys", "texts"), [
+    ('<div class="ad" data-x="<p>hi</p>">Buy</div>', [("div", "ad")], ["Buy"]),
+    ("<div class='ad' data-x='<p class=\"main\">hi</p>'>Buy</div>", [("div", "ad")], ["Buy"]),
+    ('<p>one<img alt="a < b">two</p>', [("p", "")], ["one", "two"]),
+    ('<a title = "a <b> c"/>x', [("a", "")], ["x"]),
+    ('<a title="x>y <p>z', [("a", ""), ("p", "")], ["y ", "z"]),
+    ('<a title="x>y</a> <p class="b">z</p>', [("a", ""), ("p", "b")], ["y", "z"]),
+])
+def test_tags_with_angle_brackets_in_values(html, keys, texts):
+    assert nodes(html) == (keys, texts)
+
+
+@pytest.mark.parametrize("start", ["<p>", "", "<main><p>", "<svg></svg><p>"])
+def test_head_without_end(extractor, start):
+    line = "This is some longer text, and it goes on for a while here."
+    head = "<head><meta charset=utf-8><title>T</title><style>p{}</style><link href=x>"
+    assert nodes(head + start + line)[1] == [line]
+    for page in (head + start + line, "<!DOCTYPE html><html>" + head + "\n<script>var t;</script> " + start + line):
+        assert extractor.extract([page]) == extractor.extract([page.replace("<link href=x>", "<link href=x></head>")])
+    assert extractor.extract([head + f"<article><p>{line}</p></article>"]) == [line]
