@@ -13,7 +13,8 @@ ascending ranges. `ranks.bin` has the ids by rank. Layout of a file, all little-
 
 Tasks write each file under a name of its own and move it into place, so tasks may run again.
 
-Defined cases. Null text is empty: its only id is the end. A null doc_id comes first. Repeated
+Defined cases. The string of a special token in a text gives that token's id, as the library does by
+itself. Null text is empty: its only id is the end. A null doc_id comes first. Repeated
 rows are kept, in the order of their texts' hashes. An empty table gives no files and no rows.
 """
 
@@ -82,11 +83,12 @@ def unpacked(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 class WordCoder:
     """Ids by the tokenizers library, for tokenizers that drop white space and never merge across it:
-    words are encoded by themselves, and those seen before are looked up."""
+    words are encoded by themselves, and those seen before are looked up. No special token may hold a
+    space. If ``plain``, the strings of special tokens are ordinary text; the library takes them for the tokens."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = plain
         #: Ids take two bytes where the vocabulary allows it.
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.known: dict[str, bytes] = {}
@@ -113,17 +115,17 @@ class WordCoder:
 
 
 @lru_cache(maxsize=2)
-def coder(path: str) -> WordCoder:
+def coder(path: str, plain: bool = True) -> WordCoder:
     """Read once by each Python worker. Spark gives a task one core, so the library's threads stay off."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return WordCoder(path)
+    return WordCoder(path, plain)
 
 
 def _ids(path: str, end: int):
     """The ids of each document, and one more row for each task: how often each id occurs in it."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = coder(path)
+        code = coder(path, False)
         last = array(code.kind, [end]).tobytes()
         total = np.zeros(0, np.int64)
         names = ["doc_id", "__ids", "__counts"]
@@ -219,7 +221,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end: int
     """Files with the ids of all rows of ``docs`` (doc_id, text), each text closed by ``end``."""
     spark = docs.sparkSession
     path = path or public_tokenizers.path(TOKENIZER)
-    kind = coder(path).kind
+    kind = coder(path, False).kind
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     written = stored(in_arrow(docs, _ids(path, end), "doc_id long, __ids binary, __counts binary"), "tokens")
     encoded = written.filter("__ids is not null").drop("__counts")

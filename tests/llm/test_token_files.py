@@ -69,3 +69,29 @@ def test_empty_table(spark, make_docs):
     folder = scratch_dir(spark, "tokens")
     write_tokens(make_docs([]), folder)
     assert read_tokens(spark, folder).count() == 0
+
+
+@pytest.fixture(scope="module")
+def unchanged():
+    tokenizer = Tokenizer.from_file(PATH)
+    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
+_PIECES = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "a", " ", "\n", "\u00e9", "\u0301", "\u3000", "b's", "1"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(_PIECES), max_size=12).map("".join))
+def test_special_tokens_as_in_the_unchanged_library(unchanged, text):
+    code = coder(PATH, False)
+    assert np.frombuffer(code.encode([text])[0], code.kind).tolist() == unchanged(text)
+
+
+def test_files_hold_special_tokens(spark, make_docs, unchanged):
+    texts = ["a <|endoftext|> b", "x<|endoftext|><|startoftext|>y z", "after"]
+    assert unchanged(texts[0]) == [320, 49407, 321]
+    folder = scratch_dir(spark, "tokens")
+    write_tokens(make_docs(list(enumerate(texts))), folder)
+    ids = [np.array([*unchanged(text), 1], "<u4") for text in texts]
+    found = sorted((x["doc_id"], x["n_tokens"], x["ids_crc32"]) for x in read_tokens(spark, folder).collect())
+    assert found == [(k, len(x), zlib.crc32(x.tobytes())) for k, x in enumerate(ids)]
