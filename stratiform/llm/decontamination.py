@@ -10,7 +10,8 @@ Items are read in blocks of at most BLOCK_BYTES, whatever their number; each blo
 passes over the documents in turn, without a shuffle.
 
 Defined cases. Null or empty text: clean. Items that are null or without words: never found. Items
-under SHORT bytes would be found by chance, so they only match a whole document. Repeated items and
+under SHORT bytes take no errors and have to stand between word bounds; unless ``quoted`` is set, as
+the query and the pipeline do, they only match a whole document. Repeated items and
 rows: the same result for each. Documents are searched whole; overlapping stretches are verified
 once, so the work stays linear in a document's length.
 """
@@ -64,7 +65,7 @@ def least_distance(masks: dict[str, int], size: int, text: str) -> int:
 class Matcher:
     """Finds items in normalised texts."""
 
-    def __init__(self, items: list[tuple[int, str]], error_every: int = ERROR_EVERY):
+    def __init__(self, items: list[tuple[int, str]], error_every: int = ERROR_EVERY, quoted: bool = False):
         self.patterns: list[tuple[int, str, int]] = []
         self.whole: dict[str, list[int]] = defaultdict(list)
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
@@ -80,9 +81,10 @@ class Matcher:
                 pieces[text[a:b]].append((len(self.patterns), a))
             self.patterns.append((item_id, text, errors))
         self.automaton = ahocorasick.Automaton()
-        for piece, places in pieces.items():
-            self.automaton.add_word(piece, (len(piece), places))
-        if pieces:
+        short = self.whole if quoted else {}
+        for piece in pieces.keys() | short.keys():
+            self.automaton.add_word(piece, (len(piece), pieces.get(piece, ()), short.get(piece)))
+        if pieces or short:
             self.automaton.make_automaton()
         self.masks: dict[int, dict[str, int]] = {}
 
@@ -98,9 +100,11 @@ class Matcher:
         """The items in a normalised text, with their least distances."""
         found = dict.fromkeys(self.whole.get(text, ()), 0)
         stretches: dict[int, list[list[int]]] = defaultdict(list)
-        if self.patterns:
-            for last, (length, places) in self.automaton.iter(text):
+        if len(self.automaton):
+            for last, (length, places, short) in self.automaton.iter(text):
                 begin = last + 1 - length
+                if short and (begin == 0 or text[begin - 1] == " ") and (last + 1 == len(text) or text[last + 1] == " "):
+                    found.update(dict.fromkeys(short, 0))
                 for k, offset in places:
                     _, pattern, errors = self.patterns[k]
                     a = max(0, begin - offset - errors)
@@ -133,19 +137,19 @@ class Matcher:
 _matchers: dict[int, Matcher] = {}
 
 
-def _matcher(name: int, items) -> Matcher:
+def _matcher(name: int, items, quoted: bool) -> Matcher:
     """Built once by each Python worker, and kept until a task needs another."""
     if name not in _matchers:
         _matchers.clear()
-        _matchers[name] = Matcher(items.value)
+        _matchers[name] = Matcher(items.value, quoted=quoted)
     return _matchers[name]
 
 
-def _search(block, name: int):
+def _search(block, name: int, quoted: bool):
     """Lists of the items of a block that each text holds, and their distances."""
 
     def make():
-        find = _matcher(name, block).find
+        find = _matcher(name, block, quoted).find
 
         def compute(part: pa.RecordBatch) -> list:
             found = [sorted(find(normalised(text)).items()) for text in part.column("text").to_pylist()]
@@ -165,7 +169,7 @@ def _blocks(items: DataFrame) -> list[DataFrame]:
     return [items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
-def contaminations(docs: DataFrame, items: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def contaminations(docs: DataFrame, items: DataFrame, keep: list[str] | None = None, quoted: bool = False) -> DataFrame:
     """Columns ``keep`` (doc_id) of every row of ``docs``, with __items (ids, ascending) and __distances
     of the items in its text."""
     context = docs.sparkSession.sparkContext
@@ -176,7 +180,7 @@ def contaminations(docs: DataFrame, items: DataFrame, keep: list[str] | None = N
         held = context.broadcast(texts)
         added = {f"__items_{k}": "array<bigint>", f"__distances_{k}": "array<int>"}
         passed = [c for c in out.columns if c in keep or c == "text" or c.startswith("__items_") or c.startswith("__distances_")]
-        out = beside(out, _search(held, held._jbroadcast.id()), added, passed)
+        out = beside(out, _search(held, held._jbroadcast.id(), quoted), added, passed)
         lists.append(added)
     ids = F.concat(F.array().cast("array<bigint>"), *(F.col(f"__items_{k}") for k in range(len(lists))))
     far = F.concat(F.array().cast("array<int>"), *(F.col(f"__distances_{k}") for k in range(len(lists))))
@@ -185,7 +189,7 @@ def contaminations(docs: DataFrame, items: DataFrame, keep: list[str] | None = N
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, contaminated, n_items, item_ids and the least distance (null if clean) of each document."""
-    found = contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), quoted=True)
     return found.select(
         "doc_id",
         (F.size("__items") > 0).alias("contaminated"),
@@ -197,5 +201,5 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the rows that hold no item of the benchmark."""
-    found = contaminations(docs, table(spark, sf_dir, "benchmark"), docs.columns)
+    found = contaminations(docs, table(spark, sf_dir, "benchmark"), docs.columns, quoted=True)
     return found.filter(F.size("__items") == 0).select(*docs.columns)

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stratiform.llm import decontamination
-from stratiform.llm.decontamination import ERROR_EVERY, SHORT, Matcher, contaminations, drop_contaminated, normalised
+from stratiform.llm.decontamination import ERROR_EVERY, SHORT, Matcher, contaminations, drop_contaminated, normalised, op2_decontamination
 
 from .conftest import prose
 
@@ -76,3 +76,21 @@ def test_stage(spark, make_docs, tmp_path):
     docs = make_docs([(1, "before " + item), (2, prose(8, 100)), (None, None)])
     kept = drop_contaminated(spark, docs, str(tmp_path))
     assert kept.columns == docs.columns and {x["doc_id"] for x in kept.collect()} == {2, None}
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="ab ", max_size=6).map(normalised), max_size=6), st.text(alphabet="ab ", max_size=60).map(normalised))
+def test_quoted_short_items(patterns, text):
+    found = Matcher(list(enumerate(patterns)), quoted=True).find(text)
+    assert found == {k: 0 for k, pattern in enumerate(patterns) if pattern and f" {pattern} " in f" {text} "}
+
+
+def test_query_and_stage_find_short_items(spark, make_docs, tmp_path):
+    item = prose(50, 40)
+    rows = [(1, item), (2, "One two, three?"), (3, item.split()[0] + "x"), (4, None)]
+    spark.createDataFrame(rows, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = make_docs([(1, "he said: one, two three. Then"), (2, "none two three"), (3, "one two threes"), (4, "one two three"), (5, item + " ONE TWO\nTHREE"), (6, None)])
+    docs.drop("ids").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {x["doc_id"]: (x["item_ids"], x["least_distance"]) for x in op2_decontamination(spark, str(tmp_path)).collect()}
+    assert found == {1: ([2], 0), 2: ([], None), 3: ([], None), 4: ([2], 0), 5: ([1, 2], 0), 6: ([], None)}
+    assert {x["doc_id"] for x in drop_contaminated(spark, docs, str(tmp_path)).collect()} == {2, 3, 6}
