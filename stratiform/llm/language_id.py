@@ -7,8 +7,9 @@ training, so a text's code length in a language is a sum of fixed costs, one for
 language with the shortest code wins. Texts are lower-cased and everything that isn't a letter
 counts as one space, so that numbers and symbols speak for no language.
 
-Training takes texts with a language whose crc32(doc_id) is not divisible by 5, chosen by a hash
-until TRAINED bytes, shared evenly by the languages. The model is broadcast: that bound is its bound.
+Training takes texts with a language whose crc32(doc_id) is not divisible by 5: pieces of PIECE bytes,
+chosen by a hash of doc_id and place, of about TRAINED bytes shared evenly by the languages, however
+long the documents are. The model is broadcast: that bound is its bound.
 
 Defined cases. Null text, or text without a letter: `und`, score 0. No training text: `und` for all.
 Equal code lengths: the language first in alphabetical order. Repeated rows: equal results. A row
@@ -31,6 +32,7 @@ from stratiform.llm.texts import Lookup, flat, slices, sums
 DEPTH = 3
 FOLDS = 5
 TRAINED = 16 << 20
+PIECE = 4096
 UNKNOWN = "und"
 #: Belief below which the pipeline takes a language for unknown.
 SURE = 0.5
@@ -138,14 +140,30 @@ class Trees:
         return out + add
 
 
+def _drawn(place: np.ndarray, share: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each byte whether its piece is drawn, from a hash and a share for each text."""
+    size = np.diff(bounds)
+    n = -(-size // PIECE)
+    number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    x = np.repeat(place.view(np.uint64), n) + (number + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    taken = ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) / 2.0**53 < np.repeat(share, n)
+    return np.repeat(taken, np.minimum(PIECE, np.repeat(size, n) - number * PIECE))
+
+
 def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, gram, n) of the drawn pieces; a piece's first bytes stand behind the ones before it."""
     for part in slices(batches, "text"):
         langs = part.column("lang").dictionary_encode()
         where, names = langs.indices.to_numpy(), langs.dictionary.to_pylist()
         for k, name in enumerate(names):
-            data, bounds = flat(part.column("text").filter(pa.array(where == k)))
-            gram, n = np.unique(codes(_letters(data), bounds), return_counts=True)
-            yield pa.record_batch([pa.array([name] * len(gram)), gram.astype(np.int64), n], names=["lang", "gram", "n"])
+            rows = part.filter(pa.array(where == k))
+            data, bounds = flat(rows.column("text"))
+            drawn = _drawn(rows.column("__place").to_numpy(), rows.column("__share").to_numpy(), bounds)
+            if drawn.any():
+                gram, n = np.unique(codes(_letters(data), bounds)[drawn], return_counts=True)
+                yield pa.record_batch([pa.array([name] * len(gram)), gram.astype(np.int64), n], names=["lang", "gram", "n"])
 
 
 def train(docs: DataFrame, trained: int = TRAINED) -> Trees | None:
@@ -158,9 +176,9 @@ def train(docs: DataFrame, trained: int = TRAINED) -> Trees | None:
         return None
     share = trained / len(sizes)
     parts = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], min(1.0, share / r["bytes"]))))
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000)) / 1_000_000
-    taken = known.filter(place < parts[F.col("lang")])
-    rows = in_arrow(taken.select("text", "lang"), _gathered, "lang string, gram long, n long")
+    place = F.xxhash64(F.col("doc_id").cast("string")).alias("__place")
+    given = known.select("text", "lang", place, parts[F.col("lang")].alias("__share"))
+    rows = in_arrow(given, _gathered, "lang string, gram long, n long")
     found = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     if not found.num_rows:
         return None

@@ -4,8 +4,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from stratiform.llm.language_id import DEPTH, Trees, _letters, codes, keep_known, predicted, train
+from stratiform.llm.language_id import DEPTH, Trees, _drawn, _fold, _gathered, _letters, codes, keep_known, predicted, train
+from stratiform.llm.tables import in_arrow
 from stratiform.llm.texts import flat
 
 from .conftest import prose
@@ -79,3 +81,19 @@ def test_without_training_and_empty(spark, make_docs):
     assert predicted(nothing, None).first()["__lang"] == "und"
     assert train(make_docs([])) is None
     assert keep_known(spark, make_docs([]), "").columns == nothing.columns
+
+
+def test_few_long_documents_are_drawn_in_pieces(spark, make_docs):
+    long = [(k, prose(k, 40_000, FRENCH), "fr") for k in range(8)]
+    docs = make_docs(long + [(100 + k, prose(k, 300), "en") for k in range(400)])
+    share = 60_000
+    trees = train(docs, 2 * share)
+    bounds = np.array([0, 50, 50, 20_000])
+    assert _drawn(np.arange(3), np.ones(3), bounds).tolist() == [True] * 20_000
+    found = predicted(docs, trees, ["lang"]).collect()
+    assert all(x["__lang"] == x["lang"] for x in found)
+    known = docs.filter((_fold() != 0) & F.col("lang").isNotNull())
+    given = known.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
+    rows = known.join(given, "lang").select("text", "lang", F.xxhash64(F.col("doc_id").cast("string")).alias("__place"), (share / F.col("bytes")).alias("__share"))
+    drawn = {x["lang"]: x["n"] for x in in_arrow(rows, _gathered, "lang string, gram long, n long").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    assert set(drawn) == {"en", "fr"} and all(share / 2 < n < 2 * share for n in drawn.values())
