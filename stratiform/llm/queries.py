@@ -13,7 +13,10 @@ from stratiform.llm.language_id import op1_language_id
 from stratiform.llm.license_scan import op7_license_scan, oracle_sql
 from stratiform.llm.lm_scoring import op6_lm_scoring
 from stratiform.llm.ngram_join import op4_ngram_join
+from stratiform.llm.periodic_runs import op12_periodic_runs
 from stratiform.llm.quality_rules import op3_quality_rules
+from stratiform.llm.ranked_search import op11_ranked_search
+from stratiform.llm.ranked_search import oracle_sql as ranked_sql
 from stratiform.llm.token_files import op8_token_files
 from stratiform.llm.warc import op10_warc
 
@@ -28,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_bpe_tree": op9_bpe_tree,
     "op10_warc": op10_warc,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -70,4 +75,5 @@ SQL: dict[str, str] = {
         FROM firsts
     """,
     "op7_license_scan": oracle_sql(),
+    "op11_ranked_search": ranked_sql(),
 }
