@@ -17,6 +17,7 @@ from stratiform.llm.periodic_runs import op12_periodic_runs
 from stratiform.llm.quality_rules import op3_quality_rules
 from stratiform.llm.ranked_search import op11_ranked_search
 from stratiform.llm.ranked_search import oracle_sql as ranked_sql
+from stratiform.llm.suffix_dedup import op13_suffix_dedup
 from stratiform.llm.token_files import op8_token_files
 from stratiform.llm.warc import op10_warc
 
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_ranked_search": op11_ranked_search,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
