@@ -43,24 +43,24 @@ from stratiform.session import scratch_dir
 
 WINDOW = 100
 GRAM = 32
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 #: Text of the chunks of one bucket.
 BUCKET_BYTES = 32 << 20
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 4 << 20
 #: Rows of a queue in memory.
-MEMORY = 1 << 20
-HOT = 20_000
+MEMORY = 1 << 19
+HOT = 4000
 #: Chunks whose segments one task gathers.
 SPAN = 4096
 
 _LAST = np.iinfo(np.int64).max
-_SEGMENT = ["anchor", "hash", "doc_id", "tie", "chunk", "row", "pos", "segment"]
-_TYPES = "anchor long, hash long, doc_id long, tie long, chunk long, row int, pos int, segment binary"
+#: A segment: its anchor, the order of its document, and where it stands: the row of the chunk, then 32 bits for the place.
+_TYPES = "anchor long, doc_id long, tie int, chunk long, place long, segment binary"
 
 
 def anchored(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin of the first window, number of windows, and anchor of each segment of the rows' texts."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    """Begin of the first window, number of windows, and begin of the anchor of each segment of the rows' texts."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     n = len(data)
     if n < WINDOW:
         return none
@@ -79,7 +79,7 @@ def anchored(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return none
     at = (least[place] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     begin = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (np.diff(place) != 1)]))
-    return place[begin], np.diff(np.append(begin, len(place))), grams[at[begin]]
+    return place[begin], np.diff(np.append(begin, len(place))), at[begin]
 
 
 def _ipc(rows: pa.Table) -> bytes:
@@ -116,12 +116,13 @@ class _Chunk:
         self.data, self.bounds = flat(rows.column("text"))
         parts, a, n = [], 0, len(self.bounds) - 1
         while a < n:  # slices keep the hashes of grams small
-            b = max(a + 1, int(np.searchsorted(self.bounds, self.bounds[a] + (1 << 20), "right")) - 1)
+            b = max(a + 1, int(np.searchsorted(self.bounds, self.bounds[a] + (1 << 19), "right")) - 1)
             part = self.bounds[a : b + 1]
-            begin, count, anchor = anchored(self.data[part[0] : part[-1]], part - part[0])
-            parts.append((begin + part[0], count, anchor))
+            begin, count, at = anchored(self.data[part[0] : part[-1]], part - part[0])
+            parts.append((begin + part[0], count, at + part[0]))
             a = b
-        self.begin, self.count, self.anchor = (np.concatenate([np.zeros(0, k), *(p[i] for p in parts)]) for i, k in enumerate((np.int64, np.int64, np.uint64)))
+        self.begin, self.count, self.at = (np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts)]) for i in range(3))
+        self.anchor = hash_spans(self.data, self.at, self.at + GRAM)
 
     def repeated(self, anchors: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.isin(self.anchor, anchors))
@@ -173,24 +174,21 @@ def _segments(parts: int):
         begin, size, anchor = chunk.begin[pick], chunk.count[pick] + WINDOW - 1, chunk.anchor[pick]
         row = np.searchsorted(chunk.bounds, begin, "right") - 1
         ids = chunk.doc_id.fill_null(_LAST).to_numpy().astype(np.int64)
-        ties = hash_spans(chunk.data, chunk.bounds[:-1], chunk.bounds[1:]).view(np.int64)
+        ties = (hash_spans(chunk.data, chunk.bounds[:-1], chunk.bounds[1:]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
         hashes = hash_spans(chunk.data, begin, begin + size)
-        order = np.lexsort((begin, row, ties[row], ids[row], hashes, anchor))
-        new = np.ones(len(order), bool)
-        new[1:] = (anchor[order][1:] != anchor[order][:-1]) | (hashes[order][1:] != hashes[order][:-1])
-        order = order[new]
+        order = _first_rows(begin, ties[row], ids[row], hashes, anchor)
+        part = (hashes[order] % np.uint64(parts)).astype(np.int64)
+        order = order[np.lexsort((begin[order], part))]
+        begin, size, row = begin[order], size[order], row[order]
         part = (hashes[order] % np.uint64(parts)).astype(np.int64)
-        order = order[np.argsort(part, kind="stable")]
-        part = np.sort(part)
-        begin, size, anchor, row, hashes = begin[order], size[order], anchor[order], row[order], hashes[order]
         step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         spelled = chunk.data[np.repeat(begin, size) + step]
         offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         texts = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)])
-        rows = pa.table([
-            anchor.view(np.int64), hashes.view(np.int64), ids[row], ties[row], np.full(len(row), number),
-            row.astype(np.int32), (begin - chunk.bounds[row]).astype(np.int32), texts,
-        ], names=_SEGMENT)
+        rows = pa.table({
+            "at": (chunk.at[pick[order]] - begin).astype(np.int16), "doc_id": ids[row], "tie": ties[row],
+            "place": row << 32 | begin - chunk.bounds[row], "segment": texts,
+        })
         at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
         ends = [*at[1:], len(part)]
         return _dealt(number, ((int(part[a]), {"rows": _ipc(rows.slice(a, b - a))}) for a, b in zip(at, ends, strict=False)), [("rows", pa.binary())])
@@ -198,19 +196,34 @@ def _segments(parts: int):
     return run
 
 
+def _first_rows(*keys: np.ndarray) -> np.ndarray:
+    """Of rows that agree in the last two keys the first one by all keys, the last of which counts most."""
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    for k in keys[-2:]:
+        new[1:] &= k[order][1:] == k[order][:-1]
+    new[1:] = ~new[1:]
+    new[:1] = True
+    return order[new]
+
+
 def _distinct(packed: bool):
     """Of equal segments the first one in the order of documents."""
 
     def run(blobs: pa.Table) -> pa.Table:
-        rows = pa.concat_tables([pa.ipc.open_stream(b.as_buffer()).read_all() for b in blobs.column("rows")]).combine_chunks()
-        keys = [rows.column(c).to_numpy() for c in ("pos", "row", "chunk", "tie", "doc_id", "hash", "anchor")]
-        order = np.lexsort(keys)
-        new = np.ones(len(order), bool)
-        new[1:] = (keys[-1][order][1:] != keys[-1][order][:-1]) | (keys[-2][order][1:] != keys[-2][order][:-1])
-        rows = rows.take(pa.array(order[new]))
-        if not packed:
-            return rows
-        return _dealt(blobs.column("chunk")[0].as_py(), [(blobs.column("part")[0].as_py(), {"rows": _ipc(rows)})], [("rows", pa.binary())])
+        read = []
+        for blob, chunk in zip(blobs.column("rows"), blobs.column("chunk"), strict=True):
+            rows = pa.ipc.open_stream(blob.as_buffer()).read_all()
+            read.append(rows if "chunk" in rows.column_names else rows.append_column("chunk", pa.array(np.full(rows.num_rows, chunk.as_py()))))
+        rows = pa.concat_tables(read).combine_chunks()
+        data, bounds = flat(rows.column("segment"))
+        begin = bounds[:-1] + rows.column("at").to_numpy()
+        anchor = hash_spans(data, begin, begin + GRAM)
+        pick = _first_rows(*(rows.column(c).to_numpy() for c in ("place", "chunk", "tie", "doc_id")), hash_spans(data, bounds[:-1], bounds[1:]), anchor)
+        rows = rows.take(pa.array(pick))
+        if packed:
+            return _dealt(blobs.column("chunk")[0].as_py(), [(blobs.column("part")[0].as_py(), {"rows": _ipc(rows)})], [("rows", pa.binary())])
+        return rows.append_column("anchor", pa.array(anchor[pick].view(np.int64))).select(["anchor", "doc_id", "tie", "chunk", "place", "segment"])
 
     return run
 
@@ -252,7 +265,7 @@ def _spill_folder() -> str | None:
 
 
 def _sorted(memory: int):
-    """(chunk, row, pos, first): for each segment of a shard the bits of its windows that are first."""
+    """(chunk, place, first): for each segment of a shard the bits of its windows that are first."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -260,7 +273,7 @@ def _sorted(memory: int):
             return
         rows = pa.Table.from_batches(held).combine_chunks()
         del held
-        rows = rows.take(pa.array(np.lexsort([rows.column(c).to_numpy() for c in ("pos", "row", "chunk", "tie", "doc_id")])))
+        rows = rows.take(pa.array(np.lexsort([rows.column(c).to_numpy() for c in ("place", "chunk", "tie", "doc_id")])))
         data, bounds = flat(rows.column("segment"))
         _, kind, n = np.unique(rows.column("anchor").to_numpy(), return_inverse=True, return_counts=True)
         many = n[kind] > 1
@@ -278,7 +291,7 @@ def _sorted(memory: int):
             with tempfile.TemporaryDirectory(dir=_spill_folder()) as folder:
                 first = first_windows(lengths[many], text, folder, memory)
         bits = [np.packbits(first[a : a + n - WINDOW + 1] if m else np.ones(n - WINDOW + 1, bool)).tobytes() for a, n, m in zip(start.tolist(), lengths.tolist(), many.tolist(), strict=True)]
-        found = pa.table({"chunk": rows.column("chunk"), "row": rows.column("row"), "pos": rows.column("pos"), "first": pa.array(bits, pa.binary())})
+        found = pa.table({"chunk": rows.column("chunk"), "place": rows.column("place"), "first": pa.array(bits, pa.binary())})
         yield from found.combine_chunks().to_batches()
 
     return run
@@ -295,24 +308,23 @@ def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spelled = np.ascontiguousarray(data[begin[:, None] + np.arange(WINDOW)])
             offsets = (np.arange(len(begin) + 1) * WINDOW).astype(np.int32)
             texts = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(spelled)])
-            kept = [np.repeat(part.column(c).to_numpy(), n) for c in ("doc_id", "tie", "chunk", "row", "pos")]
-            kept[-1] = (kept[-1] + step).astype(np.int32)
-            yield pa.record_batch([texts, *kept], names=["window", "doc_id", "tie", "chunk", "row", "pos"])
+            kept = [np.repeat(part.column(c).to_numpy(), n) for c in ("doc_id", "tie", "chunk", "place")]
+            yield pa.record_batch([texts, *kept[:-1], kept[-1] + step], names=["window", "doc_id", "tie", "chunk", "place"])
 
 
 def _first_of(segments: DataFrame, size: int) -> DataFrame:
-    """(chunk, row, pos, first) of all segments."""
+    """(chunk, place, first) of all segments."""
     counted = segments.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor")
     hot = stored(counted, "hot")
-    schema = "chunk long, row int, pos int, first binary"
+    schema = "chunk long, place long, first binary"
     some = hot.first() is not None
     shards = max(1, -(-size // SHARD_BYTES))
     dealt = (segments.join(hot, "anchor", "left_anti") if some else segments).repartition(shards, "anchor")
     out = in_arrow(dealt, _sorted(MEMORY), schema)
     if some:
-        single = in_arrow(segments.join(hot, "anchor", "left_semi"), _windows, "window binary, doc_id long, tie long, chunk long, row int, pos int")
-        least = single.groupBy("window").agg(F.min(F.struct("doc_id", "tie", "chunk", "row", "pos")).alias("x"))
-        out = out.unionByName(least.select("x.chunk", "x.row", "x.pos", F.unhex(F.lit("80")).alias("first")))
+        single = in_arrow(segments.join(hot, "anchor", "left_semi"), _windows, "window binary, doc_id long, tie int, chunk long, place long")
+        least = single.groupBy("window").agg(F.min(F.struct("doc_id", "tie", "chunk", "place")).alias("x"))
+        out = out.unionByName(least.select("x.chunk", "x.place", F.unhex(F.lit("80")).alias("first")))
     return out
 
 
@@ -328,7 +340,8 @@ def _kept(packs: pa.Table, told: pa.Table) -> pa.Table:
     firsts = told.filter(told.column("first").is_valid())
     if firsts.num_rows:
         bits, bounds = flat(firsts.column("first"))
-        start = chunk.bounds[firsts.column("row").to_numpy()] + firsts.column("pos").to_numpy()
+        row, pos = np.divmod(firsts.column("place").to_numpy(), 1 << 32)
+        start = chunk.bounds[row] + pos
         place = np.repeat(start - 8 * bounds[:-1], 8 * np.diff(bounds)) + np.arange(8 * len(bits))
         again[place[np.unpackbits(bits).view(bool)]] = False
     edge[:] = 0
