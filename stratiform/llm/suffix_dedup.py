@@ -211,15 +211,17 @@ def _distinct(packed: bool):
     """Of equal segments the first one in the order of documents."""
 
     def run(blobs: pa.Table) -> pa.Table:
-        read = []
+        read, keys = [], []
         for blob, chunk in zip(blobs.column("rows"), blobs.column("chunk"), strict=True):
             rows = pa.ipc.open_stream(blob.as_buffer()).read_all()
             read.append(rows if "chunk" in rows.column_names else rows.append_column("chunk", pa.array(np.full(rows.num_rows, chunk.as_py()))))
-        rows = pa.concat_tables(read).combine_chunks()
-        data, bounds = flat(rows.column("segment"))
-        begin = bounds[:-1] + rows.column("at").to_numpy()
-        anchor = hash_spans(data, begin, begin + GRAM)
-        pick = _first_rows(*(rows.column(c).to_numpy() for c in ("place", "chunk", "tie", "doc_id")), hash_spans(data, bounds[:-1], bounds[1:]), anchor)
+            data, bounds = flat(rows.column("segment"))
+            begin = bounds[:-1] + rows.column("at").to_numpy()
+            keys.append((hash_spans(data, bounds[:-1], bounds[1:]), hash_spans(data, begin, begin + GRAM)))
+        rows = pa.concat_tables(read)
+        del read
+        hashes, anchor = (np.concatenate([k[i] for k in keys]) for i in range(2))
+        pick = _first_rows(*(rows.column(c).to_numpy() for c in ("place", "chunk", "tie", "doc_id")), hashes, anchor)
         rows = rows.take(pa.array(pick))
         if packed:
             return _dealt(blobs.column("chunk")[0].as_py(), [(blobs.column("part")[0].as_py(), {"rows": _ipc(rows)})], [("rows", pa.binary())])
