@@ -194,7 +194,7 @@ def _loaded(spark: SparkSession, sf_dir: str, stored: bool = True) -> Warehouse:
     """All documents loaded into a warehouse, which may hold some of them already."""
     house = Warehouse(spark, scratch_dir(spark, "load"), "api", _places(spark, sf_dir))
     if stored:
-        house.bronze.append(bronze_from_events(read_events(spark, sf_dir)).filter(F.second("api_retrieval_time") < 6))
+        house.append_bronze(bronze_from_events(read_events(spark, sf_dir)).filter(F.second("api_retrieval_time") < 6))
     house.load_landed(_landed(spark, sf_dir), AS_OF, retry_attempt=2)
     return house
 

@@ -91,7 +91,7 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def backfill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     house = _warehouse(spark, "backfill")
-    house.bronze.append(bronze(spark, sf_dir))
+    house.append_bronze(bronze(spark, sf_dir))
     return house.backfill_silver(START, END, AS_OF)
 
 
@@ -117,7 +117,7 @@ def _range_sql(label: str, start: str | None, end: str | None) -> str:
 def stored_gold_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole days are aggregated again, however the bounds cut them."""
     house = _warehouse(spark, "backfill")
-    house.bronze.append(bronze(spark, sf_dir))
+    house.append_bronze(bronze(spark, sf_dir))
     house.update_silver(house.bronze.read(), AS_OF)
     reports = [house.backfill_gold(*bounds, AS_OF) for bounds in _BOUNDS.values()]
     return functools.reduce(DataFrame.unionByName, reports)

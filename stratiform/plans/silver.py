@@ -83,7 +83,11 @@ def _texts(name: str) -> str:
 
 def checked_observations(bronze: DataFrame) -> DataFrame:
     """Typed observations with the reject reason of every row."""
-    rows = flatten(bronze)
+    return check(flatten(bronze))
+
+
+def check(rows: DataFrame) -> DataFrame:
+    """Flattened rows as typed observations with the reject reason of every row."""
     timestamp = F.col("timestamp")
     rules = [
         (F.col("_broken"), guards.reason("DataException", BAD_ARRAY)),

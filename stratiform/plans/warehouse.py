@@ -24,6 +24,7 @@ from stratiform.operators.upsert import (
 )
 from stratiform.plans import backfill, bronze, gold, quality, silver
 from stratiform.session import moment, observed, prepare
+from stratiform.sources.key_filters import KeyFilters
 from stratiform.sources.tables import AppendTable, DayTable, FileSystem, Staged, delete_folder, fresh_ids
 
 AsOf = Column | dt.datetime | str | None
@@ -58,6 +59,7 @@ class Warehouse:
         self.endpoint = endpoint
         self.requests = requests
         self.bronze = self._table(AppendTable, "bronze/weather_raw", S.BRONZE, "retrieval_date", S.BRONZE_KEY, "record_id")
+        self.filters = KeyFilters(spark, f"{self.root}/bronze/key_filters")
         log = [
             self._table(AppendTable, f"bronze/api_error_log/{job}", S.ERRORS, "error_date", ["error_type"], "error_id")
             for job in ("load", "silver")
@@ -88,8 +90,8 @@ class Warehouse:
 
         Documents are judged and written once, valid and refused ones apart, without a shuffle of
         their text. The unique key is then checked on the narrow columns of the written batch,
-        against the stored keys of its own retrieval days; only a batch with duplicates is written
-        again without them. ``gather_days`` shuffles a batch of many days into whole files per day.
+        against the stored keys of those loads that may hold one of its keys; only a batch with duplicates is
+        written again without them. ``gather_days`` shuffles a batch of many days into whole files per day.
         """
         now = moment(as_of)
         with self._scratch("load") as path:
@@ -110,7 +112,7 @@ class Warehouse:
                 self.errors.load.append(bronze.error_rows(refused, now, self.endpoint, retry_attempt))
                 results = bronze.load_report(accepted, refused, now)
                 counts = self.results.append(results, {"stored": F.count_if("success")})
-            self.bronze.publish(staged)
+                self._publish(staged, accepted)
         return {
             "documents": found["documents"],
             "stored": counts["stored"],
@@ -118,6 +120,26 @@ class Warehouse:
             "days": days,
         }
 
+    def append_bronze(self, rows: DataFrame) -> dict:
+        """Add rows that are known to be valid and new; their ids are assigned on the way."""
+        staged = self.bronze.stage(rows)
+        return self._publish(staged, self.spark.read.schema(S.BRONZE).parquet(staged.path))
+
+    def _publish(self, staged: Staged, rows: DataFrame) -> dict:
+        if staged.metrics.get("rows"):
+            self.filters.add(staged.max_id, rows)
+        return self.bronze.publish(staged)
+
+    def _known(self, batch: DataFrame, days: list[str]) -> DataFrame:
+        """The stored rows of the loads and days that may hold a key of the batch; no other file is opened."""
+        held = self.filters.loads(batch, days)
+        folders = [f"{self.bronze.path}/load={load:019d}/retrieval_date={day}" for load, day in held]
+        files = FileSystem(self.spark, self.bronze.path)
+        folders = [f for f in folders if files.exists(f)]  # a load that died has left its filter only
+        if not folders:
+            return self.spark.createDataFrame([], S.BRONZE)
+        return self.spark.read.schema(S.BRONZE).option("basePath", self.bronze.path).parquet(*folders)
+
     def _write_judged(self, judged: DataFrame, path: str, gather_days: bool) -> tuple[dict, T.StructType]:
         if gather_days:
             judged = judged.hint("rebalance", "retrieval_date")
@@ -138,7 +160,7 @@ class Warehouse:
 
     def _duplicates(self, batch: DataFrame, days: list[str], path: str) -> DataFrame | None:
         """Documents whose key occurs before them, written down; None if there are none."""
-        found = bronze.duplicates(batch, self.bronze.read(days))
+        found = bronze.duplicates(batch, self._known(batch, days))
         count = Observation()
         # written, so that a join with them knows their size
         found.observe(count, F.count("*").alias("n")).write.parquet(path)

@@ -20,7 +20,7 @@ def load(spark, df, stored=None, retry_attempt=0, requests=None):
     """A warehouse that has loaded ``df``, and what the load returned."""
     house = Warehouse(spark, scratch_dir(spark, "load"), "api", requests)
     if stored is not None:
-        house.bronze.append(stored)
+        house.append_bronze(stored)
     return house, house.load_landed(df, T2, retry_attempt)
 
 

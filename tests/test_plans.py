@@ -32,7 +32,7 @@ def plan(df) -> str:
 def stored(spark):
     house = Warehouse(spark, scratch_dir(spark, "plans"))
     docs = bronze(spark, (1, "A", "2026-01-01T06:00:00", payload(hours(0), temperature_2m=[1.0])))
-    house.bronze.append(docs)
+    house.append_bronze(docs)
     house.update_silver(house.bronze.read())
     return house
 
