@@ -43,10 +43,12 @@ from stratiform.session import scratch_dir
 
 WINDOW = 100
 GRAM = 32
+#: Bytes whose grams are hashed at once.
+SLICE = 1 << 18
 CHUNK_BYTES = 2 << 20
 #: Text of the chunks of one bucket.
 BUCKET_BYTES = 32 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 3 << 20
 #: Rows of a queue in memory.
 MEMORY = 1 << 19
 HOT = 4000
@@ -58,9 +60,9 @@ _LAST = np.iinfo(np.int64).max
 _TYPES = "anchor long, doc_id long, tie int, chunk long, place long, segment binary"
 
 
-def anchored(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin of the first window, number of windows, and begin of the anchor of each segment of the rows' texts."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+def anchored(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Begin of the first window, number of windows, and begin and hash of the anchor of each segment of the rows' texts."""
+    none = *(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64)
     n = len(data)
     if n < WINDOW:
         return none
@@ -79,7 +81,7 @@ def anchored(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return none
     at = (least[place] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     begin = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (np.diff(place) != 1)]))
-    return place[begin], np.diff(np.append(begin, len(place))), at[begin]
+    return place[begin], np.diff(np.append(begin, len(place))), at[begin], grams[at[begin]]
 
 
 def _ipc(rows: pa.Table) -> bytes:
@@ -114,15 +116,26 @@ class _Chunk:
         rows = pa.concat_tables([pa.ipc.open_stream(p.as_buffer()).read_all() for p in packs.column("pack")]).combine_chunks()
         self.doc_id = rows.column("doc_id").combine_chunks() if rows.num_rows else pa.array([], pa.int64())
         self.data, self.bounds = flat(rows.column("text"))
-        parts, a, n = [], 0, len(self.bounds) - 1
-        while a < n:  # slices keep the hashes of grams small
-            b = max(a + 1, int(np.searchsorted(self.bounds, self.bounds[a] + (1 << 19), "right")) - 1)
+        a, n = 0, len(self.bounds) - 1
+        self.slices: list[tuple[int, int]] = []  # of whole rows; they keep arrays of hashes small
+        parts = []
+        while a < n:
+            b = max(a + 1, int(np.searchsorted(self.bounds, self.bounds[a] + SLICE, "right")) - 1)
             part = self.bounds[a : b + 1]
-            begin, count, at = anchored(self.data[part[0] : part[-1]], part - part[0])
-            parts.append((begin + part[0], count, at + part[0]))
+            self.slices.append((int(part[0]), int(part[-1])))
+            begin, count, at, anchor = anchored(self.data[part[0] : part[-1]], part - part[0])
+            parts.append((begin + part[0], count, at + part[0], anchor))
             a = b
-        self.begin, self.count, self.at = (np.concatenate([np.zeros(0, np.int64), *(p[i] for p in parts)]) for i in range(3))
-        self.anchor = hash_spans(self.data, self.at, self.at + GRAM)
+        kinds = (np.int64, np.int64, np.int64, np.uint64)
+        self.begin, self.count, self.at, self.anchor = (np.concatenate([np.zeros(0, k), *(p[i] for p in parts)]) for i, k in enumerate(kinds))
+
+    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of spans in ascending order, none of which leaves its row."""
+        out = np.full(len(begin), hash_spans(self.data[:0], np.zeros(1, np.int64), np.zeros(1, np.int64))[0])
+        for a, b in self.slices:
+            i, j = np.searchsorted(begin, [a, b])
+            out[i:j] = hash_spans(self.data[a:b], begin[i:j] - a, end[i:j] - a)
+        return out
 
     def repeated(self, anchors: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.isin(self.anchor, anchors))
@@ -174,8 +187,8 @@ def _segments(parts: int):
         begin, size, anchor = chunk.begin[pick], chunk.count[pick] + WINDOW - 1, chunk.anchor[pick]
         row = np.searchsorted(chunk.bounds, begin, "right") - 1
         ids = chunk.doc_id.fill_null(_LAST).to_numpy().astype(np.int64)
-        ties = (hash_spans(chunk.data, chunk.bounds[:-1], chunk.bounds[1:]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        hashes = hash_spans(chunk.data, begin, begin + size)
+        ties = (chunk.hashes(chunk.bounds[:-1], chunk.bounds[1:]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        hashes = chunk.hashes(begin, begin + size)
         order = _first_rows(begin, ties[row], ids[row], hashes, anchor)
         part = (hashes[order] % np.uint64(parts)).astype(np.int64)
         order = order[np.lexsort((begin[order], part))]
@@ -223,6 +236,7 @@ def _distinct(packed: bool):
         hashes, anchor = (np.concatenate([k[i] for k in keys]) for i in range(2))
         pick = _first_rows(*(rows.column(c).to_numpy() for c in ("place", "chunk", "tie", "doc_id")), hashes, anchor)
         rows = rows.take(pa.array(pick))
+        pa.default_memory_pool().release_unused()  # a worker serves many groups
         if packed:
             return _dealt(blobs.column("chunk")[0].as_py(), [(blobs.column("part")[0].as_py(), {"rows": _ipc(rows)})], [("rows", pa.binary())])
         return rows.append_column("anchor", pa.array(anchor[pick].view(np.int64))).select(["anchor", "doc_id", "tie", "chunk", "place", "segment"])
@@ -336,8 +350,8 @@ def _kept(packs: pa.Table, told: pa.Table) -> pa.Table:
     pick = chunk.repeated(_anchors(told))
     begin, count = chunk.begin[pick], chunk.count[pick]
     edge = np.zeros(len(chunk.data) + 1, np.int32)
-    np.add.at(edge, begin, 1)
-    np.add.at(edge, begin + count, -1)
+    edge[begin] += 1
+    edge[begin + count] -= 1
     again = np.cumsum(edge[:-1]) > 0
     firsts = told.filter(told.column("first").is_valid())
     if firsts.num_rows:
@@ -348,8 +362,8 @@ def _kept(packs: pa.Table, told: pa.Table) -> pa.Table:
         again[place[np.unpackbits(bits).view(bool)]] = False
     edge[:] = 0
     place = np.flatnonzero(again)
-    np.add.at(edge, place, 1)
-    np.add.at(edge, place + WINDOW, -1)
+    edge[place] += 1
+    edge[place + WINDOW] -= 1
     gone = np.cumsum(edge[:-1]) > 0
     total = np.concatenate([[0], np.cumsum(gone)])
     before = np.concatenate([[False], gone[:-1]])
@@ -376,11 +390,12 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
+    parts = 2 * buckets
     packs = _bucketed(in_arrow(docs, _packed, "chunk long, pack binary"), buckets)
-    asked = packs.groupBy("chunk").applyInArrow(_asked(buckets), "part long, chunk long, twice int, anchors binary")
+    asked = packs.groupBy("chunk").applyInArrow(_asked(parts), "part long, chunk long, twice int, anchors binary")
     told = stored(asked.groupBy("part").applyInArrow(_repeated, "chunk long, anchors binary"), "repeated")
 
-    found = packs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_segments(buckets), "part long, chunk long, rows binary")
+    found = packs.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_segments(parts), "part long, chunk long, rows binary")
     spans = -(-total // (SPAN * CHUNK_BYTES))
     if spans > 1:
         found = found.groupBy("part", F.pmod(F.xxhash64("chunk"), F.lit(spans))).applyInArrow(_distinct(True), "part long, chunk long, rows binary")
