@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -261,6 +263,48 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, sf_dir).results.read().drop("result_id", "load_date")
 
 
+class _Outage(Exception):
+    """Stands in for a load that dies after its documents are stored."""
+
+
+@query(
+    "stored_results",
+    with_events(
+        LANDED_SQL,
+        select="""SELECT error_type IS NULL AS success, location_name AS location,
+    CASE WHEN error_type IS NULL THEN response_time_ms END AS response_time_ms, error_message AS error, 'result' AS kind FROM verdict
+    UNION ALL SELECT NULL, NULL, NULL, error_message, 'error' FROM verdict WHERE error_type IS NOT NULL
+    UNION ALL SELECT NULL, location_name, NULL, NULL, 'document' FROM verdict WHERE error_type IS NULL""",
+    ),
+)
+def stored_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load dies between its documents and their results and comes again: one result and one document each, and one
+    error for each refusal."""
+    house = Warehouse(spark, scratch_dir(spark, "results"), "api", _places(spark, sf_dir))
+    house.append_bronze(bronze_from_events(read_events(spark, sf_dir)).filter(F.second("api_retrieval_time") < 6))
+
+    def dies(*_args, **_options):
+        raise _Outage
+
+    house.log.publish = dies
+    with contextlib.suppress(_Outage):
+        house.load_landed(_landed(spark, sf_dir), AS_OF, retry_attempt=2)
+    del house.log.publish
+    house.load_landed(_landed(spark, sf_dir), "2024-02-02T00:00:00", retry_attempt=2)
+    none = F.lit(None)
+    results = house.results.read().drop("result_id", "load_date").withColumn("kind", F.lit("result"))
+    log = house.errors.read().select(
+        none.cast("boolean").alias("success"), F.get_json_object("request_params", "$.none").alias("location"),
+        none.cast("double").alias("response_time_ms"), F.col("error_message").alias("error"), F.lit("error").alias("kind"),
+    )
+    new = house.bronze.read().filter(F.col("created_at") == F.lit(AS_OF).cast("timestamp"))
+    docs = new.select(
+        none.cast("boolean").alias("success"), F.col("location_name").alias("location"), none.cast("double").alias("response_time_ms"),
+        none.cast("string").alias("error"), F.lit("document").alias("kind"),
+    )
+    return results.unionByName(log).unionByName(docs)
+
+
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every location that has events, and for each of them one that never reports."""
     names = read_events(spark, sf_dir).select(F.col("event_type").alias("name")).distinct()

@@ -131,9 +131,10 @@ def duplicates(batch: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def error_rows(
-    refused: DataFrame, now: Column, endpoint: str | None = None, retry_attempt: int = 0
+    refused: DataFrame, now: Column, endpoint: str | None = None, retry_attempt: int = 0, keep: list[str] | None = None
 ) -> DataFrame:
-    """Refused documents or hours in the error-log schema."""
+    """Refused documents or hours in the error-log schema; with ``keep`` also those columns and the whole message."""
+    kept = [*keep, F.col("error_message").alias("_whole_message")] if keep else []
 
     def given(name: str, kind: str, other: str | None = None) -> Column:
         found = next((c for c in (other, name) if c in refused.columns), None)
@@ -152,24 +153,50 @@ def error_rows(
         F.lit(retry_attempt).alias("retry_attempt"),
         given("bronze_record_id", "long").alias("bronze_record_id"),
         F.to_date(now).alias("error_date"),
+        *kept,
     )
 
 
-def load_report(accepted: DataFrame, refused: DataFrame, now: Column) -> DataFrame:
-    """One result per document: location and response time, or location and error."""
-    none = F.lit(None)
+def load_log(accepted: DataFrame, refused: DataFrame, now: Column, endpoint: str | None = None, retry_attempt: int = 0) -> DataFrame:
+    """One row per document: location and response time, or location and error with what the error log says."""
+    blank = [f for f in S.LOAD_LOG if f.name not in S.RESULTS.names]
+    stored = accepted.select(
+        F.lit(None).cast("long").alias("result_id"),
+        F.lit(True).alias("success"),
+        F.col("location_name").alias("location"),
+        F.col("landed_time_ms").alias("response_time_ms"),
+        F.lit(None).cast("string").alias("error"),
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in blank],
+        F.to_date(now).alias("load_date"),
+    )
+    errors = error_rows(refused.withColumn("_location", F.col("location_name")), now, endpoint, retry_attempt, ["_location"])
+    failed = errors.select(
+        F.col("error_id").alias("result_id"),
+        F.lit(False).alias("success"),
+        F.col("_location").alias("location"),
+        F.lit(None).cast("double").alias("response_time_ms"),
+        F.col("_whole_message").alias("error"),
+        *[f.name for f in blank],
+        F.col("error_date").alias("load_date"),
+    )
+    return stored.unionByName(failed)
+
+
+def mark_row(now: Column, like: DataFrame) -> DataFrame:
+    """A row of the load log that stands for no document: its load has no results to come."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in S.LOAD_LOG if f.name != "load_date"]
+    return like.sparkSession.range(1).select(*columns, F.to_date(now).alias("load_date"))
+
+
+def results_of(log: DataFrame) -> DataFrame:
+    """A result per document."""
+    return log.filter(F.col("success").isNotNull()).select(*S.RESULTS.names)
 
-    def results(df: DataFrame, success: bool) -> DataFrame:
-        return df.select(
-            none.cast("long").alias("result_id"),
-            F.lit(success).alias("success"),
-            F.col("location_name").alias("location"),
-            (F.col("landed_time_ms") if success else none.cast("double")).alias("response_time_ms"),
-            (none.cast("string") if success else F.col("error_message")).alias("error"),
-            F.to_date(now).alias("load_date"),
-        )
 
-    return results(accepted, True).unionByName(results(refused, False))
+def errors_of(log: DataFrame) -> DataFrame:
+    """The refused documents of all loads in the error-log schema."""
+    named = {"error_id": "result_id", "error_date": "load_date"}
+    return log.filter(~F.col("success")).select(*[F.col(named.get(c, c)).alias(c) for c in S.ERRORS.names])
 
 
 def location_results(places: DataFrame, report: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from stratiform import schemas as S
 from stratiform.functions.time import Bound
+from stratiform.operators.dedup import first_per_key
 from stratiform.operators import guards
 from stratiform.operators.upsert import (
     ACTION,
@@ -35,18 +36,28 @@ BRONZE_ID, SILVER_VERSION = "bronze_id", "silver_version"
 
 
 class ErrorLog:
-    """One table for each job that writes refusals, so that no two write the same; read as one."""
+    """Refused documents, as the log of loads has them, and refused hours, which the silver job writes; read as one."""
 
-    def __init__(self, load: AppendTable, silver: AppendTable):
-        self.load, self.silver = load, silver
+    def __init__(self, log: AppendTable, silver: AppendTable):
+        self.log, self.silver = log, silver
 
     def read(self) -> DataFrame:
-        """Both tables; ids of the second are odd, those of the first even."""
-        both = [(self.load, 0), (self.silver, 1)]
-        tables = [t.read().withColumn("error_id", F.col("error_id") * 2 + k) for t, k in both]
+        """Both; ids of the second are odd, those of the first even."""
+        both = [(bronze.errors_of(self.log.read()), 0), (self.silver.read(), 1)]
+        tables = [t.withColumn("error_id", F.col("error_id") * 2 + k) for t, k in both]
         return tables[0].unionByName(tables[1])
 
 
+class Results:
+    """The result of every document of all loads."""
+
+    def __init__(self, log: AppendTable):
+        self.log = log
+
+    def read(self) -> DataFrame:
+        return bronze.results_of(self.log.read())
+
+
 class Warehouse:
     """Bronze, error log, silver and gold under one root folder that all executors share.
 
@@ -60,12 +71,9 @@ class Warehouse:
         self.requests = requests
         self.bronze = self._table(AppendTable, "bronze/weather_raw", S.BRONZE, "retrieval_date", S.BRONZE_KEY, "record_id")
         self.filters = KeyFilters(spark, f"{self.root}/bronze/key_filters")
-        log = [
-            self._table(AppendTable, f"bronze/api_error_log/{job}", S.ERRORS, "error_date", ["error_type"], "error_id")
-            for job in ("load", "silver")
-        ]
-        self.errors = ErrorLog(*log)
-        self.results = self._table(AppendTable, "bronze/load_results", S.RESULTS, "load_date", ["location"], "result_id")
+        self.log = self._table(AppendTable, "bronze/load_log", S.LOAD_LOG, "load_date", ["location"], "result_id")
+        silver_errors = self._table(AppendTable, "bronze/api_error_log/silver", S.ERRORS, "error_date", ["error_type"], "error_id")
+        self.errors, self.results = ErrorLog(self.log, silver_errors), Results(self.log)
         self.silver = self._table(DayTable, "silver/weather_observations", S.SILVER, "observation_date", S.SILVER_KEY, "id")
         self.gold = self._table(DayTable, "gold/daily_weather_summary", S.GOLD, "observation_date", ["location_name"])
 
@@ -91,7 +99,11 @@ class Warehouse:
         Documents are judged and written once, valid and refused ones apart, without a shuffle of
         their text. The unique key is then checked on the narrow columns of the written batch,
         against the stored keys of those loads that may hold one of its keys; only a batch with duplicates is
-        written again without them. ``gather_days`` shuffles a batch of many days into whole files per day.
+        written again without them.
+
+        Results follow the documents: both are written, bronze is published, then the log of the load. A load that dies in
+        between has documents without results; the next one gives them theirs, and a document that comes again
+        then is that one, not a duplicate. ``gather_days`` shuffles a batch of many days into whole files per day.
         """
         now = moment(as_of)
         with self._scratch("load") as path:
@@ -102,28 +114,60 @@ class Warehouse:
             days = self.bronze.days_of(f"{path}/refused=false")
             staged = Staged(f"{path}/refused=false", found["max_id"], {"rows": found["documents"] - found["refused"]})
             with self._scratch("duplicates") as beside:
+                left = self._without_results()
                 repeated = self._duplicates(batch, days, beside) if days else None
                 accepted = batch
                 if repeated is not None:
                     accepted = batch.join(repeated.select("record_id"), "record_id", "left_anti")
-                    refused = refused.unionByName(repeated)
                     staged = self.bronze.stage(accepted.select(*S.BRONZE.names), numbered=True)
                     staged.max_id = found["max_id"]
-                self.errors.load.append(bronze.error_rows(refused, now, self.endpoint, retry_attempt))
-                results = bronze.load_report(accepted, refused, now)
-                counts = self.results.append(results, {"stored": F.count_if("success")})
+                    if left is not None:
+                        again = first_per_key(repeated.join(left.select(*S.BRONZE_KEY), S.BRONZE_KEY, "left_semi"), S.BRONZE_KEY, [F.col("response_time_ms"), F.col("record_id")])
+                        repeated = repeated.join(again.select("record_id"), "record_id", "left_anti")
+                        left = _with_landed_time(left, again)
+                    refused = refused.unionByName(repeated)
+                stored = accepted.select("location_name", "landed_time_ms")
+                if left is not None:
+                    stored = stored.unionByName(left.select("location_name", "landed_time_ms"))
+                log = bronze.load_log(stored, refused, now, self.endpoint, retry_attempt)
+                staged_log = self._stage_log(log, staged.max_id)  # the documents move when they are published
                 self._publish(staged, accepted)
+                counts = self.log.publish(staged_log)
         return {
             "documents": found["documents"],
             "stored": counts["stored"],
-            "refused": found["documents"] - counts["stored"],
+            "refused": counts["refused"],
             "days": days,
         }
 
     def append_bronze(self, rows: DataFrame) -> dict:
         """Add rows that are known to be valid and new; their ids are assigned on the way."""
-        staged = self.bronze.stage(rows)
-        return self._publish(staged, self.spark.read.schema(S.BRONZE).parquet(staged.path))
+        numbered = rows.sortWithinPartitions("retrieval_date", *S.BRONZE_KEY).withColumn("record_id", fresh_ids(self._last_id()))
+        staged = self.bronze.stage(numbered, numbered=True)
+        found = self._publish(staged, self.spark.read.schema(S.BRONZE).parquet(staged.path))
+        if found.get("rows"):
+            self.log.publish(self._stage_log(bronze.mark_row(F.current_timestamp(), rows), staged.max_id))
+        return found
+
+    def _stage_log(self, rows: DataFrame, max_id: int | None) -> Staged:
+        """The log of a load, written and not published; its ids are above those of the load's documents."""
+        ids = fresh_ids(max(self._last_id(), max_id or 0))
+        numbered = rows.sortWithinPartitions("load_date", "location").withColumn("result_id", ids)
+        counts = {"stored": F.count_if("success"), "refused": F.count_if(~F.col("success"))}
+        return self.log.stage(numbered, counts, numbered=True)
+
+    def _last_id(self) -> int:
+        """The highest id of documents and results. Both are counted together, so that the results of a load have higher
+        ids than its documents, and those of the next load higher ones still."""
+        return max(self.bronze.high_water(), self.log.high_water())
+
+    def _without_results(self) -> DataFrame | None:
+        """Documents of loads that died before their results were written; None if there are none."""
+        last = self.log.high_water()
+        if self.bronze.high_water() <= last:
+            return None
+        rows = self.bronze.read(after=last).select(*S.BRONZE_KEY, F.col("response_time_ms").cast("double").alias("landed_time_ms"))
+        return rows
 
     def _publish(self, staged: Staged, rows: DataFrame) -> dict:
         if staged.metrics.get("rows"):
@@ -144,7 +188,7 @@ class Warehouse:
         if gather_days:
             judged = judged.hint("rebalance", "retrieval_date")
         judged = judged.sortWithinPartitions("refused", "retrieval_date", *S.BRONZE_KEY)
-        judged = judged.withColumn("record_id", fresh_ids(self.bronze.high_water()))
+        judged = judged.withColumn("record_id", fresh_ids(self._last_id()))
         seen = Observation()
         counted = judged.observe(
             seen, F.count("*").alias("documents"), F.count_if("refused").alias("refused"),
@@ -198,11 +242,16 @@ class Warehouse:
             checked = guards.strict(checked).withColumn(guards.REJECT, F.lit(None).cast(guards.NO_REJECT))
         bad = Observation()
         flagged = checked.withColumn("refused", F.col(guards.REJECT).isNotNull())
-        flagged.observe(bad, F.count_if("refused").alias("rejected")).write.partitionBy("refused").parquet(path)
+        bronze_id = F.when(F.col("refused"), F.col("bronze_record_id"))
+        counts = [F.count_if("refused").alias("rejected"), F.min(bronze_id).alias("low"), F.max(bronze_id).alias("high")]
+        flagged.observe(bad, *counts).write.partitionBy("refused").parquet(path)
         valid, refused = (self._judged(checked.schema, f"{path}/refused={kind}") for kind in ("false", "true"))
-        rejected = (observed(bad) or {"rejected": 0})["rejected"]
+        seen = observed(bad) or {"rejected": 0}
+        rejected = seen["rejected"]
         if rejected:
-            logged = self.errors.silver.read().select("bronze_record_id").distinct()
+            # ids of documents grow, so a new batch meets no row group of the log
+            logged = self.errors.silver.read().filter(F.col("bronze_record_id").between(seen["low"], seen["high"]))
+            logged = logged.select("bronze_record_id").distinct()
             new = silver.rejects(refused).join(logged, "bronze_record_id", "left_anti")
             self.errors.silver.append(bronze.error_rows(new, now, self.endpoint))
         return valid.drop(guards.REJECT), rejected
@@ -311,6 +360,12 @@ class Warehouse:
         return bronze.run_summary(places, self.results.read())
 
 
+def _with_landed_time(left: DataFrame, again: DataFrame) -> DataFrame:
+    """Stored documents with the exact time of their response where they have come again."""
+    met = left.join(again.select(*S.BRONZE_KEY, F.col("landed_time_ms").alias("_landed")), S.BRONZE_KEY, "left")
+    return met.withColumn("landed_time_ms", F.coalesce("_landed", "landed_time_ms")).drop("_landed")
+
+
 def _days(day: DataFrame) -> list[str]:
     """The distinct days, which the calendar bounds: partition names, not data."""
     found = day.filter("day IS NOT NULL").distinct().select(F.col("day").cast("string").alias("day"))

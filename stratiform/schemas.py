@@ -105,6 +105,12 @@ RESULTS = T.StructType([
     T.StructField("error", T.StringType()),
     T.StructField("load_date", T.DateType(), False),
 ])
+# results as they are stored: refused documents carry what the error log says of them
+LOAD_LOG = T.StructType([
+    *(f for f in RESULTS if f.name != "load_date"),
+    *(f for f in ERRORS if f.name not in ("error_id", "response_time_ms", "error_date")),
+    T.StructField("load_date", T.DateType(), False),
+])
 
 SILVER = T.StructType(
     [

@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratiform import schemas as S
-from stratiform.plans.warehouse import Warehouse
+from stratiform.plans.warehouse import BRONZE_ID, Warehouse
 
 
 def start_incremental(
@@ -23,6 +24,10 @@ def start_incremental(
     Each micro-batch upserts silver and re-aggregates the full days it touched, not the rows of
     the batch. A batch that runs twice changes nothing: its retrieval times are no longer newer.
     Files count as new however old their times are: copied or restored ones are.
+
+    A stream over the bronze table itself shares its progress with ``Warehouse.run``: it leaves out what silver has
+    taken in, and commits the highest id of its batch with silver. With ``max_files`` a batch may hold parts of loads, so
+    that only leaves out and commits nothing.
     """
     spark = warehouse.spark
     reader = spark.readStream.schema(S.BRONZE).option("maxFileAge", "36500d")
@@ -30,7 +35,16 @@ def start_incremental(
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        warehouse.update_silver(batch.select(*S.BRONZE.names), as_of)
+        rows, marks = batch.select(*S.BRONZE.names), None
+        if source is None:
+            taken = warehouse.silver.version().marks.get(BRONZE_ID, 0)
+            rows = rows.filter(F.col("record_id") > taken)
+            last = rows.agg(F.max("record_id")).first()[0]
+            if last is None:
+                rows = rows.limit(0)
+            elif max_files is None:
+                marks = {BRONZE_ID: last}
+        warehouse.update_silver(rows, as_of, marks=marks)
         warehouse.update_gold(None, as_of)
 
     return (
