@@ -36,6 +36,9 @@ PIECE = 4096
 UNKNOWN = "und"
 #: Belief below which the pipeline takes a language for unknown.
 SURE = 0.5
+#: Times the bits per byte of a language's own training texts beyond which the pipeline takes a text for foreign: the
+#: belief only compares the known languages, and the best of them may be far from the text's own.
+FOREIGN = 3.0
 
 _PLAIN = np.full(256, 0x20, np.uint8)
 _PLAIN[0x80:] = np.arange(0x80, 0x100)
@@ -105,6 +108,8 @@ class Trees:
             self.cost.append((Lookup(gram), shorter))
             self.escape.append((Lookup(known), escape.astype(np.float32)))
         self.cost = [(find, cost.astype(np.float32)) for find, cost in self.cost]
+        #: Bits per byte that each language's training texts take in its own tree.
+        self.usual = (counts * np.where(counts > 0, shorter, 0.0)).sum(axis=0) / np.maximum(counts.sum(axis=0), 1) / np.log(2)
 
     @staticmethod
     def _merged(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,9 +208,10 @@ def _predictor(model):
             length = trees.code_lengths(_letters(data), bounds)
             nearest = length.min(axis=1)
             score = 1 / np.exp(np.maximum(nearest[:, None] - length, -700)).sum(axis=1)
-            names = np.array(trees.languages, object)[length.argmin(axis=1)]
-            lang = pa.array(np.where(lettered, names, UNKNOWN), pa.string())
-            return [lang, np.where(lettered, score, 0.0), nearest / np.maximum(np.diff(bounds), 1) / np.log(2)]
+            best = length.argmin(axis=1)
+            lang = pa.array(np.where(lettered, np.array(trees.languages, object)[best], UNKNOWN), pa.string())
+            bits = nearest / np.maximum(np.diff(bounds), 1) / np.log(2)
+            return [lang, np.where(lettered, score, 0.0), bits, np.asarray(trees.usual, np.float64)[best]]
 
         return compute
 
@@ -213,13 +219,14 @@ def _predictor(model):
 
 
 def predicted(docs: DataFrame, trees: Trees | None, keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (doc_id) of every row of ``docs``, with __lang, __score and __bits_per_byte."""
+    """Columns ``keep`` (doc_id) of every row of ``docs``, with __lang, __score, __bits_per_byte, and the __usual_bits of
+    that language's training texts."""
     keep = keep or ["doc_id"]
     if trees is None:
-        none = [F.lit(UNKNOWN).alias("__lang"), F.lit(0.0).alias("__score"), F.lit(0.0).alias("__bits_per_byte")]
+        none = [F.lit(UNKNOWN).alias("__lang"), F.lit(0.0).alias("__score"), F.lit(0.0).alias("__bits_per_byte"), F.lit(0.0).alias("__usual_bits")]
         return docs.select(*(f"`{c}`" for c in keep), *none)
     model = docs.sparkSession.sparkContext.broadcast(trees)
-    return beside(docs, _predictor(model), {"__lang": "string", "__score": "double", "__bits_per_byte": "double"}, keep)
+    return beside(docs, _predictor(model), {"__lang": "string", "__score": "double", "__bits_per_byte": "double", "__usual_bits": "double"}, keep)
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,6 +241,8 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_known(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the rows whose language is known, with at least SURE of the belief."""
+    """Pipeline stage: the rows whose language is known, with at least SURE of the belief, and that read like it: in its
+    tree a text takes at most FOREIGN times the bits per byte that its training texts take."""
     found = predicted(docs, train(docs), docs.columns)
-    return found.filter((F.col("__lang") != UNKNOWN) & (F.col("__score") >= SURE)).select(*docs.columns)
+    known = (F.col("__lang") != UNKNOWN) & (F.col("__score") >= SURE)
+    return found.filter(known & (F.col("__bits_per_byte") <= FOREIGN * F.col("__usual_bits"))).select(*docs.columns)

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from stratiform.llm.language_id import DEPTH, Trees, _drawn, _fold, _gathered, _letters, codes, keep_known, predicted, train
-from stratiform.llm.tables import in_arrow
+from stratiform.llm.tables import in_arrow, table
 from stratiform.llm.texts import flat
 
 from .conftest import prose
@@ -97,3 +97,27 @@ def test_few_long_documents_are_drawn_in_pieces(spark, make_docs):
     rows = known.join(given, "lang").select("text", "lang", F.xxhash64(F.col("doc_id").cast("string")).alias("__place"), (share / F.col("bytes")).alias("__share"))
     drawn = {x["lang"]: x["n"] for x in in_arrow(rows, _gathered, "lang string, gram long, n long").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     assert set(drawn) == {"en", "fr"} and all(share / 2 < n < 2 * share for n in drawn.values())
+
+
+FOREIGN_TEXTS = [
+    "Это простой русский текст о погоде и о том, как люди живут у реки в старом городе. " * 8,
+    "これは日本語の文章です。川のそばの古い町に住む人々について書かれています。" * 8,
+    " ".join("xkqz wrtpl vbnm dfghj qwrt zxcv kjhg plmk".split() * 12),
+    "Αυτό είναι ένα απλό κείμενο για τον καιρό και τους ανθρώπους. " * 8,
+    "123 456 --- 789 !!! " * 20,
+]
+
+
+def test_stage_drops_foreign_texts_and_keeps_short_clean_ones(spark, make_docs):
+    known = [(k, prose(k, 60), "en") for k in range(150)] + [(200 + k, prose(k, 60, FRENCH), "fr") for k in range(150)]
+    short = [(500 + k, prose(900 + k, 12), None) for k in range(20)] + [(600 + k, prose(900 + k, 12, FRENCH), None) for k in range(20)]
+    foreign = [(800 + k, text, None) for k, text in enumerate(FOREIGN_TEXTS)]
+    kept = {x["doc_id"] for x in keep_known(spark, make_docs(known + short + foreign), "").collect()}
+    assert kept == {i for i, _, _ in known + short}
+
+
+def test_given_documents_read_like_their_language(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = predicted(docs, train(docs), ["doc_id", "lang"]).collect()
+    ratio = sorted(x["__bits_per_byte"] / x["__usual_bits"] for x in rows if x["__lang"] != "und")
+    assert ratio[-1] < 2.4 and len(ratio) > 0.95 * len(rows)

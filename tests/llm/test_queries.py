@@ -8,7 +8,7 @@ from oracle import compare, connect
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from stratiform.llm.decontamination import Matcher, normalised
-from stratiform.llm.language_id import predicted, train
+from stratiform.llm.language_id import FOREIGN, predicted, train
 from stratiform.llm.ngram_join import link_documents
 from stratiform.llm.quality_rules import judged
 from stratiform.llm.queries import QUERIES, SQL
@@ -39,7 +39,7 @@ def test_pipeline_equals_its_stages(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     good = {x["doc_id"] for x in judged(docs, labels).filter("__kept").collect()}
     left = docs.filter(docs.doc_id.isin(good))
-    known = {x["doc_id"] for x in predicted(left, train(left)).collect() if x["__lang"] != "und" and x["__score"] >= 0.5}
+    known = {x["doc_id"] for x in predicted(left, train(left)).collect() if x["__lang"] != "und" and x["__score"] >= 0.5 and x["__bits_per_byte"] <= FOREIGN * x["__usual_bits"]}
     left = left.filter(left.doc_id.isin(known))
     firsts = {x["component_id"] for x in link_documents(left).collect()}
     items = [(x["item_id"], normalised(x["text"])) for x in table(spark, SF, "benchmark").collect()]
