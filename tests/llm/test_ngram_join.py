@@ -101,3 +101,10 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(5, 5)]
     found = {x["node"]: x["root"] for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {k: 0 for k in range(1, 41)} | {100 + k: 100 for k in range(1, 60)}
+
+
+def test_stage_keeps_different_texts_of_one_doc_id(spark, make_docs):
+    rows = [(1, prose(1, 80)), (1, prose(2, 80)), (1, prose(1, 80)), (2, prose(1, 80)), (3, None), (3, None), (3, prose(4, 9))]
+    kept = drop_linked(spark, make_docs(rows), "")
+    found = sorted((x["doc_id"], x["text"] or "") for x in kept.collect())
+    assert found == sorted([(1, prose(1, 80)), (1, prose(2, 80)), (3, ""), (3, prose(4, 9))])
