@@ -19,8 +19,10 @@ Pages are read whole.
 
 from __future__ import annotations
 
+import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from html import unescape
 
 import numpy as np
@@ -33,7 +35,7 @@ from stratiform.llm.tables import beside, table
 
 #: Fixed by HTML: elements without end tag, elements that aren't shown, elements that break lines.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head title script style noscript template textarea select iframe object svg math canvas audio video button".split())
+HIDDEN = frozenset("head title script style noscript template textarea select iframe object svg canvas audio video button".split())
 RAW = frozenset("script style textarea title iframe noscript template xmp noembed noframes".split())
 BLOCKS = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -54,6 +56,8 @@ _ENDS = {
 #: What may stand in a head; any other element or text ends it.
 _IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript template noframes".split())
 LANDMARKS = frozenset("nav header footer aside form main article section dialog fieldset search".split())
+#: Block elements that hold running text; the words of their classes say less than those of elements around them.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figure figcaption table caption tr td th summary details address center".split())
 _KEEPS_P = frozenset("html body table td th caption button object".split())
 
 #: A quoted value may hold < if its quote ends an attribute; otherwise the quote was never closed, and < ends the tag.
@@ -93,6 +97,8 @@ class Pages:
     def read(self, page: int, html: str) -> None:
         root = self._node(-1, ("", ""))
         names, nodes = [""], [root]
+        places: dict[str, list[int]] = defaultdict(list)  # of open elements, by name
+        blocks: list[int] = []  # places of open block elements
         hidden = links = 0
         at = 0
         self.blocks += 1
@@ -113,20 +119,21 @@ class Pages:
             """End the open elements from the k-th on."""
             nonlocal hidden, links
             for name in names[k:]:
+                places[name].pop()
                 hidden -= name in HIDDEN
                 links -= name == "a"
-                self.blocks += name in BLOCKS
+                if name in BLOCKS:
+                    blocks.pop()
+                    self.blocks += 1
             del names[k:], nodes[k:]
 
         def end_implied(which: set[str], holders: frozenset[str] | set[str]) -> None:
-            k = len(names) - 1
-            found = 0
-            while k > 0 and names[k] not in holders:
-                if names[k] in which:
-                    found = k
-                k -= 1
-            if found:
-                close(found)
+            """End the outermost open element of ``which`` within the nearest of ``holders``."""
+            if any(places[w] for w in which):
+                holder = max((places[h][-1] for h in holders if places[h]), default=0)
+                inside = [p[i] for w in which if (i := bisect_right(p := places[w], holder)) < len(p)]
+                if inside:
+                    close(min(inside))
 
         while token := _TOKEN.search(html, at):
             text(html[at : token.start()])
@@ -136,10 +143,8 @@ class Pages:
                 continue
             name = name.lower()
             if token["end"]:
-                k = len(names) - 1
-                while k > 0 and names[k] != name and (name in BLOCKS or names[k] not in BLOCKS):
-                    k -= 1
-                if k > 0 and names[k] == name:
+                k = places[name][-1] if places[name] else 0
+                if k and (name in BLOCKS or k > (blocks[-1] if blocks else 0)):
                     close(k)
                 continue
             if names[-1] == "head" and name not in _IN_HEAD:
@@ -161,6 +166,9 @@ class Pages:
                 said = {key: m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(token["rest"]) if (key := m[1].lower()) in _READ}
                 label = said.pop("data-content", None)
                 words = " ".join(said.values())
+            places[name].append(len(names))
+            if name in BLOCKS:
+                blocks.append(len(names))
             names.append(name)
             nodes.append(self._node(nodes[-1], (name, words), label))
             hidden += name in HIDDEN
@@ -195,12 +203,15 @@ def _kind(key: tuple[str, str] | None) -> int:
     """Which potentials couple a node to its parent: a plain element's, a text's or a named element's."""
     if key is None:
         return 1
-    return 2 if key[1] or key[0] in LANDMARKS else 0
+    return 2 if key[0] in LANDMARKS or (key[1] and key[0] in BLOCKS and key[0] not in RUNNING) else 0
 
 
 def _element_features(key: tuple[str, str]) -> list[str]:
     tag, words = key
-    return [f"tag {tag}", *sorted({f"word {w.lower()}" for w in _WORD.findall(words)})]
+    if tag not in BLOCKS:
+        return [f"tag {tag}"]  # a word in a line doesn't make it another line
+    kind = "block" if tag in RUNNING else "word"
+    return [f"tag {tag}", *sorted({f"{kind} {w.lower()}" for w in _WORD.findall(words)})]
 
 
 class Extractor:
@@ -249,6 +260,8 @@ class Extractor:
         move = self.moves[[_kind(key) for key in pages.key]]
         order = np.argsort(depth, kind="stable")
         levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
+        if 15 * len(levels) > len(own):  # deep and narrow: one node after the other is faster
+            return self._one_by_one(own, parent, move)
 
         up = own.copy()  # log odds of what stands at and below a node
         sent = np.zeros(len(own))
@@ -264,6 +277,24 @@ class Extractor:
             belief[level] += np.log((m[:, 1, 1] * odds + m[:, 0, 1]) / (m[:, 1, 0] * odds + m[:, 0, 0]))
         return 1 / (1 + np.exp(-np.clip(belief, -50, 50)))
 
+    @staticmethod
+    def _one_by_one(own: np.ndarray, parent: np.ndarray, move: np.ndarray) -> np.ndarray:
+        """The same messages node by node; parents stand before their children."""
+        exp, log = math.exp, math.log
+        up, above, sent, moves = own.tolist(), parent.tolist(), [0.0] * len(own), move.tolist()
+        for k in range(len(up) - 1, -1, -1):
+            if above[k] >= 0:
+                odds = exp(min(50.0, max(-50.0, up[k])))
+                (same, gain), (loss, stay) = moves[k]
+                sent[k] = log((stay * odds + loss) / (gain * odds + same))
+                up[above[k]] += sent[k]
+        for k in range(len(up)):
+            if above[k] >= 0:
+                odds = exp(min(50.0, max(-50.0, up[above[k]] - sent[k])))
+                (same, gain), (loss, stay) = moves[k]
+                up[k] += log((stay * odds + gain) / (loss * odds + same))
+        return 1 / (1 + np.exp(-np.clip(np.array(up), -50, 50)))
+
     def extract(self, htmls: list[str | None]) -> list[str]:
         """The main text of each page."""
         pages = Pages()

@@ -9,11 +9,22 @@ from __future__ import annotations
 
 from random import Random
 
-#: Elements that hold articles; the empty one leaves the blocks in the page itself.
+#: Elements that hold articles; the empty one leaves the blocks in the page itself, whose body then is the article.
 HOLDERS = [
     "article", "article", "article", "article", "main", "main", "div class=content", "div id=main-content", "section class=post", "div class=entry-content",
     "div class=article-body", "article class=post", "div role=main", "div itemprop=articleBody", "div class=story",
-    "section id=article", "div class=text", "div class=page-body", "div", "article class=entry", "",
+    "section id=article", "div class=text", "div class=page-body", "div", "article class=entry", *[""] * 8,
+]
+#: Parts inside articles that hold some of their blocks.
+PARTS = [
+    "section", "section", "section", "div", "div", "div", "div class=section", "div class=group", "div class=block", "div class=row", "div class=column",
+    "div class=card", "section class=chapter", "div class=body", "div class=inner", "div class=paragraph", "div class=part", "section id=intro",
+    "div class=answer", "div class=question", "div class=columns", "div class=s", "section class=block", "div id=x", "section id=results",
+]
+#: Words that blocks of an article carry now and then, though things around articles have them too.
+CLASSES = [
+    "lead", "intro", "first", "text", "paragraph", "social", "related", "note", "caption", "has-background", "share", "comment", "footer", "search",
+    "links", "tags", "legal", "notice", "header", "reply", "subscribe",
 ]
 #: Elements around them that say nothing.
 WRAPPERS = ["div", "div class=wrapper", "div id=page", "div class=container", "div class=row", "div class=column", "section", "div class=inner"]
@@ -58,6 +69,9 @@ class _Writer:
         return f'<a href="/x">{self.words(1, 4)}</a>'
 
     def inline(self, text: str) -> str:
+        if self.r.random() < 0.06:  # all of it one element
+            kind = self.r.choice(["a href=/x", "em", "strong", "span class=x", "a href=/y"])
+            return _tag(kind, text)
         kind = self.r.choice(["", "", "", "b", "em", "a", "span", "br", "strong", "code", "i"])
         if kind == "br":
             return text + "<br>" + self.words(1, 30)
@@ -93,7 +107,8 @@ class _Writer:
     def block(self) -> str:
         kind = self.r.random()
         if kind < 0.62:
-            return f"<p>{self.inline(self.words(1, 140))}</p>"
+            spec = "p" if self.r.random() < 0.8 else f"p class={self.r.choice(CLASSES)}"
+            return _tag(spec, self.inline(self.words(1, 140)))
         if kind < 0.72:
             return f"<h{(level := self.r.choice('2234'))}>{self.words(1, 9)}</h{level}>"
         if kind < 0.8:
@@ -104,10 +119,34 @@ class _Writer:
             return f"<figure><img><figcaption>{self.words(2, 15)}</figcaption></figure>"
         if kind < 0.94:
             return f"<table><tr><th>{self.words(1, 3)}</th><td>{self.words(1, 6)}</td></tr></table>"
-        if kind < 0.97:
-            return f"<pre>{self.words(3, 40)}</pre>"
+        if kind < 0.955:
+            return f"<dl><dt>{self.words(1, 3)}</dt><dd>{self.words(2, 30)}</dd></dl>"
+        if kind < 0.965:
+            return f"<details><summary>{self.words(1, 5)}</summary><p>{self.words(3, 60)}</p></details>"
+        if kind < 0.98:
+            inside = self.words(1, 40)
+            return f"<pre>{inside}</pre>" if self.r.random() < 0.5 else f"<pre><code class=x>{inside}</code></pre>"
         return f"<div>{self.words(2, 60)}</div>"
 
+    def parted(self, blocks: list[str], depth: int = 0) -> list[str]:
+        """Some of the blocks put into parts, which may hold parts again."""
+        out = []
+        while blocks:
+            n = self.r.randint(1, max(1, len(blocks)))
+            some, blocks = blocks[:n], blocks[n:]
+            if self.r.random() < 0.7:
+                inside = self.parted(some, depth + 1) if depth < 3 and self.r.random() < 0.4 else some
+                if self.r.random() < 0.3:
+                    inside = [f"<h2>{self.words(1, 6)}</h2>", *inside]
+                if self.r.random() < 0.2:
+                    inside = [_tag(self.r.choice(["div class=column", "div class=col", "div"]), x) for x in inside]
+                    out.append(_tag(self.r.choice(["div class=row", "div class=columns"]), "".join(inside)))
+                else:
+                    out.append(_tag(self.r.choice(PARTS), "".join(inside)))
+            else:
+                out += some
+        return out
+
     def page(self) -> str:
         title = f"<h1>{self.words(2, 14)}</h1>"
         if self.r.random() < 0.15:
@@ -117,19 +156,18 @@ class _Writer:
             if self.r.random() < share:
                 blocks.insert(self.r.randint(0, len(blocks)), make())
         holder = self.r.choice(HOLDERS)
-        if holder:
-            article = _tag(holder, "".join(blocks), "yes")
-        else:
-            article = "".join(b if "data-content" in b else b.replace(">", ' data-content="yes">', 1) for b in blocks)
+        if holder and self.r.random() < 0.45:
+            blocks = self.parted(blocks)
+        article = _tag(holder, "".join(blocks), "yes") if holder else "".join(blocks)
         around = [self.listing, self.box, self.box, self.form, self.comments]
         before = "".join(self.r.choice(around[:3])() for _ in range(self.r.randint(0, 3)))
         after = "".join(self.r.choice(around)() for _ in range(self.r.randint(0, 4)))
         body = before + article + after
         for _ in range(self.r.randint(0, 2)):
             body = _tag(self.r.choice(WRAPPERS), body)
-        return f"<!DOCTYPE html><html><head><title>x</title></head><body>{body}</body></html>"
+        return f"<!DOCTYPE html><html><head><title>x</title></head>{_tag('body', body, None if holder else 'yes')}</html>"
 
 
-def labelled_pages(n: int = 600, seed: int = 7) -> list[str]:
+def labelled_pages(n: int = 1200, seed: int = 7) -> list[str]:
     writer = _Writer(seed)
     return [writer.page() for _ in range(n)]

@@ -3,6 +3,8 @@ from __future__ import annotations
 import html as escapes
 import itertools
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -10,6 +12,8 @@ import pytest
 from stratiform.llm.html_extraction import Extractor, Pages, _kind, main_texts
 from stratiform.llm.labelled_pages import labelled_pages
 
+from .layouts import LAYOUTS
+
 
 @pytest.fixture(scope="module")
 def extractor():
@@ -116,3 +120,30 @@ def test_head_without_end(extractor, start):
     for page in (head + start + line, "<!DOCTYPE html><html>" + head + "\n<script>var t;</script> " + start + line):
         assert extractor.extract([page]) == extractor.extract([page.replace("<link href=x>", "<link href=x></head>")])
     assert extractor.extract([head + f"<article><p>{line}</p></article>"]) == [line]
+
+
+def overlap(got: str, lines: list[str]) -> tuple[float, float]:
+    """Share of the article's words that are found, and share of the found words that are the article's."""
+    found, wanted = Counter(got.split()), Counter(" ".join(lines).split())
+    both = (found & wanted).total()
+    return both / wanted.total(), both / max(1, found.total())
+
+
+def test_layouts_written_by_hand(extractor):
+    assert len(LAYOUTS) >= 30
+    got = extractor.extract([html for html, _ in LAYOUTS.values()])
+    rates = {name: overlap(text, lines) for (name, (_, lines)), text in zip(LAYOUTS.items(), got, strict=True)}
+    assert {name: r for name, r in rates.items() if min(r) < 0.95} == {}
+    exact = sum(text == "\n".join(lines) for (_, lines), text in zip(LAYOUTS.values(), got, strict=True))
+    assert exact >= 0.9 * len(LAYOUTS)
+
+
+@pytest.mark.parametrize("html", [
+    "<div>" * 200_000, "<span>" * 90_000 + "</b>" * 110_000, "<p>" + "<span>" * 60_000 + "</i>" * 60_000, "<ul>" + "<li><b>" * 70_000,
+    "<table>" + "<tr><td>" * 60_000, "<button><p>" + "<div>" * 100_000 + "</p>" * 80_000, "</div>" * 170_000,
+])
+def test_pages_of_a_megabyte_take_seconds(extractor, html):
+    html += "<p>" + "x" * max(0, 1_000_000 - len(html))
+    began = time.time()
+    extractor.extract([html, "<article><p>Some other page.</p></article>"])
+    assert time.time() - began < 5 * 3  # other tests may run beside this one
