@@ -214,15 +214,18 @@ class Warehouse:
 
     # -- bronze -> silver ---------------------------------------------------------------
 
-    def update_silver(self, bronze_rows: DataFrame, as_of: AsOf = None, strict: bool = False, marks: dict | None = None) -> dict:
+    def update_silver(self, bronze_rows: DataFrame, as_of: AsOf = None, strict: bool = False, marks: dict | None = None, mark_batch: bool = False) -> dict:
         """Flatten, deduplicate and upsert; rewrites only days in which something is new or newer.
 
         Documents are parsed once, into hours that are valid or refused; refusals of a document are
-        logged the first time. ``marks`` are committed with the change, or alone if nothing changes.
+        logged the first time. ``marks`` are committed with the change, or alone if nothing changes; with
+        ``mark_batch`` that is the highest bronze id of the rows, which have to be all that are new up to it.
         """
         now = moment(as_of)
         with self._scratch("hours") as path, self._scratch("candidates") as latest:
-            valid, rejected = self._parsed(bronze_rows, path, now, strict)
+            valid, rejected, last = self._parsed(bronze_rows, path, now, strict)
+            if mark_batch and last is not None:
+                marks = {BRONZE_ID: max(last, self.silver.version().marks.get(BRONZE_ID, 0))}
             candidates, days = self._written(silver.latest_per_key(valid), latest)
             changed = self._changed_days(candidates, days)
             result = {"inserted": 0, "updated": 0, "rejected": rejected, "days": changed}
@@ -235,8 +238,8 @@ class Warehouse:
                 self.silver.publish(None, marks)
         return result
 
-    def _parsed(self, bronze_rows: DataFrame, path: str, now: Column, strict: bool) -> tuple[DataFrame, int]:
-        """The valid hours of the documents, and how many others there are; those are logged."""
+    def _parsed(self, bronze_rows: DataFrame, path: str, now: Column, strict: bool) -> tuple[DataFrame, int, int | None]:
+        """The valid hours of the documents, how many others there are (those are logged), and the highest bronze id."""
         checked = silver.checked_observations(bronze_rows)
         if strict:
             checked = guards.strict(checked).withColumn(guards.REJECT, F.lit(None).cast(guards.NO_REJECT))
@@ -244,6 +247,7 @@ class Warehouse:
         flagged = checked.withColumn("refused", F.col(guards.REJECT).isNotNull())
         bronze_id = F.when(F.col("refused"), F.col("bronze_record_id"))
         counts = [F.count_if("refused").alias("rejected"), F.min(bronze_id).alias("low"), F.max(bronze_id).alias("high")]
+        counts.append(F.max("bronze_record_id").alias("last"))
         flagged.observe(bad, *counts).write.partitionBy("refused").parquet(path)
         valid, refused = (self._judged(checked.schema, f"{path}/refused={kind}") for kind in ("false", "true"))
         seen = observed(bad) or {"rejected": 0}
@@ -254,7 +258,7 @@ class Warehouse:
             logged = logged.select("bronze_record_id").distinct()
             new = silver.rejects(refused).join(logged, "bronze_record_id", "left_anti")
             self.errors.silver.append(bronze.error_rows(new, now, self.endpoint))
-        return valid.drop(guards.REJECT), rejected
+        return valid.drop(guards.REJECT), rejected, seen.get("last")
 
     def _written(self, candidates: DataFrame, path: str) -> tuple[DataFrame, list[str]]:
         """The candidates written once, and their days: both the days and the upsert need them."""
@@ -278,7 +282,7 @@ class Warehouse:
         """The mode that never touches a stored hour: conflicts are ignored, refusals logged."""
         now = moment(as_of)
         with self._scratch("hours") as path, self._scratch("candidates") as latest:
-            valid, rejected = self._parsed(bronze_rows, path, now, False)
+            valid, rejected, _ = self._parsed(bronze_rows, path, now, False)
             candidates, days = self._written(silver.latest_per_key(valid), latest)
             new = insert_or_ignore(self.silver.read(days), candidates, S.SILVER_KEY, [F.desc("api_retrieval_time")])
             changed = _days(new.select(F.col("observation_date").alias("day")))

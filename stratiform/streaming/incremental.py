@@ -35,16 +35,10 @@ def start_incremental(
         reader = reader.option("maxFilesPerTrigger", max_files)
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        rows, marks = batch.select(*S.BRONZE.names), None
+        rows = batch.select(*S.BRONZE.names)
         if source is None:
-            taken = warehouse.silver.version().marks.get(BRONZE_ID, 0)
-            rows = rows.filter(F.col("record_id") > taken)
-            last = rows.agg(F.max("record_id")).first()[0]
-            if last is None:
-                rows = rows.limit(0)
-            elif max_files is None:
-                marks = {BRONZE_ID: last}
-        warehouse.update_silver(rows, as_of, marks=marks)
+            rows = rows.filter(F.col("record_id") > warehouse.silver.version().marks.get(BRONZE_ID, 0))
+        warehouse.update_silver(rows, as_of, mark_batch=source is None and max_files is None)
         warehouse.update_gold(None, as_of)
 
     return (
