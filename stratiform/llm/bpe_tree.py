@@ -1,16 +1,20 @@
 """Byte-level BPE encoding and decoding as a tree reduction.
 
-Encodings of byte strings form a monoid: the halves of a string are encoded recursively and joined.
-A join re-encodes a window of tokens around the seam. The window's new tokens may replace the old
-ones as soon as the pairs at both of its edges are stable, that is, encode to themselves when put
-together: an encoding is the right one exactly if all its neighbouring pairs are stable. Otherwise
-the window doubles on the unstable side. Decoding concatenates up the same kind of tree.
+Encodings form a monoid, on two levels. A long text is cut in halves at any character; the halves are cut into matches of
+the pattern recursively and joined by matching again in a window around the seam. A match is cut in halves at any
+byte; the halves are encoded recursively and joined by encoding again a window of tokens around the seam. Windows grow
+until what is outside provably stands:
 
-A text is cut by the pattern first; its matches are joined without a window, as no merge crosses
-them. Encodings of short matches are kept in a bounded table, since most matches occur again.
+* matches: on the left, when the match before the window comes out again with the text behind it; on the right, when
+  a match begins where one of the right half begins and does so before the window's end can matter. The pattern
+  looks at nothing before the place where it matches, so from there on both go the same way.
+* tokens: when the pairs at both edges of the window are stable, that is, encode to themselves when put together. An
+  encoding is the right one exactly if all its neighbouring pairs are stable.
 
-Defined cases. Null text: empty, no ids. Repeated rows: equal results. Very long texts are read in
-runs of matches, and very long matches are what the tree is for.
+Small strings and windows are remembered in bounded tables, as most occur again. Decoding concatenates up the same kind of tree.
+
+Defined cases. Null text: empty, no ids. Empty table: no rows. Repeated rows: equal results. Extra columns are not read. Very
+long texts and matches are what the trees are for.
 """
 
 from __future__ import annotations
@@ -19,7 +23,6 @@ import base64
 import hashlib
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -30,12 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from stratiform.llm.tables import beside, table
 
 RANKS = "byte_bpe_50k.tiktoken"
-#: Byte strings up to this length are merged directly.
-LEAF = 24
+#: Byte strings up to this length are merged directly, and remembered up to the other.
+LEAF = 6
+KEPT = 12
+#: Texts up to this many characters are matched at once.
+LEAF_TEXT = 4096
 #: Matches up to this many characters are remembered, and this many of them.
 SHORT = 40
 REMEMBERED = 300_000
-RUN = 200_000
 
 
 class TreeBpe:
@@ -46,11 +51,13 @@ class TreeBpe:
         self.spelled = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.spelled[rank] = token
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, list[int] | None] = {}
+        self.held: dict[bytes, list[int]] = {}
+        self.joins = 0
 
     def merged(self, data: bytes) -> list[int]:
         """Merge the neighbours of lowest rank, leftmost first, until none merges."""
-        if len(data) > 4 * LEAF:
+        if len(data) > 96:
             return self._merged_long(data)
         ranks = self.ranks
         parts = [data[i : i + 1] for i in range(len(data))]
@@ -89,36 +96,65 @@ class TreeBpe:
                 heappush(heap, (r, before[i]))
         return [ranks[data[i : end[i]]] for i in range(n) if end[i]]
 
-    def stable(self, a: int, b: int) -> bool:
-        found = self.pairs.get((a, b))
+    def _window(self, data: bytes) -> list[int]:
+        """``merged``, remembered if it is short."""
+        found = self.held.get(data)
         if found is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.merged(self.spelled[a] + self.spelled[b]) == [a, b]
+            found = self.merged(data)
+            if len(data) <= KEPT:
+                self._keep(self.held, data, found)
+        return found
+
+    @staticmethod
+    def _keep(kept: dict, key, value) -> None:
+        if len(kept) >= REMEMBERED:
+            kept.clear()
+        kept[key] = value
+
+    def stable(self, a: int, b: int) -> bool:
+        return self._pair(a, b) is None
+
+    def _pair(self, a: int, b: int) -> list[int] | None:
+        """What two tokens become when they are put together; None if they stay."""
+        key = a << 32 | b
+        found = self.pairs.get(key, False)
+        if found is False:
+            found = self._window(self.spelled[a] + self.spelled[b])
+            found = None if found == [a, b] else found
+            self._keep(self.pairs, key, found)
         return found
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of two encoded strings put together."""
         if not left or not right:
             return left + right
-        if self.stable(left[-1], right[0]):
+        window = self._pair(left[-1], right[0])
+        if window is None:
             return left + right
         i = j = 1
         while True:
-            window = self.merged(b"".join(self.spelled[t] for t in (*left[-i:], *right[:j])))
             calm_left = i >= len(left) or self.stable(left[-i - 1], window[0])
             calm_right = j >= len(right) or self.stable(window[-1], right[j])
             if calm_left and calm_right:
                 return left[: max(0, len(left) - i)] + window + right[j:]
             i = i if calm_left else min(2 * i, len(left))
             j = j if calm_right else min(2 * j, len(right))
+            window = self._window(b"".join([self.spelled[t] for t in (*left[-i:], *right[:j])]))
 
     def tree(self, data: bytes) -> list[int]:
         """Encode the halves and join them."""
+        found = self.held.get(data)
+        if found is not None:
+            return found
         if len(data) <= LEAF:
-            return self.merged(data)
-        half = len(data) // 2
-        return self.join(self.tree(data[:half]), self.tree(data[half:]))
+            out = self.merged(data)
+        else:
+            half = len(data) // 2
+            self.joins += 1
+            out = self.join(self.tree(data[:half]), self.tree(data[half:]))
+        if len(data) <= KEPT:
+            self._keep(self.held, data, out)
+        return out
 
     def encode(self, data: bytes) -> list[int]:
         """The ids of one match of the pattern; a match that is a token is that token."""
@@ -139,6 +175,7 @@ class TextCoder:
         self.bpe = TreeBpe(ranks)
         self.find = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        self.joins = 0
 
     def _coded(self, match: str) -> bytes:
         out = np.asarray(self.bpe.encode(match.encode()), "<u4").tobytes()
@@ -149,17 +186,49 @@ class TextCoder:
         return out
 
     def encode(self, text: str) -> bytes:
-        if len(text) <= RUN:
-            return self._joined(self.find.findall(text))
-        matches = (m[0] for m in self.find.finditer(text))
-        runs = []
-        while run := list(islice(matches, RUN)):
-            runs.append(self._joined(run))
-        return b"".join(runs)
-
-    def _joined(self, matches: list[str]) -> bytes:
         known = self.known
-        return b"".join([known.get(m) or self._coded(m) for m in matches])
+        return b"".join([known.get(m) or self._coded(m) for m in self.matches(text)])
+
+    def matches(self, text: str) -> list[str]:
+        """The pattern's matches in a text."""
+        if len(text) <= LEAF_TEXT:
+            return self.find.findall(text)
+        parts = [self.find.findall(text[a : a + LEAF_TEXT]) for a in range(0, len(text), LEAF_TEXT)]
+        while len(parts) > 1:  # up the tree, level by level
+            parts = [self.joined(*parts[k : k + 2]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
+        return parts[0]
+
+    def joined(self, left: list[str], right: list[str]) -> list[str]:
+        """The matches of two matched strings put together; the lists given are used up."""
+        if not left or not right:
+            return left or right
+        self.joins += 1
+        i = j = 4
+        while True:
+            i, j = min(i, len(left)), min(j, len(right))
+            before = left[-i - 1] if i < len(left) else ""
+            window = before + "".join(left[-i:]) + "".join(right[:j])
+            found = self.find.findall(window)
+            if before and (not found or found[0] != before):
+                i *= 2
+                continue
+            # where the right half's matches begin in the window, and which of them
+            place, begins = len(before) + sum(map(len, left[-i:])), {}
+            for k in range(j):
+                begins[place] = k
+                place += len(right[k])
+            sure = len(found) if j == len(right) else len(found) - 2  # the window's end may matter for the last ones
+            at = 0
+            for n in range(sure + 1):
+                if n >= bool(before) and at in begins:
+                    left[-i:] = found[1 if before else 0 : n]
+                    left.extend(right[begins[at] :])
+                    return left
+                at += len(found[n]) if n < len(found) else 0
+            if j == len(right):  # all of the right half has been matched again
+                left[-i:] = found[1 if before else 0 :]
+                return left
+            j *= 2
 
     def decode(self, ids: bytes) -> bytes:
         return self.bpe.decode(np.frombuffer(ids, "<u4").tolist())

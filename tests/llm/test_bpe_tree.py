@@ -10,7 +10,9 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from stratiform.llm import bpe_tree
 from stratiform.llm.bpe_tree import RANKS, coder, encode, round_trip
+from stratiform.llm.tables import table
 
 PATH = public_tokenizers.path(RANKS)
 
@@ -60,3 +62,35 @@ def test_awkward_rows(spark, awkward, make_docs, theirs):
     assert round_trip(make_docs([])).count() == 0
     lists = {x["doc_id"]: x["ids"] for x in encode(spark, awkward, "").collect()}
     assert lists[3] == [] and lists[7] == theirs.encode_ordinary("one two three")
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    text=st.one_of(st.text(max_size=120), st.text(alphabet="ab' \n1.!slvre", max_size=150), st.text(alphabet="a \n\t", max_size=80)),
+    leaf=st.integers(1, 9),
+)
+def test_matches_join_at_any_cut(text, leaf):
+    code = coder(PATH, public_tokenizers.PATTERN)
+    whole = code.find.findall(text)
+    for k in range(len(text) + 1):
+        assert code.joined(code.find.findall(text[:k]), code.find.findall(text[k:])) == whole
+    old, bpe_tree.LEAF_TEXT = bpe_tree.LEAF_TEXT, leaf
+    try:
+        assert code.matches(text) == whole
+    finally:
+        bpe_tree.LEAF_TEXT = old
+
+
+@pytest.mark.parametrize("text", ["don'" + "t", "x'l" + "l y", " " * 9000 + "x", "we'" * 3000 + "ve", "a" * 9000, "\n" * 8191 + " b", "'" * 5000 + "re"])
+def test_awkward_seams(theirs, text):
+    assert ours(text) == theirs.encode_ordinary(text)
+
+
+def test_trees_run_on_the_given_documents(spark, theirs):
+    texts = [x["text"] or "" for x in table(spark, "/root/testdata/sf0.01", "documents").collect()]
+    bpe_tree.coder.cache_clear()
+    code = coder(PATH, public_tokenizers.PATTERN)
+    unknown = {m for t in texts for m in code.find.findall(t) if m.encode() not in code.bpe.ranks}
+    for text in texts:
+        assert np.frombuffer(code.encode(text), "<u4").tolist() == theirs.encode_ordinary(text)
+    assert code.joins > 100 and code.bpe.joins > len(unknown) / 2
