@@ -389,10 +389,7 @@ def drop_linked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stay, and so does every other row that links with nothing. Of rows with one doc_id that stays, equal texts
     count once and different ones all stay: nothing tells which of them is the document."""
     found = link_documents(docs)
-    kept = found.groupBy("doc_id").agg(F.count("*").alias("__rows"), F.max(F.col("doc_id") == F.col("component_id")).alias("__kept"))
-    kept = kept.filter("__kept").select("doc_id", "__rows")
-    known = docs.filter("doc_id is not null")
-    single = known.join(kept.filter("__rows = 1"), "doc_id", "left_semi")
-    shared = known.join(kept.filter("__rows > 1"), "doc_id", "left_semi")  # only these texts are compared
-    shared = shared.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"])
-    return docs.filter("doc_id is null").unionByName(single).unionByName(shared.drop("__text")).select(*docs.columns)
+    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
+    rows = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").withColumn("__text", F.xxhash64("text"))
+    one = rows.dropDuplicates(["doc_id", "__text"])  # dealt by doc_id already
+    return docs.filter("doc_id is null").unionByName(one.drop("__text")).select(*docs.columns)
