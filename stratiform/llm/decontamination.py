@@ -9,7 +9,7 @@ Texts are compared as lower-case ASCII letters, digits and non-ASCII bytes, one
 Items are read in blocks of at most BLOCK_BYTES, whatever their number; each block is broadcast and
 passes over the documents in turn, without a shuffle.
 
-Defined cases. Null or empty text: clean. Items that are null or without words: never found. Items
+Defined cases. Kept columns may have any name that doesn't begin with __items or __distances. Null or empty text: clean. Items that are null or without words: never found. Items
 under SHORT bytes take no errors and have to stand between word bounds; unless ``quoted`` is set, as
 the query and the pipeline do, they only match a whole document. Repeated items and
 rows: the same result for each. Documents are searched whole; overlapping stretches are verified

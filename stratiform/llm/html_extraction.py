@@ -11,7 +11,7 @@ Messages run for all pages of a slice at once, one depth after the other.
 Text inside a block element becomes a line: references decoded, white space (also from <br>) one
 space, trimmed. Kept lines are joined in page order by a line feed.
 
-Defined cases. Null or empty html, or no content found: empty text, 0 characters. Broken markup is
+Defined cases. Null or empty html, or no content found: empty text, 0 characters. Other columns are not read. Broken markup is
 read as browsers mostly do: open paragraphs and list items end where the next begins, a head where
 something begins that can't stand in it, stray end tags are passed over, a script or style that never ends takes the rest. Repeated rows: equal results.
 Pages are read whole.

@@ -12,7 +12,8 @@ Known licences are a small table. It is broadcast only if it has at most BROADCA
 by shuffle beyond that.
 
 Defined cases. Null text, or text without words: no digest, no licence. Several licences with one
-form: the first by name. Repeated rows: equal results. Extra columns aren't looked at.
+form: the first by name. Repeated rows: equal results. Extra columns aren't looked at. Very long texts are
+reduced whole.
 """
 
 from __future__ import annotations

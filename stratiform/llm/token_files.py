@@ -15,7 +15,8 @@ Tasks write each file under a name of its own and move it into place, so tasks m
 
 Defined cases. The string of a special token in a text gives that token's id, as the library does by
 itself. Null text is empty: its only id is the end. A null doc_id comes first. Repeated
-rows are kept, in the order of their texts' hashes. An empty table gives no files and no rows.
+rows are kept, in the order of their texts' hashes. An empty table gives no files and no rows. A very long text
+makes a larger file. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ moved into place under fixed names, so a task that runs again writes the same ar
 
 Defined cases. Null html: an empty payload. Null url: a record without a target. Null page_id: never
 the response of a group that has another; kept as null. Rows with the same page_id and payload are
-all responses if it is the largest. An empty table gives no archive and no rows.
+all responses if it is the largest. An empty table gives no archive and no rows. A very long payload makes a larger
+archive. Other columns are not read. The table has no time of retrieval, so every record carries the date given, which
+is the first day of 1970 unless another is.
 """
 
 from __future__ import annotations
