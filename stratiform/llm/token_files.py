@@ -21,7 +21,9 @@ makes a larger file. Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from array import array
@@ -37,7 +39,7 @@ from tokenizers import Tokenizer
 
 from stratiform.llm.files import write_file
 from stratiform.llm.tables import in_arrow, stored, table
-from stratiform.llm.texts import flat, slices
+from stratiform.llm.texts import LOWER, SPACE, flat, slices, words
 from stratiform.session import scratch_dir
 
 TOKENIZER = "word_bpe_49k.json"
@@ -45,8 +47,30 @@ END = 1
 MAGIC = b"TOK1"
 #: Ids in a file, about; a document is never cut.
 FILE_IDS = 4_000_000
-#: Words remembered by a Python worker: some 200 bytes each.
-REMEMBERED = 1_600_000
+#: Pieces remembered by a Python worker: some 200 bytes each.
+REMEMBERED = 1_200_000
+#: New pieces that are encoded in one call.
+TOGETHER = 256
+#: Letters whose lower case and normal form are plain (ASCII and Latin-1, in UTF-8), or ASCII signs.
+_LETTERS, _SIGNS = rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf]|\xc3\x9f)", rb"[!-/:-@\[-`{-~]"
+PIECE = re.compile(_LETTERS + b"+|" + _SIGNS + b"+").fullmatch
+WORD = re.compile(_LETTERS + b"*" + _SIGNS + b"*").fullmatch
+_LETTER, _SIGN = 1, 2
+#: The kind of each byte; the bytes of other letters begin with one of kind 0.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3, *range(0x80, 0xC0)]] = _LETTER
+_KIND[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = _SIGN
+#: What a tokenizer has to do with text for that; it may have no token of its own that such words hold.
+CUTTING = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
 HEADER = "<4sQQQQ"
 
 #: For each control byte the lengths of its four ranks.
@@ -84,35 +108,102 @@ def unpacked(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 class WordCoder:
     """Ids by the tokenizers library, for tokenizers that drop white space and never merge across it:
-    words are encoded by themselves, and those seen before are looked up. No special token may hold a
-    space. If ``plain``, the strings of special tokens are ordinary text; the library takes them for the tokens."""
+    words are encoded by themselves, and what was seen before is looked up. No special token may hold
+    white space. If ``plain``, the strings of special tokens are ordinary text; the library takes them for the tokens.
+
+    Tokenizers that lower-case and cut like ``CUTTING`` encode letters and the signs after them apart, whatever
+    stands beside them. There a word that is letters and then signs counts as two pieces, its letters in lower case, and
+    new pieces are encoded many at a time: each of them ends with the one id that has the suffix of a word's end."""
 
     def __init__(self, path: str, plain: bool = True):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
         #: Ids take two bytes where the vocabulary allows it.
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.known: dict[str, bytes] = {}
+        made, suffix = json.loads(self.tokenizer.to_str()), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        own = [WORD(token["content"].lower().encode()) for token in made["added_tokens"]]
+        self.cuts = bool(suffix) and {k: made[k] for k in CUTTING} == CUTTING and not any(own)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(1 + max(vocabulary.values(), default=0), bool)
+        if self.cuts:
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as an array of ``kind``."""
+        data, bounds = self.encoded(pa.array(texts, pa.string()))
+        data, bounds = data.tobytes(), (bounds * np.dtype(self.kind).itemsize).tolist()
+        return [data[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def encoded(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each closed by ``end`` if given, and where each text begins and ends (n + 1 bounds)."""
+        data, at, bounds = self._pieces(*flat(texts))
+        at = pa.array(at, pa.int32()).buffers()[1]
+        pieces = pa.Array.from_buffers(pa.binary(), int(bounds[-1]), [None, at, pa.py_buffer(data)]).dictionary_encode()
+        table, sizes = self._table(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        which = pieces.indices.to_numpy()
+        if end is not None:  # one more piece
+            table, sizes = np.append(table, np.array([end], self.kind)), np.append(sizes, 1)
+            which, bounds = np.insert(which, bounds[1:], len(sizes) - 1), bounds + np.arange(len(bounds))
+        n = sizes[which]
+        to = np.concatenate([[0], np.cumsum(n)])
+        begin = np.cumsum(sizes) - sizes
+        return table[np.repeat(begin[which] - to[:-1], n) + np.arange(to[-1])], to[bounds]
+
+    def _pieces(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all words, where each piece begins and the last ends, and for each text the index of its first piece."""
+        starts, ends, first = words(data, bounds)
+        data = data[~SPACE[data]]
+        at = np.concatenate([[0], np.cumsum(ends - starts)])
+        if not self.cuts or not len(data):
+            return data, at, first
+        kind = _KIND[data]
+        lead = np.flatnonzero(data == 0xC3)
+        after = data[lead + 1]
+        kind[lead[(after == 0x97) | (after == 0xB7)]] = 0  # the signs of multiplication and division
+        turns = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+        turns = turns[at[np.searchsorted(at, turns)] != turns]  # within a word
+        odd = np.zeros(len(at) - 1, bool)
+        wrong = np.concatenate([turns[(kind[turns] == _LETTER) & (kind[turns - 1] == _SIGN)], np.flatnonzero(kind == 0)])
+        odd[np.searchsorted(at, wrong, "right") - 1] = True
+        turns = turns[~odd[np.searchsorted(at, turns, "right") - 1]]
+        low = LOWER[data]
+        low[lead[(after >= 0x80) & (after <= 0x9E)] + 1] += 0x20
+        data = np.where(np.repeat(odd, np.diff(at)), data, low)
+        return data, np.insert(at, np.searchsorted(at, turns), turns), first + np.searchsorted(turns, at[first])
+
+    def _table(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, and how many each of them has."""
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        cut = [text.replace("\n", " ").split(" ") for text in texts]
-        found = [list(map(known.get, words)) for words in cut]
-        gaps, new = [], set()
-        for words, line in zip(cut, found, strict=True):
-            if places := [i for i, ids in enumerate(line) if ids is None]:
-                gaps.append((words, line, places))
-                new.update([words[i] for i in places])
-        missing = list(new)
-        for word, made in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-            known[word] = array(self.kind, made.ids).tobytes()
-        for words, line, places in gaps:
-            for i in places:
-                line[i] = known[words[i]]
-        return [b"".join(line) for line in found]
+        found = list(map(self.known.get, pieces))
+        if places := [i for i, ids in enumerate(found) if ids is None]:
+            new = [pieces[i] for i in places]
+            plain = list(map(bool, map(PIECE, new))) if self.cuts else [False] * len(new)
+            self._learn([piece for piece, x in zip(new, plain, strict=True) if x])
+            self._learn_each([piece for piece, x in zip(new, plain, strict=True) if not x])
+            for i, piece in zip(places, new, strict=True):
+                found[i] = self.known[piece]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // np.dtype(self.kind).itemsize
+        return np.frombuffer(b"".join(found), self.kind), sizes
+
+    def _learn_each(self, pieces: list[bytes]) -> None:
+        texts = [piece.decode() for piece in pieces]
+        for piece, made in zip(pieces, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            self.known[piece] = array(self.kind, made.ids).tobytes()
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        """The same for pieces that are letters or signs only."""
+        width = np.dtype(self.kind).itemsize
+        for i in range(0, len(pieces), TOGETHER):
+            some = pieces[i : i + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, self.kind)
+            ends = ((np.flatnonzero(self.closes[ids]) + 1) * width).tolist()
+            if len(ends) != len(some) or ends[-1] != ids.nbytes:  # a vocabulary without some byte's last form
+                self._learn_each(some)
+                continue
+            raw = ids.tobytes()
+            self.known.update(zip(some, [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
 
 
 @lru_cache(maxsize=2)
@@ -127,14 +218,15 @@ def _ids(path: str, end: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(path, False)
-        last = array(code.kind, [end]).tobytes()
         total = np.zeros(0, np.int64)
         names = ["doc_id", "__ids", "__counts"]
         for part in slices(batches, "text"):
-            ids = pa.array([x + last for x in code.encode([t or "" for t in part.column("text").to_pylist()])], pa.binary())
-            found = np.bincount(flat(ids)[0].view(code.kind), minlength=len(total))
+            data, bounds = code.encoded(part.column("text"), end)
+            found = np.bincount(data, minlength=len(total))
             found[: len(total)] += total
             total = found
+            bounds = pa.array(bounds * data.itemsize, pa.int32())  # refuses what doesn't fit
+            ids = pa.Array.from_buffers(pa.binary(), len(part), [None, bounds.buffers()[1], pa.py_buffer(data)])
             yield pa.record_batch([part.column("doc_id"), ids, pa.nulls(len(ids), pa.binary())], names=names)
         if len(total):
             none = pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary())

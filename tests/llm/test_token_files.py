@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -95,3 +96,64 @@ def test_files_hold_special_tokens(spark, make_docs, unchanged):
     ids = [np.array([*unchanged(text), 1], "<u4") for text in texts]
     found = sorted((x["doc_id"], x["n_tokens"], x["ids_crc32"]) for x in read_tokens(spark, folder).collect())
     assert found == [(k, len(x), zlib.crc32(x.tobytes())) for k, x in enumerate(ids)]
+
+
+class Counted:
+    """A tokenizer that notes how many texts it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.texts = inner, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.inner.encode_batch_fast(texts, **options)
+
+
+def test_new_words_share_their_pieces_and_calls(unchanged):
+    code = token_files.WordCoder(PATH, False)
+    code.tokenizer = Counted(code.tokenizer)
+    letters = [a + b + c for a in "abcdefghij" for b in "klmnop" for c in "uvwxyzéß"]
+    text = " ".join(word + sign for word in letters for sign in [",", "!!", "."]) + "\n" + " ".join(letters).title()
+    assert np.frombuffer(code.encode([text])[0], code.kind).tolist() == unchanged(text)
+    assert len(set(text.split())) == 4 * 480 and code.tokenizer.texts < 20
+
+
+_PARTS = ["Ã", "×", "÷", "ÿ", "À", "ß", "Ÿ", "ª", "µ", "İ", "Å", " ", "́", "中", "\U0001f600"]
+_PARTS += ["'s", "'LL", "'", ".", "!!", "</w>", "_", "~", "1", "Ab", "z", "<|endoftext|>", "<|ENDOFTEXT|>", "\x00", "\x7f", "\x85", " ", "\t", "\n"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_PARTS), max_size=12).map("".join), max_size=4))
+def test_pieces_as_in_the_unchanged_library(unchanged, texts):
+    code = coder(PATH, False)
+    code.known.clear()
+    assert [np.frombuffer(x, code.kind).tolist() for x in code.encode(texts)] == [unchanged(text) for text in texts]
+
+
+def test_every_character_beside_letters_and_signs(unchanged):
+    code = token_files.WordCoder(PATH, False)
+    odd = [chr(c) for c in [*range(0x250), *range(0x300, 0x310), *range(0x2000, 0x2070), *range(0xFF00, 0xFF60)]]
+    texts = [text for c in odd for text in (c, f"Ab{c}", f"{c}Ab", f"A{c}b.", f".{c}", f"ab.{c} ab")]
+    for text, ids in zip(texts, code.encode(texts), strict=True):
+        assert np.frombuffer(ids, code.kind).tolist() == unchanged(text), ascii(text)
+
+
+@pytest.mark.parametrize("change", ["case", "suffix", "added", "last"])
+def test_other_tokenizers_encode_word_by_word(tmp_path, change):
+    with open(PATH, encoding="utf-8") as file:
+        made = json.load(file)
+    if change == "case":
+        made["normalizer"]["normalizers"].pop()
+    elif change == "suffix":
+        made["model"]["end_of_word_suffix"] = None
+    elif change == "added":
+        made["added_tokens"].append({**made["added_tokens"][0], "id": 49408, "content": "The"})
+    else:  # signs lose their last forms
+        made["model"]["vocab"] = {k if k != ".</w>" else "gone": v for k, v in made["model"]["vocab"].items()}
+        made["model"]["merges"] = []
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(made), encoding="utf-8")
+    library, code = Tokenizer.from_file(str(path)), token_files.WordCoder(str(path), False)
+    assert code.cuts == (change == "last")
+    texts = ["The THE the. Été . x.", "", "Ab.c <|endoftext|>"]
+    assert [np.frombuffer(x, code.kind).tolist() for x in code.encode(texts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
