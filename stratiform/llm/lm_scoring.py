@@ -20,7 +20,7 @@ over CHUNK_BYTES makes a larger chunk. Extra columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm.tables import in_arrow, ship, stored, table
-from stratiform.llm.texts import LOWER, SPACE, Lookup, flat, slices, sums, words
+from stratiform.llm.texts import LOWER, SLICE_BYTES, SPACE, Lookup, flat, hash_spans, slices, sums, words
 
 DEPTH = 4
 FOLDS, HELD_OUT = 7, 2
@@ -48,10 +48,14 @@ def codes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = np.concatenate([[0], np.cumsum(size)])
     line = np.full(at[-1] + DEPTH * rows, MARK, np.uint8)
     line[np.arange(len(data)) + np.repeat(np.arange(rows) * (DEPTH + 1) + DEPTH, size - 1)] = LOWER[data]
-    place = np.arange(at[-1]) + np.repeat((np.arange(rows) + 1) * DEPTH, size)
-    out = line[place].astype(np.uint64)
-    for k in range(1, DEPTH + 1):
-        out |= line[place - k].astype(np.uint64) << np.uint64(8 * k)
+    out = np.zeros(len(line) - DEPTH if rows else 0, np.uint64)
+    for k in range(DEPTH, -1, -1):
+        out <<= np.uint64(8)
+        out |= line[DEPTH - k : len(line) - k]
+    if rows > 1:  # not those that end in the marks between two rows
+        inner = np.ones(len(out), bool)
+        inner[((at[1:-1] + np.arange(rows - 1) * DEPTH)[:, None] + np.arange(DEPTH)).ravel()] = False
+        out = out[inner]
     return out, at
 
 
@@ -67,36 +71,48 @@ def tokens(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of each chunk in this task, compressed."""
-    held: dict[int, list[pa.RecordBatch]] = {}
+    held: list[pa.RecordBatch] = []
     size = 0
 
     def flush() -> pa.RecordBatch:
+        whole = pa.concat_batches(held)
+        held.clear()
+        chunk, rows = whole.column("chunk").to_numpy(), whole.select(["doc_id", "held_out", "text"])
+        order = np.argsort(chunk, kind="stable")
+        found, starts = np.unique(chunk[order], return_index=True)
         packs = []
-        for parts in held.values():
+        for own in np.split(order, starts[1:]):
             sink = pa.BufferOutputStream()
-            whole = pa.Table.from_batches(parts).combine_chunks()
-            with pa.ipc.new_stream(sink, whole.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(whole)
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(rows.take(pa.array(own)))
             packs.append(sink.getvalue().to_pybytes())
-        return pa.record_batch([pa.array(list(held), pa.int64()), pa.array(packs, pa.binary())], names=["chunk", "pack"])
+        return pa.record_batch([pa.array(found, pa.int64()), pa.array(packs, pa.binary())], names=["chunk", "pack"])
 
     for part in slices(batches, "text"):
-        chunk = part.column("chunk").to_numpy()
-        rows = part.select(["doc_id", "held_out", "text"])
-        for k in np.unique(chunk):
-            held.setdefault(int(k), []).append(rows.filter(pa.array(chunk == k)))
-        size += part.nbytes
-        if size > PACK_BYTES:
+        if held and size + part.nbytes > PACK_BYTES:
             yield flush()
-            held, size = {}, 0
+            size = 0
             pa.default_memory_pool().release_unused()
+        held.append(part)
+        size += part.nbytes
     if held:
         yield flush()
 
 
 def _rows(packs: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The rows of a chunk in slices of about SLICE_BYTES, however many packs they lie in: a pack is as small as
+    the corpus is large, and what is done for each slice takes its time."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for pack in packs.column("pack"):
-        yield from slices(pa.ipc.open_stream(pack.as_buffer()), "text")
+        for part in slices(pa.ipc.open_stream(pack.as_buffer()), "text"):
+            if held and size + part.nbytes > SLICE_BYTES:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(part)
+            size += part.nbytes
+    if held:
+        yield pa.concat_batches(held)
 
 
 def _asked(packs: pa.Table) -> pa.Table:
@@ -172,12 +188,36 @@ def log_probabilities(grams: DataFrame) -> DataFrame:
     return found.select("code", "direct")
 
 
+def _finder(listed: pa.Array) -> Callable[[pa.Array], np.ndarray]:
+    """The function that finds the places of words in ``listed``, which has all of them: by their hashes, unless
+    two listed words share one or one is longer than a slice."""
+
+    def by_index(word: pa.Array) -> np.ndarray:
+        return pc.index_in(word, value_set=listed).to_numpy(zero_copy_only=False).astype(np.int64)
+
+    def hashes(word: pa.Array) -> np.ndarray:
+        found = [np.zeros(0, np.uint64)]
+        for part in slices([pa.record_batch([word], names=["word"])], "word"):
+            data, bounds = flat(part.column("word"))
+            found.append(hash_spans(data, bounds[:-1], bounds[1:]))
+        return np.concatenate(found)
+
+    if (pc.max(pc.binary_length(listed)).as_py() or 0) > SLICE_BYTES:
+        return by_index
+    known = hashes(listed)
+    order = np.argsort(known)
+    known = known[order]
+    if (known[1:] == known[:-1]).any():
+        return by_index
+    return lambda word: order[np.searchsorted(known, hashes(word))]
+
+
 def _scorer(total: int, different: int, train_docs: int):
     """Scores of a chunk's documents from the answers to what it asked."""
 
     def score(packs: pa.Table, answers: pa.Table) -> pa.Table:
         of_words = answers.filter(pc.is_valid(answers.column("word")))
-        counts, of_words = of_words.column("c").to_numpy(), of_words.column("word").combine_chunks()
+        counts, place = of_words.column("c").to_numpy(), _finder(of_words.column("word").combine_chunks())
         of_grams = answers.filter(pc.is_valid(answers.column("gram")))
         find, logs = Lookup(of_grams.column("gram").to_numpy().astype(np.uint64)), of_grams.column("direct").to_numpy()
         out = []
@@ -185,12 +225,12 @@ def _scorer(total: int, different: int, train_docs: int):
             code, at = codes(part.column("text"))
             score = sums(logs[find.find(code)], at) / np.log(10)
             word, first = tokens(part.column("text"))
-            c = counts[pc.index_in(word, value_set=of_words).to_numpy(zero_copy_only=False).astype(np.int64)]
+            c = counts[place(word)]
             n = np.diff(first) + 1
             base = sums(np.log10(c + 1.0), first) + np.log10(train_docs + 1.0) - n * np.log10(total + different + 1.0)
             columns = [part.column("doc_id"), part.column("held_out"), n, sums((c > 0).view(np.int8), first) + (train_docs > 0), base, score]
             out.append(pa.record_batch(columns, names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]))
-        answers = of_words = of_grams = None
+        answers = of_words = of_grams = place = None
         pa.default_memory_pool().release_unused()
         return pa.Table.from_batches(out)
 
